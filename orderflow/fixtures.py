@@ -22,6 +22,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for per-row work when the input is one small file; large inputs have splits enough."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def from_events(raw: DataFrame) -> DataFrame:
     """Shared reading of the ``events`` table; works on batch and streaming frames alike."""
     k = F.get_json_object("props", "$.k").cast("long")
@@ -69,48 +75,50 @@ def order_events(base: DataFrame) -> DataFrame:
 
 def raw_events(base: DataFrame) -> DataFrame:
     """JSON payload text in every known shape, chosen by the last digit of the event id."""
-    o, k, st, stamp = F.col("order_id"), F.col("k"), F.col("status"), X.iso(F.col("ts"))
-    turn = F.floor(F.col("event_id") / 10)
-
-    def doc(**fields: Column) -> Column:
-        return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), {"ignoreNullFields": "false"})
-
-    text = F.lit
-    o_text = o.cast("string")
-    null_double = F.lit(None).cast("double")
-    availability = (
-        F.when(turn % 5 == 0, doc(courier_id=k, is_available=text("yes"), timestamp=F.unix_seconds("ts")))
-        .when(turn % 5 == 1, doc(courier_id=k, available=text(" No "), timestamp=F.unix_seconds("ts")))
-        .when(turn % 5 == 2, doc(courier_id=k, is_available=text(True), timestamp=F.unix_seconds("ts")))
-        .when(turn % 5 == 3, doc(courier_id=k, is_available=text("0"), timestamp=F.unix_seconds("ts")))
-        .otherwise(doc(courier_id=k, is_available=text(1), timestamp=F.unix_seconds("ts")))
-    )
-    lat, lon = -23.7 + k / 1000, -46.8 + k / 500
+
+    def doc(**fields: str) -> str:
+        pairs = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+        return f"to_json(named_struct({pairs}), map('ignoreNullFields', 'false'))"
+
+    prior = " ".join(f"WHEN '{s}' THEN '{p}'" for s, p in PRIOR_STATUS.items())
+    seconds = "unix_seconds(ts)"
+    signals = [
+        doc(courier_id="k", is_available="'yes'", timestamp=seconds),
+        doc(courier_id="k", available="' No '", timestamp=seconds),
+        doc(courier_id="k", is_available="true", timestamp=seconds),
+        doc(courier_id="k", is_available="'0'", timestamp=seconds),
+        doc(courier_id="k", is_available="1", timestamp=seconds),
+    ]
+    lat, lon = "-23.7D + k / 1000", "-46.8D + k / 500"
     shapes = [
-        doc(event_type=text("ORDER_CREATED"), order_id=o_text, client_id=o, restaurant_id=k, status=text("PENDING"), timestamp=stamp),
-        doc(event_type=text("ORDER_STATUS_CHANGED"), order_id=o_text, old_status=text("PENDING"), new_status=st, timestamp=stamp),
-        doc(event_type=text("ORDER_COURIER_ASSIGNED"), order_id=o_text, courier_id=k, timestamp=stamp),
+        doc(event_type="'ORDER_CREATED'", order_id="o", client_id="order_id", restaurant_id="k", status="'PENDING'", timestamp="stamp"),
+        doc(event_type="'ORDER_STATUS_CHANGED'", order_id="o", old_status="'PENDING'", new_status="status", timestamp="stamp"),
+        doc(event_type="'ORDER_COURIER_ASSIGNED'", order_id="o", courier_id="k", timestamp="stamp"),
         doc(
-            event_id=F.col("event_id"), order_id=o, event_type=text("STATUS_CHANGE"), from_status=X.lookup(PRIOR_STATUS, st),
-            to_status=st, event_status=st, event_message=text("changed"), latitude=null_double, longitude=null_double, created_at=stamp,
+            event_id="event_id", order_id="order_id", event_type="'STATUS_CHANGE'", from_status=f"CASE status {prior} END",
+            to_status="status", event_status="status", event_message="'changed'", latitude="CAST(NULL AS DOUBLE)", created_at="stamp",
         ),
         doc(
-            event_id=F.col("event_id"), order_id=o, event_type=text("courier_assigned"), from_status=F.lit(None).cast("string"),
-            to_status=F.lit(None).cast("string"), event_message=F.format_string("Courier %d assigned", k), created_at=stamp,
+            event_id="event_id", order_id="order_id", event_type="'courier_assigned'", from_status="CAST(NULL AS STRING)",
+            to_status="CAST(NULL AS STRING)", event_message="concat('Courier ', k, ' assigned')", created_at="stamp",
         ),
         doc(
-            order=F.struct(o.alias("order_id"), F.lower(st).alias("order_status"), k.alias("courier_id"), stamp.alias("created_at")),
-            timestamp=text("not a time"),
+            order="named_struct('order_id', order_id, 'order_status', lower(status), 'courier_id', k, 'created_at', stamp)",
+            timestamp="'not a time'",
         ),
-        availability,
-        F.when(turn % 2 == 0, doc(courier_id=k, lat=lat, lon=lon, order_id=o)).otherwise(doc(courier_id=k, latitude=lat, longitude=lon)),
-        F.when(turn % 2 == 0, F.format_string("garbage %d", F.col("event_id"))).otherwise(doc(zz=text(1), aa=k, timestamp=stamp)),
-        doc(order_id=o, status=F.lower(st)),
-    ]
-    payload = F.lit(None).cast("string")
-    for digit, shape in reversed(list(enumerate(shapes))):
-        payload = F.when(F.col("event_id") % 10 == digit, shape).otherwise(payload)
-    return base.select("event_id", "arrival_ts", payload.alias("payload"))
+        "CASE turn % 5 " + " ".join(f"WHEN {i} THEN {signal}" for i, signal in enumerate(signals)) + " END",
+        f"CASE WHEN turn % 2 = 0 THEN {doc(courier_id='k', lat=lat, lon=lon, order_id='order_id')} "
+        f"ELSE {doc(courier_id='k', latitude=lat, longitude=lon)} END",
+        f"CASE WHEN turn % 2 = 0 THEN concat('garbage ', event_id) ELSE {doc(zz='1', aa='k', timestamp='stamp')} END",
+        doc(order_id="order_id", status="lower(status)"),
+    ]
+    cases = " ".join(f"WHEN {digit} THEN {shape}" for digit, shape in enumerate(shapes))
+    return base.select(
+        "*",
+        X.iso(F.col("ts")).alias("stamp"),
+        F.col("order_id").cast("string").alias("o"),
+        F.expr("event_id div 10").alias("turn"),
+    ).selectExpr("event_id", "arrival_ts", f"CASE event_id % 10 {cases} END AS payload")
 
 
 def _lat(key: Column, step: int) -> Column:

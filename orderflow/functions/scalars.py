@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 from orderflow.schemas import FALSE_WORDS, TRUE_WORDS
@@ -16,24 +14,37 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(_BLANK))
 
 
-def variant_text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
+def strict_json(text: Column) -> Column:
+    """The JSON value of a text that is one JSON document and nothing else, otherwise null.
+
+    The parser itself stops after the first value; inside brackets, anything left over is an error. A bracket
+    in the text could close them early, so such a text must also parse inside braces.
+    """
+    inside = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    closed = ~F.contains(text, F.lit("]")) | F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    return F.when((F.size(inside) == 1) & closed, F.get(inside, 0))
 
 
-def lenient_int(value: Column) -> Column:
-    """Integer of a JSON value; anything that is not one becomes null."""
-    return F.try_variant_get(value, "$", "bigint")
+def truthy_sql(text: str, kind: str) -> str:
+    """The text of a JSON value, or null where the value is null, empty, zero or false."""
+    return f"""CASE WHEN {text} = '' OR ({kind} <> 'STRING' AND ({text} IN ('[]', '{{}}', 'false')
+        OR coalesce(try_cast({text} AS DOUBLE) = 0, false))) THEN NULL ELSE {text} END"""
 
 
-def lenient_bool(value: Column) -> Column:
+def bool_sql(text: str, kind: str) -> str:
     """JSON booleans and the usual words; numbers are not booleans."""
-    kind = F.schema_of_variant(value)
-    word = F.lower(strip(variant_text(value)))
-    return (
-        F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when((kind == "STRING") & word.isin(TRUE_WORDS), F.lit(True))
-        .when((kind == "STRING") & word.isin(FALSE_WORDS), F.lit(False))
+    words = {True: TRUE_WORDS, False: FALSE_WORDS}
+    cases = " ".join(
+        f"WHEN lower(btrim({text}, ' \\t\\r\\n')) IN ({', '.join(map(repr, w))}) THEN {str(v).lower()}" for v, w in words.items()
     )
+    return f"CASE WHEN {kind} IN ('BOOLEAN', 'STRING') THEN CASE {cases} END END"
+
+
+def timestamp_sql(text: str, kind: str) -> str:
+    """JSON text as ISO-8601 (a full date at least), JSON number as epoch seconds."""
+    clean = f"btrim({text}, ' \\t\\r\\n')"
+    return rf"""CASE WHEN {kind} = 'STRING' THEN CASE WHEN {clean} RLIKE r'^\d{{4}}-\d{{2}}-\d{{2}}' THEN try_cast({clean} AS TIMESTAMP) END
+        ELSE try_cast(try_cast({text} AS DOUBLE) AS TIMESTAMP) END"""
 
 
 def iso_timestamp(text: Column) -> Column:
@@ -42,30 +53,6 @@ def iso_timestamp(text: Column) -> Column:
     return F.when(clean.rlike(r"^\d{4}-\d{2}-\d{2}"), clean.try_cast("timestamp"))
 
 
-def lenient_timestamp(value: Column) -> Column:
-    """JSON text as ISO-8601, JSON number as epoch seconds."""
-    return F.when(F.schema_of_variant(value) == "STRING", iso_timestamp(variant_text(value))).otherwise(
-        F.try_variant_get(value, "$", "double").try_cast("timestamp")
-    )
-
-
-def truthy(value: Column) -> Column:
-    """The JSON value itself, or null where it is missing, null, empty, zero or false."""
-    kind = F.schema_of_variant(value)
-    text = variant_text(value)
-    zero = F.coalesce((kind != "STRING") & (F.try_variant_get(value, "$", "double") == 0), F.lit(False))
-    empty = text.isin("", "[]", "{}") & ((kind != "STRING") | (text == ""))
-    return F.when(~zero & ~empty, value)
-
-
-def first_truthy(*values: Column) -> Column:
-    return F.coalesce(*[truthy(v) for v in values])
-
-
-def upper_status(*values: Column) -> Column:
-    return F.upper(variant_text(first_truthy(*values)))
-
-
 def normalize_status(text: Column) -> Column:
     return F.upper(F.trim(text))
 
@@ -108,14 +95,6 @@ def date_parts(ts: Column) -> dict[str, Column]:
     }
 
 
-def any_key(keys: Column, *names: str) -> Column:
-    return F.arrays_overlap(keys, F.array(*[F.lit(n) for n in names]))
-
-
-def all_of(*conditions: Column) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
 def lookup(mapping: dict[str, str], key: Column) -> Column:
     """Value of a small fixed mapping, null where the key is not in it."""
     pairs = [F.lit(x) for pair in mapping.items() for x in pair]
