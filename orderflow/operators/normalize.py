@@ -177,8 +177,9 @@ def classify(items: DataFrame, item: str = "item") -> DataFrame:
         ),
         _record("true", f"'{UNKNOWN}'", "concat('unknown:', array_join(array_sort(keys), ','))", stamp_first),
     ]
-    event = "CASE " + "\n".join(rules) + " END AS event"
-    return timed.selectExpr(*kept, event).selectExpr(*kept, "event.*")
+    event = "CASE " + "\n".join(rules) + " END"
+    # inline() keeps later filters on the record from copying the whole rule chain into every condition
+    return timed.selectExpr(*kept, f"inline(array({event}))")
 
 
 def normalize(df: DataFrame, payload: str = "payload", split_frames: bool = False) -> DataFrame:

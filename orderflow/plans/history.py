@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from orderflow.functions import scalars as X
 from orderflow.schemas import CANCELLED, DELIVERED, UNKNOWN
 
-DAY = F.concat_ws("-", "year", "month", "day").alias("event_date")
+
+def event_date() -> Column:
+    return F.concat_ws("-", "year", "month", "day").alias("event_date")
 
 
 def effective_status() -> Column:
@@ -33,7 +35,7 @@ def latest_order_status(lake: DataFrame, status: Column | None = None) -> DataFr
     position = event_position() if status is None else F.when(status.isNotNull(), event_position())
     return (
         lake.where(F.col("order_id").isNotNull())
-        .groupBy(DAY, "order_id")
+        .groupBy(event_date(), "order_id")
         .agg(F.max_by(value, position).alias("status"), F.count(F.lit(1)).alias("events"))
     )
 
@@ -52,7 +54,7 @@ def _order_summary() -> list[Column]:
 def history_kpis(lake: DataFrame) -> DataFrame:
     """Events and orders per day with open, delivered and cancelled counts and their rates."""
     orders = latest_order_status(lake).groupBy("event_date").agg(*_order_summary())
-    strays = lake.where(F.col("order_id").isNull()).groupBy(DAY).agg(F.count(F.lit(1)).alias("stray_events"))
+    strays = lake.where(F.col("order_id").isNull()).groupBy(event_date()).agg(F.count(F.lit(1)).alias("stray_events"))
     zero = F.lit(0).cast("long")
     merged = orders.join(strays, "event_date", "full_outer").select(
         "event_date",
@@ -77,7 +79,7 @@ def status_distribution(lake: DataFrame) -> DataFrame:
 
 def events_by_type(lake: DataFrame) -> DataFrame:
     return (
-        lake.groupBy(DAY, F.coalesce("event_type", F.lit(UNKNOWN)).alias("event_type"))
+        lake.groupBy(event_date(), F.coalesce("event_type", F.lit(UNKNOWN)).alias("event_type"))
         .agg(F.count(F.lit(1)).alias("total"))
         .orderBy("event_date", F.desc("total"), "event_type")
     )
@@ -86,7 +88,7 @@ def events_by_type(lake: DataFrame) -> DataFrame:
 def events_by_hour(lake: DataFrame) -> DataFrame:
     """Events and distinct orders per hour; Spark first drops duplicates per (hour, order)."""
     return (
-        lake.groupBy(DAY, "hour")
+        lake.groupBy(event_date(), "hour")
         .agg(F.count(F.lit(1)).alias("total_events"), F.countDistinct("order_id").alias("total_orders"))
         .orderBy("event_date", "hour")
     )
@@ -94,7 +96,7 @@ def events_by_hour(lake: DataFrame) -> DataFrame:
 
 def peak_hour(lake: DataFrame) -> DataFrame:
     """Busiest hour of each day, the earliest one on ties."""
-    hourly = lake.groupBy(DAY, "hour").agg(F.count(F.lit(1)).alias("total_events"))
+    hourly = lake.groupBy(event_date(), "hour").agg(F.count(F.lit(1)).alias("total_events"))
     best = F.max_by("hour", F.struct(F.col("total_events"), -F.col("hour").cast("int")))
     return hourly.groupBy("event_date").agg(best.alias("peak_hour"), F.max("total_events").alias("peak_events"))
 
