@@ -224,6 +224,7 @@ def request_log(base: DataFrame) -> DataFrame:
     return base.select(
         F.concat_ws("/", F.col("order_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("run_id"),
         F.col("event_id").alias("seq"),
+        F.col("ts").alias("sent_at"),
         F.col("kind").alias("endpoint"),
         create.alias("is_create"),
         code.alias("status_code"),

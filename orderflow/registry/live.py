@@ -87,8 +87,8 @@ _SNAP = f"""snap AS (SELECT
      AND arrival_ts >= (SELECT max(arrival_ts) FROM nm) - INTERVAL 60 SECONDS) AS orders_created_per_minute,
   (SELECT {V.rnd(V.avg('latency_ms'), 2)} FROM lat WHERE arrival_ts >= (SELECT max(arrival_ts) FROM nm) - INTERVAL 60 SECONDS) AS latency_avg_1m_ms,
   (SELECT {V.rnd('latency_ms', 2)} FROM lat ORDER BY arrival_ts DESC, seq DESC LIMIT 1) AS latency_last_ms,
-  (SELECT epoch_ms(coalesce(event_ts, arrival_ts)) FROM lat ORDER BY arrival_ts DESC, seq DESC LIMIT 1) AS last_event_produced_at_ms,
-  (SELECT epoch_ms(max(arrival_ts)) FROM nm) AS last_event_processed_at_ms)"""
+  (SELECT epoch_us(coalesce(event_ts, arrival_ts)) // 1000 FROM lat ORDER BY arrival_ts DESC, seq DESC LIMIT 1) AS last_event_produced_at_ms,
+  (SELECT epoch_us(max(arrival_ts)) // 1000 FROM nm) AS last_event_processed_at_ms)"""
 
 
 def _b(t: str) -> str:

@@ -89,7 +89,7 @@ NODES = f"""nodes AS (
   SELECT id, {lon('key', 71)} AS x, {lat('key', 43)} AS y FROM (
     SELECT p_partkey AS key, p_partkey AS id FROM part UNION ALL SELECT s_suppkey, s_suppkey + 1000000000 FROM supplier))"""
 REQ = """req AS (
-  SELECT order_id || '/' || strftime(ts, '%Y-%m-%d') AS run_id, event_id AS seq, kind AS endpoint, kind = 'signup' AS is_create,
+  SELECT order_id || '/' || strftime(ts, '%Y-%m-%d') AS run_id, event_id AS seq, ts AS sent_at, kind AS endpoint, kind = 'signup' AS is_create,
     CASE WHEN k < 2 THEN 404 WHEN kind = 'error' AND k % 5 = 0 THEN 500 ELSE 200 END AS status_code, value AS latency_ms,
     k % 10 <> 9 AS has_json, CASE WHEN k % 10 <> 8 THEN order_id END AS order_id, status AS order_status
   FROM ev)"""
@@ -101,7 +101,7 @@ def avg(value: str) -> str:
 
 
 def rnd(value: str, digits: int) -> str:
-    return f"CAST(round(CAST({value} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST(CAST({value} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def with_(*ctes: str) -> str:
