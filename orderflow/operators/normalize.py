@@ -20,24 +20,26 @@ def _raw_text(text: Column) -> Column:
     return F.try_parse_json(F.to_json(F.struct(text.alias("raw_text"))))
 
 
-def frames(text: Column) -> Column:
-    """Documents glued on one line (``{..}{..}``) as an array, or null where the line is not such a line.
-
-    Parts are joined until they parse, so braces inside strings do not cut a document.
-    """
-    parts = F.split(text, r"(?<=\})(?=\s*\{)")
+def _fold_frames(parts: Column) -> Column:
+    """Join the parts of a line of glued documents (``{..}{..}``) until they parse, so that braces inside
+    strings do not cut a document. ``open`` is what is left over at the end."""
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
 
     def step(state: Column, part: Column) -> Column:
-        grown = F.concat(state["open"], part)
-        whole = X.strict_json(grown).isNotNull()
-        return F.struct(
-            F.when(whole, F.array_append(state["done"], grown)).otherwise(state["done"]).alias("done"),
-            F.when(whole, F.lit("")).otherwise(grown).alias("open"),
+        # a one-element array carries the grown text and whether it is whole into the choice below
+        grown = F.transform(F.array(F.concat(state["open"], part)), lambda t: F.struct(t.alias("t"), X.strict_json(t).isNotNull().alias("ok")))
+        return F.get(
+            F.transform(
+                grown,
+                lambda g: F.struct(
+                    F.when(g["ok"], F.array_append(state["done"], g["t"])).otherwise(state["done"]).alias("done"),
+                    F.when(g["ok"], F.lit("")).otherwise(g["t"]).alias("open"),
+                ),
+            ),
+            0,
         )
 
-    folded = F.aggregate(parts, start, step)
-    return F.when((F.size(parts) > 1) & (folded["open"] == ""), folded["done"])
+    return F.aggregate(parts, start, step)
 
 
 def unbatch(df: DataFrame, payload: str = "payload", split_frames: bool = False) -> DataFrame:
@@ -51,9 +53,11 @@ def unbatch(df: DataFrame, payload: str = "payload", split_frames: bool = False)
     parsed = df.select(*others, text.alias("_text")).where(F.col("_text") != "")
     parsed = parsed.select("*", X.strict_json(F.col("_text")).alias("_json"))
     if split_frames:
-        glued = F.when(F.col("_json").isNull(), frames(F.col("_text")))
-        parsed = parsed.select("*", glued.alias("_parts"))
-        parsed = parsed.select("*", F.transform("_parts", lambda t: F.try_parse_json(t)).alias("_glued"))
+        cut = F.when(F.col("_json").isNull(), F.split("_text", r"(?<=\})(?=\s*\{)"))
+        parsed = parsed.select("*", cut.alias("_parts"))
+        parsed = parsed.select("*", F.when(F.size("_parts") > 1, _fold_frames(F.col("_parts"))).alias("_folded"))
+        documents = F.when(F.col("_folded.open") == "", F.transform("_folded.done", lambda t: F.try_parse_json(t)))
+        parsed = parsed.select("*", documents.alias("_glued"))
     else:
         parsed = parsed.withColumn("_glued", F.lit(None).cast("array<variant>"))
     body = F.col("_json")
@@ -72,9 +76,8 @@ def unbatch(df: DataFrame, payload: str = "payload", split_frames: bool = False)
         parsed.select(
             *others,
             (body.isNull() & F.col("_glued").isNull()).alias("parse_error"),
-            F.posexplode(documents).alias("pos", "_doc"),
+            F.posexplode(F.transform(documents, lambda d: F.try_variant_get(d, "$", _ITEM))).alias("pos", "item"),
         )
-        .select(*others, "parse_error", "pos", F.try_variant_get("_doc", "$", _ITEM).alias("item"))
         .where(F.col("item").isNotNull())
     )
 

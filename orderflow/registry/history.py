@@ -40,7 +40,7 @@ def normalize_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def unbatch_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """Each payload wrapped as an array, a records object or glued frames, with a scalar mixed in."""
-    raw = fixtures.raw_events(fixtures.events(spark, folder)).where(F.col("payload").startswith("{"))
+    raw = fixtures.raw_events(fixtures.spread(fixtures.events(spark, folder))).where(F.col("payload").startswith("{"))
     p, turn = F.col("payload"), F.col("event_id") % 3
     note = F.format_string('{"note":"a}{b","order_id":%d,"status":"x"}', F.col("event_id"))
     batch = (
