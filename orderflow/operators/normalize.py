@@ -50,7 +50,7 @@ def unbatch(df: DataFrame, payload: str = "payload", split_frames: bool = False)
     """
     others = [c for c in df.columns if c != payload]
     text = decode(F.col(payload))
-    parsed = df.select(*others, text.alias("_text")).where(F.col("_text") != "")
+    parsed = df.select(*others, text.alias("_text"))
     parsed = parsed.select("*", X.strict_json(F.col("_text")).alias("_json"))
     if split_frames:
         cut = F.when(F.col("_json").isNull(), F.split("_text", r"(?<=\})(?=\s*\{)"))
@@ -61,8 +61,10 @@ def unbatch(df: DataFrame, payload: str = "payload", split_frames: bool = False)
     else:
         parsed = parsed.withColumn("_glued", F.lit(None).cast("array<variant>"))
     body = F.col("_json")
+    # empty text gives no document here; a filter above would be pushed down and read the payload twice
     documents = (
-        F.when(F.col("_glued").isNotNull(), F.col("_glued"))
+        F.when(F.col("_text") == "", F.array().cast("array<variant>"))
+        .when(F.col("_glued").isNotNull(), F.col("_glued"))
         .when(body.isNull(), F.array(_raw_text(F.col("_text"))))
         .otherwise(
             F.coalesce(

@@ -26,42 +26,41 @@ def event_position() -> Column:
     return F.struct(micros, F.coalesce(F.col("event_id").try_cast("long"), F.lit(0).cast("long")))
 
 
-def latest_order_status(lake: DataFrame, status: Column | None = None) -> DataFrame:
-    """Status of each order's latest event of the day, in one hash-partial aggregation.
-
-    With ``status`` given, rows where it is null are passed over.
-    """
+def _per_order(lake: DataFrame, status: Column | None = None) -> DataFrame:
+    """Status of the latest event and number of events per (day, order), in one partial aggregation."""
     value = effective_status() if status is None else status
     position = event_position() if status is None else F.when(status.isNotNull(), event_position())
-    return (
-        lake.where(F.col("order_id").isNotNull())
-        .groupBy(event_date(), "order_id")
-        .agg(F.max_by(value, position).alias("status"), F.count(F.lit(1)).alias("events"))
+    return lake.groupBy(event_date(), "order_id").agg(
+        F.max_by(value, position).alias("status"), F.count(F.lit(1)).alias("events")
     )
 
 
-def _order_summary() -> list[Column]:
-    status = F.col("status")
-    return [
-        F.count(F.lit(1)).alias("total_orders"),
-        F.count_if(~status.isin(DELIVERED, CANCELLED)).alias("orders_open"),
-        F.count_if(status == DELIVERED).alias("orders_delivered"),
-        F.count_if(status == CANCELLED).alias("orders_cancelled"),
-        F.sum("events").alias("order_events"),
-    ]
+def latest_order_status(lake: DataFrame, status: Column | None = None) -> DataFrame:
+    """Status of each order's latest event of the day.
+
+    With ``status`` given, rows where it is null are passed over.
+    """
+    return _per_order(lake.where(F.col("order_id").isNotNull()), status)
 
 
 def history_kpis(lake: DataFrame) -> DataFrame:
-    """Events and orders per day with open, delivered and cancelled counts and their rates."""
-    orders = latest_order_status(lake).groupBy("event_date").agg(*_order_summary())
-    strays = lake.where(F.col("order_id").isNull()).groupBy(event_date()).agg(F.count(F.lit(1)).alias("stray_events"))
-    zero = F.lit(0).cast("long")
-    merged = orders.join(strays, "event_date", "full_outer").select(
-        "event_date",
-        (F.coalesce("order_events", zero) + F.coalesce("stray_events", zero)).alias("total_events"),
-        *[F.coalesce(n, zero).alias(n) for n in ("total_orders", "orders_open", "orders_delivered", "orders_cancelled")],
+    """Events and orders per day with open, delivered and cancelled counts and their rates, in one scan.
+
+    Events without an order count as events only.
+    """
+    status, known = F.col("status"), F.col("order_id").isNotNull()
+    days = (
+        _per_order(lake)
+        .groupBy("event_date")
+        .agg(
+            F.sum("events").alias("total_events"),
+            F.count("order_id").alias("total_orders"),
+            F.count_if(known & ~status.isin(DELIVERED, CANCELLED)).alias("orders_open"),
+            F.count_if(known & (status == DELIVERED)).alias("orders_delivered"),
+            F.count_if(known & (status == CANCELLED)).alias("orders_cancelled"),
+        )
     )
-    return merged.select(
+    return days.select(
         "*",
         X.rate_pct(F.col("orders_delivered"), F.col("total_orders")).alias("delivery_rate_pct"),
         X.rate_pct(F.col("orders_cancelled"), F.col("total_orders")).alias("cancel_rate_pct"),
