@@ -45,7 +45,7 @@ def load_report_document(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "latency_samples": latency_samples,
-    "pipeline_latency_stats": lambda s, d: T.pipeline_latency_stats(samples(s, d), WINDOW),
+    "latency_stats": lambda s, d: T.pipeline_latency_stats(samples(s, d), WINDOW),
     "latency_percentiles": lambda s, d: T.latency_percentiles(log(s, d), "endpoint", "latency_ms"),
     "recent_samples": lambda s, d: T.recent_samples(samples(s, d)).select("recorded_at", "pipeline", LATENCY_FIELDS[0]),
     "endpoint_metrics": lambda s, d: P.endpoint_metrics(log(s, d)),
@@ -105,7 +105,7 @@ _REQ = (V.EV, V.REQ)
 
 ORACLE = {
     "latency_samples": V.with_(V.EV, _SAMPLES) + "SELECT * FROM samples",
-    "pipeline_latency_stats": V.with_(V.EV, _SAMPLES, f"f AS ({_FIELDS})", _linear("f", "pipeline, window_start, field", "value"))
+    "latency_stats": V.with_(V.EV, _SAMPLES, f"f AS ({_FIELDS})", _linear("f", "pipeline, window_start, field", "value"))
     + f"""SELECT pipeline, window_start, field, samples, avg, last, {V.rnd('p50', 2)} AS p50, {V.rnd('p95', 2)} AS p95 FROM (
         SELECT pipeline, window_start, field, count(*) AS samples, {V.rnd(V.avg('value'), 2)} AS avg,
           {V.rnd('arg_max(value, (recorded_at, processed, total)) FILTER (value IS NOT NULL)', 2)} AS last
