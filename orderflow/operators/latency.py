@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orderflow.functions import scalars as X
 from orderflow.operators import quantiles as Q
+from orderflow.operators.ordered import join_same
 from orderflow.schemas import LATENCY_FIELDS
 
 RECENT_MS = 120_000
@@ -58,7 +59,7 @@ def pipeline_latency_stats(samples: DataFrame, window_seconds: int = 300) -> Dat
     ranks = Q.percentiles(
         long, groups, "value", {"p50": F.round(Q.linear("value", 0.5), 2), "p95": F.round(Q.linear("value", 0.95), 2)}
     )
-    return base.join(ranks, groups, "left")
+    return join_same(base, ranks, groups, "left")
 
 
 def latency_percentiles(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -69,7 +70,7 @@ def latency_percentiles(df: DataFrame, group: str, value: str) -> DataFrame:
         F.coalesce(F.max(value), F.lit(0.0)).alias("max"),
     )
     ranks = Q.percentiles(df, [group], value, {"p50": Q.linear(value, 0.5), "p95": Q.linear(value, 0.95)})
-    return base.join(ranks, group, "left")
+    return join_same(base, ranks, [group], "left")
 
 
 def recent_samples(samples: DataFrame, limit: int = 200) -> DataFrame:

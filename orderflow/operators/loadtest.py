@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orderflow.functions import scalars as X
 from orderflow.operators import quantiles as Q
+from orderflow.operators.ordered import join_same
 from orderflow.schemas import DELIVERED
 
 
@@ -30,7 +31,7 @@ def endpoint_metrics(log: DataFrame) -> DataFrame:
         F.min("latency_ms").alias("min_latency"),
         F.max("latency_ms").alias("max_latency"),
     )
-    return base.join(endpoint_p95(log), "endpoint", "left")
+    return join_same(base, endpoint_p95(log), ["endpoint"], "left")
 
 
 def order_outcomes(log: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ to the next one through a table with one row per slice. The result is the plain
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLICE = "_slice"
@@ -15,6 +17,13 @@ HOT_ROWS = 1_000_000
 HOT_KEYS = 10_000
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null, keeping the key columns once, as grouping treats them."""
+    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """The largest keys with more than ``hot_rows`` rows (never more than HOT_KEYS), or None."""
     top = (
@@ -50,7 +59,7 @@ def mark(df: DataFrame, keys: list[str], slice_by: Column, hot_rows: int = HOT_R
     if hot is None:
         return df
     # bounded by HOT_KEYS rows, see hot_keys
-    flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
+    flagged = join_same(df, F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
     return flagged.withColumn(SLICE, F.when(F.col("_hot"), slice_by.cast("long")).otherwise(F.lit(0))).drop("_hot")
 
 
@@ -102,7 +111,7 @@ def carry(
         *[F.last(f"_end_{n}", ignorenulls=True).over(before).alias(f"_start_{n}") for n in last_known],
         *[F.sum(f"_end_{n}").over(before).alias(f"_start_{n}") for n in running_sum],
     )
-    joined = local.join(starts, part)
+    joined = join_same(local, starts, part)
     return joined.select(
         *df.columns,
         *[F.coalesce(F.col(n), F.col(f"_start_{n}"))["v"].alias(n) for n in previous],

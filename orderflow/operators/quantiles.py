@@ -17,7 +17,7 @@ def ranked_values(df: DataFrame, groups: list[str], value: str, hot_rows: int =
     marked = ordered.mark(counts, groups, ordered.value_slice(F.col(value)), hot_rows)
     ranks = ordered.carry(marked, groups, [value], running_sum={"hi": F.col("_c")})
     totals = counts.groupBy(*groups).agg(F.sum("_c").alias("n"))
-    return ranks.join(totals, groups).select(*groups, value, (F.col("hi") - F.col("_c")).alias("lo"), "hi", "n")
+    return ordered.join_same(ranks, totals, groups).select(*groups, value, (F.col("hi") - F.col("_c")).alias("lo"), "hi", "n")
 
 
 def _at(value: str, rank: Column) -> Column:
