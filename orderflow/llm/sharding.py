@@ -42,10 +42,10 @@ def ranges(keyed: DataFrame, shards: int, tolerance: float, law: str) -> list[tu
             above = F.broadcast(spark.createDataFrame([(p,) for p in heavy], "_above long"))
             rows = keyed.join(above, F.shiftright("_key", shift + step) == F.col("_above"), "left_semi")
         counts = rows.groupBy(F.shiftright("_key", shift).alias("_prefix")).agg(
-            F.sum("size").alias("bytes"), F.count("*").alias("rows")
+            F.sum("size").alias("bytes"), F.count("*").alias("rows"), (F.min("_key") < F.max("_key")).alias("many")
         )
-        for prefix, size, n in counts.collect():
-            found[prefix << shift] = (shift, size, n)
+        for prefix, size, n, many in counts.collect():
+            found[prefix << shift] = (shift, size, n, many)
         order = sorted(found)
         weight = [found[k][1 if law == "bytes" else 2] for k in order]
         ends = list(accumulate(weight))
@@ -56,7 +56,7 @@ def ranges(keyed: DataFrame, shards: int, tolerance: float, law: str) -> list[tu
         wanted = [
             k
             for i, k in enumerate(order)
-            if found[k][0] == shift and (found[k][1] > most or i in holds and weight[i] > tolerance * total / shards)
+            if found[k][0] == shift and found[k][3] and (found[k][1] > most or i in holds and weight[i] > tolerance * total / shards)
         ]
         if not wanted or shift == 0:
             break
