@@ -4,13 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderflow.llm import mixing, sharding, url_rules
+from orderflow.llm import decontaminate, mixing, sharding, url_rules
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_positional_index(spark: SparkSession, folder: str) -> DataFrame:
+    index = decontaminate.build_index(table(spark, folder, "documents").select("doc_id", "text"))
+    found = decontaminate.phrase_hits(index, table(spark, folder, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP1_SQL = r"""
+WITH fold AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS phrase
+  FROM items, unnest(range(1, greatest(len(w) - 10, 0) + 2)) t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM windows),
+grams AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM fold, sizes, unnest(range(1, len(w) - size + 2)) t(i) WHERE len(w) >= size),
+hits AS (SELECT doc_id, i, g.size, item_id FROM grams g JOIN windows v ON g.phrase = v.phrase AND g.size = v.size),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + size)) t(p) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS list
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT f.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM fold f LEFT JOIN words x ON f.doc_id = x.doc_id LEFT JOIN found y ON f.doc_id = y.doc_id
+"""
+
+
 def op5_histogram_sort_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))))
@@ -84,9 +118,10 @@ SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p
 """
 
 QUERIES = {
+    "op1_positional_index": op1_positional_index,
     "op5_histogram_sort_shards": op5_histogram_sort_shards,
     "op6_van_der_corput_mix": op6_van_der_corput_mix,
     "op8_url_sweep": op8_url_sweep,
 }
 
-ORACLE = {"op6_van_der_corput_mix": OP6_SQL, "op8_url_sweep": OP8_SQL}
+ORACLE = {"op1_positional_index": OP1_SQL, "op6_van_der_corput_mix": OP6_SQL, "op8_url_sweep": OP8_SQL}
