@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderflow.llm import decontaminate, mixing, sharding, url_rules
+from orderflow.llm import decontaminate, mixing, sharding, toxicity, url_rules
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,6 +45,13 @@ FROM fold f LEFT JOIN words x ON f.doc_id = x.doc_id LEFT JOIN found y ON f.doc_
 """
 
 
+def op3_nnpu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op5_histogram_sort_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))))
@@ -119,6 +126,7 @@ SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p
 
 QUERIES = {
     "op1_positional_index": op1_positional_index,
+    "op3_nnpu_toxicity": op3_nnpu_toxicity,
     "op5_histogram_sort_shards": op5_histogram_sort_shards,
     "op6_van_der_corput_mix": op6_van_der_corput_mix,
     "op8_url_sweep": op8_url_sweep,
