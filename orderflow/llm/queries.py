@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderflow.llm import decontaminate, mixing, sharding, toxicity, url_rules
+from orderflow.llm import chat, decontaminate, mixing, sharding, toxicity, url_rules
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,6 +49,45 @@ FROM fold f LEFT JOIN words x ON f.doc_id = x.doc_id LEFT JOIN found y ON f.doc_
 """
 
 
+def op2_chat_template(spark: SparkSession, folder: str) -> DataFrame:
+    tricky = "\\### Assistant: </turn> ok"
+    own = [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)]
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    formatted = chat.format_conversations(rows.unionByName(spark.createDataFrame(own, rows.schema)))
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = {k: [] for k in ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")}
+            for text, spans in zip(batch.column("formatted").to_pylist(), batch.column("spans").to_pylist()):
+                turns, loss = chat.read_back(text, [(s["begin"], s["end"]) for s in spans])
+                whole = "".join(f"{role}\n{said}\n" for role, said in turns)
+                digest = [hashlib.sha256(x.encode()).hexdigest() for x in (whole, loss)]
+                for k, v in zip(out, (len(turns), digest[0], len(loss), digest[1], len(text))):
+                    out[k].append(v)
+            yield pa.RecordBatch.from_pydict({"conv_id": batch.column("conv_id"), **out})
+
+    return formatted.mapInArrow(
+        digests, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+    )
+
+
+OP2_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+sized AS (
+  SELECT *, replace(replace(replace(text, '\', '\\'), '<turn>', '\<turn>'), '</turn>', '\</turn>') AS escaped,
+    replace(replace(replace(replace(role, '\', '\\'), '<turn>', '\<turn>'), '</turn>', '\</turn>'), chr(10), '\' || chr(10)) AS header
+  FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS LAST, role, text), '')) AS loss_sha256,
+  sum(length(header) + length(escaped) + 15)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 def op3_nnpu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, folder, "labels"))
@@ -126,10 +169,14 @@ SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p
 
 QUERIES = {
     "op1_positional_index": op1_positional_index,
+    "op2_chat_template": op2_chat_template,
     "op3_nnpu_toxicity": op3_nnpu_toxicity,
     "op5_histogram_sort_shards": op5_histogram_sort_shards,
     "op6_van_der_corput_mix": op6_van_der_corput_mix,
     "op8_url_sweep": op8_url_sweep,
 }
 
-ORACLE = {"op1_positional_index": OP1_SQL, "op6_van_der_corput_mix": OP6_SQL, "op8_url_sweep": OP8_SQL}
+ORACLE = {
+    "op1_positional_index": OP1_SQL,
+    "op2_chat_template": OP2_SQL,
+    "op6_van_der_corput_mix": OP6_SQL, "op8_url_sweep": OP8_SQL}

@@ -3,7 +3,7 @@
 The classifier sees confirmed toxic texts and unlabelled ones, never confirmed clean ones. With class prior p its risk
 is p * L(toxic, 1) + max(0, L(unlabelled, 0) - p * L(toxic, 0)): the unlabelled texts hold toxic ones too, and taking
 their share out may not push the rest below zero. When it does, the step climbs that term again. The model is a
-logistic one on the presence of words and of runs of five bytes inside words, chosen on the training texts.
+logistic one on the presence of words and of runs of four bytes inside words, chosen on the training texts.
 
 Training texts are a bounded sample, the documents of smallest id hash: at most MAX_TOXIC toxic and MAX_UNLABELLED
 unlabelled ones. Scoring reads every text whole, once, and moves no row.
@@ -25,10 +25,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderflow.llm.words import ALPHANUMERIC, blocks
 from orderflow.session import materialize
 
-GRAM = 5
-MAX_TOXIC, MAX_UNLABELLED, MAX_FEATURES = 8000, 16000, 8192
-MIN_TEXTS = 3  # of toxic texts that a feature must be in
-STEPS, RATE, DECAY, SLACK = 400, 0.1, 1e-4, 0.0
+GRAM = 4
+MAX_TOXIC, MAX_UNLABELLED, MAX_FEATURES = 8000, 16000, 1024
+MIN_TEXTS, MIN_Z = 3, 4.0  # toxic texts that a feature must be in, and its least standardised log-odds
+STEPS, RATE, DECAY = 400, 0.1, 1e-5
 BLOCK_BYTES = 4 << 20
 
 
@@ -94,7 +94,7 @@ def choose_features(sample: DataFrame) -> np.ndarray:
     odds = F.log(p / (n.get(1, 0) + 1 - p)) - F.log(u / (n.get(0, 0) + 1 - u))
     counted = sample.select("toxic", "_text").mapInArrow(count, "f bigint, p bigint, u bigint")
     counted = counted.groupBy("f").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).where(F.col("p") >= MIN_TEXTS)
-    best = counted.withColumn("z", odds / F.sqrt(1 / p + 1 / u)).where("z > 0").orderBy(F.desc("z"), "f").limit(MAX_FEATURES)
+    best = counted.withColumn("z", odds / F.sqrt(1 / p + 1 / u)).where(F.col("z") > MIN_Z).orderBy(F.desc("z"), "f").limit(MAX_FEATURES)
     return np.sort(np.array([r["f"] for r in best.select("f").collect()], np.int64).view(np.uint64))
 
 
@@ -122,7 +122,7 @@ def fit(toxic: list[list[int]], unlabelled: list[list[int]], n_features: int, pr
         rest = as_clean[~is_toxic].mean() - prior * as_clean[is_toxic].mean()
         positive = np.where(is_toxic, prior / n * (s - 1), 0)
         negative = np.where(is_toxic, -prior / n * s, s / m)
-        slope = positive + negative if rest >= -SLACK else -negative
+        slope = positive + negative if rest >= 0 else -negative
         grad = np.append(np.bincount(column, slope[row], n_features), slope.sum())
         grad[:-1] += DECAY * theta[:-1]
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad**2
