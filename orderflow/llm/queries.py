@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderflow.llm import chat, decontaminate, mixing, sharding, toxicity, url_rules
+from orderflow.llm import chat, decontaminate, mixing, sharding, toxicity, url_rules, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -95,6 +95,22 @@ def op3_nnpu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op4_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, folder, "pages").select("page_id", "url", "html"))
+    found = warc.read_all(archives, warc.build_index(archives))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY d, n) AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
 def op5_histogram_sort_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))))
@@ -171,6 +187,7 @@ QUERIES = {
     "op1_positional_index": op1_positional_index,
     "op2_chat_template": op2_chat_template,
     "op3_nnpu_toxicity": op3_nnpu_toxicity,
+    "op4_warc_index": op4_warc_index,
     "op5_histogram_sort_shards": op5_histogram_sort_shards,
     "op6_van_der_corput_mix": op6_van_der_corput_mix,
     "op8_url_sweep": op8_url_sweep,
@@ -179,4 +196,4 @@ QUERIES = {
 ORACLE = {
     "op1_positional_index": OP1_SQL,
     "op2_chat_template": OP2_SQL,
-    "op6_van_der_corput_mix": OP6_SQL, "op8_url_sweep": OP8_SQL}
+    "op4_warc_index": OP4_SQL, "op6_van_der_corput_mix": OP6_SQL, "op8_url_sweep": OP8_SQL}
