@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderflow.llm import chat, decontaminate, mixing, sharding, toxicity, url_rules, warc
+from orderflow.llm import ann, chat, decontaminate, mixing, sharding, toxicity, url_rules, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -183,6 +183,11 @@ fits AS (
 SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts p LEFT JOIN fits f ON p.page_id = f.page_id
 """
 
+def op9_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return ann.search(ann.build_index(rows), rows.where(F.col("vec_id") % 100 == 0))
+
+
 QUERIES = {
     "op1_positional_index": op1_positional_index,
     "op2_chat_template": op2_chat_template,
@@ -191,6 +196,7 @@ QUERIES = {
     "op5_histogram_sort_shards": op5_histogram_sort_shards,
     "op6_van_der_corput_mix": op6_van_der_corput_mix,
     "op8_url_sweep": op8_url_sweep,
+    "op9_prefix_forest": op9_prefix_forest,
 }
 
 ORACLE = {
