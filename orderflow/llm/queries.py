@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderflow.llm import ann, chat, decontaminate, mixing, sharding, toxicity, url_rules, warc
+from orderflow.llm import ann, chat, decontaminate, jaccard, mixing, sharding, toxicity, url_rules, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -155,6 +155,29 @@ SELECT doc_id, size, source_size, target,
 FROM placed p JOIN takes t ON p.source IS NOT DISTINCT FROM t.source
 """
 
+def op7_partition_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard.join_components(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+OP7_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM split, unnest(range(1, greatest(len(w) - 2, 1) + 1)) t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach(node, other) AS (SELECT doc_id, doc_id FROM sizes UNION SELECT node, b FROM reach JOIN links ON other = a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(least(d.doc_id, m), d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id
+LEFT JOIN (SELECT node, min(other) AS m FROM reach GROUP BY node) r ON d.doc_id = r.node
+"""
+
+
 URL_RULES = [
     ("net", "/", "block"),
     ("example.net", "/en/", "allow"),
@@ -195,6 +218,7 @@ QUERIES = {
     "op4_warc_index": op4_warc_index,
     "op5_histogram_sort_shards": op5_histogram_sort_shards,
     "op6_van_der_corput_mix": op6_van_der_corput_mix,
+    "op7_partition_jaccard": op7_partition_jaccard,
     "op8_url_sweep": op8_url_sweep,
     "op9_prefix_forest": op9_prefix_forest,
 }
@@ -202,4 +226,4 @@ QUERIES = {
 ORACLE = {
     "op1_positional_index": OP1_SQL,
     "op2_chat_template": OP2_SQL,
-    "op4_warc_index": OP4_SQL, "op6_van_der_corput_mix": OP6_SQL, "op8_url_sweep": OP8_SQL}
+    "op4_warc_index": OP4_SQL, "op6_van_der_corput_mix": OP6_SQL, "op7_partition_jaccard": OP7_SQL, "op8_url_sweep": OP8_SQL}
