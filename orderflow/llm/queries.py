@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderflow.llm import ann, chat, decontaminate, jaccard, mixing, sharding, toxicity, url_rules, warc
+from orderflow.llm import ann, chat, decontaminate, jaccard, licenses, mixing, sharding, toxicity, url_rules, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -211,6 +211,11 @@ def op9_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(ann.build_index(rows), rows.where(F.col("vec_id") % 100 == 0))
 
 
+def op10_paragraph_licences(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_paragraphs", F.array_join("families", ",").alias("families"), "n_confirmed", "n_unconfirmed")
+
+
 QUERIES = {
     "op1_positional_index": op1_positional_index,
     "op2_chat_template": op2_chat_template,
@@ -221,6 +226,7 @@ QUERIES = {
     "op7_partition_jaccard": op7_partition_jaccard,
     "op8_url_sweep": op8_url_sweep,
     "op9_prefix_forest": op9_prefix_forest,
+    "op10_paragraph_licences": op10_paragraph_licences,
 }
 
 ORACLE = {
