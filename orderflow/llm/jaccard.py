@@ -342,8 +342,8 @@ def classes(docs: DataFrame, text: str = "text", words: int = WORDS, num: int =
 def join_components(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, num: int = NUM, den: int = DEN
 ) -> DataFrame:
-    """All columns but the text, with n_shingles and component_id."""
+    """All columns but the text, with n_shingles, component_id and the component's class in _root (null for empty sets)."""
     rows = materialize(classes(docs.drop("component_id"), text, words, num, den), "classes")
     names = rows.where("_root is not null").groupBy("_root").agg(F.min(doc_id).alias("component_id"))
     found = rows.join(names, "_root", "left")
-    return found.withColumn("component_id", F.when(F.col("_root").isNull(), F.col(doc_id)).otherwise(F.col("component_id"))).drop("_root")
+    return found.withColumn("component_id", F.when(F.col("_root").isNull(), F.col(doc_id)).otherwise(F.col("component_id")))
