@@ -228,7 +228,7 @@ def request_log(base: DataFrame) -> DataFrame:
         F.col("kind").alias("endpoint"),
         create.alias("is_create"),
         code.alias("status_code"),
-        F.col("value").alias("latency_ms"),
+        (F.col("value") + k / F.lit(1_000_000.0)).alias("latency_ms"),
         (k % 10 != 9).alias("has_json"),
         F.when(k % 10 != 8, F.col("order_id")).alias("order_id"),
         F.col("status").alias("order_status"),

@@ -65,20 +65,17 @@ def iso(ts: Column) -> Column:
     return F.date_format(ts, ISO_FORMAT)
 
 
-def epoch_ms(ts: Column) -> Column:
-    return F.unix_millis(ts)
-
-
 def latency_ms(event_ts: Column, arrival_ts: Column) -> Column:
     """Event-to-consumer latency; a missing or zero event time counts as arrival time, never below 0."""
     known = F.coalesce(F.when(F.unix_micros(event_ts) != 0, event_ts), arrival_ts)
     return F.greatest(F.lit(0.0), (F.unix_micros(arrival_ts) - F.unix_micros(known)) / F.lit(1000.0))
 
 
-def exact_avg(value: Column, scale: int = 3) -> Column:
-    """Average whose sum is exact, so the result does not depend on task order or retries."""
-    exact = F.sum(value.cast(f"decimal(18,{scale})"))
-    return exact.cast("double") / F.count(value)
+def exact_avg(value: Column) -> Column:
+    """Average from an exact decimal sum, so it does not depend on task order; plain where a value is too large for it."""
+    exact = value.try_cast("decimal(38,12)")
+    total = F.when(F.count(exact) == F.count(value), F.try_sum(exact).cast("double") / F.count(value))
+    return F.coalesce(total, F.avg(value))
 
 
 def rate_pct(part: Column, total: Column, digits: int = 1) -> Column:

@@ -1,8 +1,8 @@
 """Order-dependent values per key (previous, last known, running sum) that stay parallel on hot keys.
 
-A plain window puts all rows of a key into one task. Keys above ``HOT_ROWS`` rows are therefore cut into
-slices along their order: the window runs inside a slice and the state at the end of each slice is carried
-to the next one through a table with one row per slice. The result is the plain window's result.
+A plain window puts all rows of a key into one task. Every key is therefore cut into slices along its order, by one
+rule for all keys: the window runs inside a slice and the state at the end of each slice is carried to the next one
+through a table with one row per slice. The result is the plain window's result.
 """
 
 from __future__ import annotations
@@ -12,9 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLICE = "_slice"
-HOT_ROWS = 1_000_000
-#: At most this many keys are cut; a key beyond them holds less than 1/HOT_KEYS of all rows.
-HOT_KEYS = 10_000
 
 
 def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -24,20 +21,6 @@ def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The largest keys with more than ``hot_rows`` rows (never more than HOT_KEYS), or None."""
-    top = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"))
-        .limit(HOT_KEYS)
-        .drop("_n")
-        .collect()
-    )
-    return df.sparkSession.createDataFrame(top, df.select(*keys).schema) if top else None
-
-
 def time_slice(ts: Column, seconds: int = 60) -> Column:
     return F.floor(F.unix_seconds(ts) / F.lit(seconds))
 
@@ -51,16 +34,9 @@ def value_slice(value: Column) -> Column:
     return (F.signum(value.cast("double")) * number).cast("long")
 
 
-def mark(df: DataFrame, keys: list[str], slice_by: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add the slice column where some key needs it; without keys every row is sliced."""
-    if not keys:
-        return df.withColumn(SLICE, slice_by.cast("long"))
-    hot = hot_keys(df, keys, hot_rows)
-    if hot is None:
-        return df
-    # bounded by HOT_KEYS rows, see hot_keys
-    flagged = join_same(df, F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
-    return flagged.withColumn(SLICE, F.when(F.col("_hot"), slice_by.cast("long")).otherwise(F.lit(0))).drop("_hot")
+def mark(df: DataFrame, slice_by: Column) -> DataFrame:
+    """Add the slice column."""
+    return df.withColumn(SLICE, slice_by.cast("long"))
 
 
 def carry(

@@ -1,7 +1,7 @@
 """Exact percentiles per group without holding a group's values in one task.
 
 Values are first counted per (group, value); the running count along the value gives every value its rank
-range, and a percentile is then a conditional maximum. Hot groups are cut along the value (see ``ordered``).
+range, and a percentile is then a conditional maximum. Groups are cut along the value (see ``ordered``).
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderflow.operators import ordered
 
 
-def ranked_values(df: DataFrame, groups: list[str], value: str, hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+def ranked_values(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     """Distinct values per group with their 0-based rank range ``[lo, hi)`` and the group's size ``n``."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c"))
-    marked = ordered.mark(counts, groups, ordered.value_slice(F.col(value)), hot_rows)
+    marked = ordered.mark(counts, ordered.value_slice(F.col(value)))
     ranks = ordered.carry(marked, groups, [value], running_sum={"hi": F.col("_c")})
     totals = counts.groupBy(*groups).agg(F.sum("_c").alias("n"))
     return ordered.join_same(ranks, totals, groups).select(*groups, value, (F.col("hi") - F.col("_c")).alias("lo"), "hi", "n")
@@ -43,9 +43,7 @@ def exclusive(value: str, percent: int) -> Column:
     return F.when(F.max(n) == 1, F.max(value)).otherwise(between)
 
 
-def percentiles(
-    df: DataFrame, groups: list[str], value: str, wanted: dict[str, Column], hot_rows: int = ordered.HOT_ROWS
-) -> DataFrame:
+def percentiles(df: DataFrame, groups: list[str], value: str, wanted: dict[str, Column]) -> DataFrame:
     """``wanted`` maps output names to ``linear`` / ``exclusive`` expressions on ``value``."""
-    ranked = ranked_values(df, groups, value, hot_rows)
+    ranked = ranked_values(df, groups, value)
     return ranked.groupBy(*groups).agg(*[c.alias(name) for name, c in wanted.items()])

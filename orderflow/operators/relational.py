@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderflow.functions import scalars as X
+from orderflow.session import materialize
 from orderflow.schemas import USER_TYPES
 
 
@@ -75,26 +76,26 @@ def dispatch_data(orders: DataFrame, users: DataFrame, restaurants: DataFrame) -
 def order_detail(orders: DataFrame, items: DataFrame, events: DataFrame, order_id: int | None = None) -> DataFrame:
     """Order documents as sorted lines: the order, its items by name, its events by time.
 
-    Lines instead of nested lists keep an order with very many items spread over tasks; the global sort is
-    range-partitioned on the full line key. With ``order_id`` the filter reaches all three scans.
+    Lines instead of nested lists keep any order's size unbounded. The lines of an order stand together and in
+    document order; orders stand in no order. With ``order_id`` the filter reaches all three scans.
     """
     if order_id is not None:
         orders, items, events = (df.where(F.col("order_id") == order_id) for df in (orders, items, events))
     known = orders.select("order_id")
-    text, number = F.lit(None).cast("string"), F.lit(None).cast("long")
     header = orders.select(
-        "order_id", F.lit(0).alias("section"), X.iso(F.col("created_at")).alias("sort_text"), F.lit(0).cast("long").alias("sort_id"),
-        F.col("order_status").alias("label"), number.alias("quantity"), text.alias("from_status"), text.alias("to_status"),
+        "order_id", F.lit(0).alias("section"), X.iso(F.col("created_at")).alias("created_at"),
+        "client_id", "restaurant_id", "courier_id", F.col("order_status").alias("label"),
     )
     lines = items.join(known, "order_id", "left_semi").select(
-        "order_id", F.lit(1).alias("section"), F.col("item_name").alias("sort_text"), F.col("line").alias("sort_id"),
-        F.col("item_name").alias("label"), "quantity", text.alias("from_status"), text.alias("to_status"),
-    )
+        "order_id", F.lit(1).alias("section"), F.col("line").alias("sort_id"), F.col("item_name").alias("label"), "quantity"
+    )
     steps = events.join(known, "order_id", "left_semi").select(
-        "order_id", F.lit(2).alias("section"), F.col("created_at").alias("sort_text"), F.col("event_id").alias("sort_id"),
-        F.col("event_type").alias("label"), number.alias("quantity"), "from_status", "to_status",
+        "order_id", F.lit(2).alias("section"), "created_at", F.col("event_id").alias("sort_id"), F.col("event_type").alias("label"),
+        "from_status", "to_status", "event_status", "event_message", "latitude", "longitude",
     )
-    return header.unionByName(lines).unionByName(steps).orderBy("order_id", "section", "sort_text", "sort_id")
+    rows = header.unionByName(lines, allowMissingColumns=True).unionByName(steps, allowMissingColumns=True)
+    text = F.when(F.col("section") == 1, F.col("label")).otherwise(F.col("created_at"))
+    return rows.repartition("order_id").sortWithinPartitions("order_id", "section", text, "sort_id")
 
 
 def insert_if_absent(existing: DataFrame, rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -178,39 +179,54 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _greedy(edges: DataFrame) -> DataFrame:
+    """Of (order_id, courier_id, seq), those accepted one after another by seq while order and courier are both free.
+
+    A request that is the earliest left for its order and for its courier is accepted whatever the others do, so each
+    round accepts all of these and drops the requests that share an order or a courier with one.
+    """
+    left = materialize(edges, "requests-open")
+    accepted = left.limit(0)
+    while not left.isEmpty():
+        by_order = left.groupBy("order_id").agg(F.min("seq").alias("_o"))
+        by_courier = left.groupBy("courier_id").agg(F.min("seq").alias("_c"))
+        first = left.join(by_order, "order_id").join(by_courier, "courier_id").where("seq = _o and seq = _c")
+        taken = materialize(first.select("order_id", "courier_id", "seq"), "requests-taken")
+        accepted = accepted.unionByName(taken)
+        left = left.join(taken.select("order_id"), "order_id", "left_anti").join(taken.select("courier_id"), "courier_id", "left_anti")
+        left = materialize(left, "requests-open")
+    return accepted
+
+
 def assignment_conflicts(requests: DataFrame, orders: DataFrame, couriers: DataFrame) -> DataFrame:
-    """Outcome of each assignment request against the stored orders and couriers.
+    """Outcome of each assignment request, judged one after another by ``seq`` on what those before it left.
 
-    ``requests``: order_id, courier_id, seq. Of acceptable requests for one order, and of those for one
-    courier, only the earliest is taken; the others are refused as if it had been applied.
+    ``requests``: order_id, courier_id, seq (unique). A request for an order of another courier is refused; otherwise
+    its courier becomes unavailable, and it is refused if that changed nothing and the order has no courier yet.
     """
     current = orders.select("order_id", F.col("courier_id").alias("held_by"), F.lit(True).alias("order_known"))
     free = couriers.select(F.col("user_id").alias("courier_id"), F.col("is_available").alias("free"))
     checked = requests.join(current, "order_id", "left").join(free, "courier_id", "left")
-    held = F.col("held_by")
-    verdict = (
-        F.when(F.col("order_known").isNull(), F.lit("order_not_found"))
-        .when(held.isNotNull() & (held != F.col("courier_id")), F.lit("assigned_to_another"))
-        .when(held.isNull() & ~F.coalesce(F.col("free"), F.lit(False)), F.lit("courier_unavailable"))
-        .when(held.isNotNull(), F.lit("already_assigned"))
-        .otherwise(F.lit("acceptable"))
-    )
-    checked = checked.select("order_id", "courier_id", "seq", verdict.alias("verdict"))
-    open_requests = checked.where(F.col("verdict") == "acceptable")
-    by_order = open_requests.groupBy("order_id").agg(F.min("seq").alias("first_of_order"))
-    by_courier = open_requests.groupBy("courier_id").agg(F.min("seq").alias("first_of_courier"))
-    seq, acceptable = F.col("seq"), F.col("verdict") == "acceptable"
+    checked = checked.withColumn("free", F.coalesce("free", F.lit(False)))
+    same = F.col("held_by").eqNullSafe(F.col("courier_id")) & F.col("held_by").isNotNull()
+    # a repeated assignment of a stored pair makes the courier unavailable as well
+    gone = checked.where(same).groupBy("courier_id").agg(F.min("seq").alias("gone_from"))
+    checked = materialize(checked.join(gone, "courier_id", "left"), "requests")
+    may_take = F.col("order_known") & F.col("held_by").isNull() & F.col("free")
+    may_take = may_take & (F.col("gone_from").isNull() | (F.col("seq") < F.col("gone_from")))
+    accepted = _greedy(checked.where(may_take).select("order_id", "courier_id", "seq"))
+    taken = accepted.select("order_id", F.col("courier_id").alias("taken_by"), F.col("seq").alias("taken_at"))
+    seq, later = F.col("seq"), F.col("taken_at").isNotNull() & (F.col("taken_at") < F.col("seq"))
     outcome = (
-        F.when(acceptable & (seq > F.col("first_of_order")), F.lit("order_taken_earlier"))
-        .when(acceptable & (seq > F.col("first_of_courier")), F.lit("courier_taken_earlier"))
-        .when(acceptable, F.lit("assigned"))
-        .otherwise(F.col("verdict"))
-    )
-    return (
-        checked.join(by_order, "order_id", "left")
-        .join(by_courier, "courier_id", "left")
-        .select("order_id", "courier_id", "seq", outcome.alias("outcome"))
+        F.when(F.col("order_known").isNull(), F.lit("order_not_found"))
+        .when(F.col("held_by").isNotNull() & (F.col("held_by") != F.col("courier_id")), F.lit("assigned_to_another"))
+        .when(F.col("held_by").isNotNull() | later & (F.col("taken_by") == F.col("courier_id")), F.lit("already_assigned"))
+        .when(later, F.lit("order_taken_earlier"))
+        .when((F.col("taken_at") == seq) & (F.col("taken_by") == F.col("courier_id")), F.lit("assigned"))
+        .when(~F.col("free"), F.lit("courier_unavailable"))
+        .otherwise(F.lit("courier_taken_earlier"))
     )
+    return checked.join(taken, "order_id", "left").select("order_id", "courier_id", "seq", outcome.alias("outcome"))
 
 
 def latest_location(positions: DataFrame) -> DataFrame:

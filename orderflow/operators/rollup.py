@@ -92,11 +92,11 @@ def _bucket(ts: str, seconds: int) -> Column:
     return (F.floor(F.unix_seconds(F.col(ts)) / F.lit(seconds)) * seconds).alias("bucket")
 
 
-def order_flow(events: DataFrame, hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+def order_flow(events: DataFrame) -> DataFrame:
     """Per order event: the live-count bucket before and after it, and whether it is the order's first."""
     changes = state.order_changes(events)
     order = ["arrival_ts", "seq"]
-    marked = ordered.mark(changes, ["order_id"], ordered.time_slice(F.col("arrival_ts")), hot_rows)
+    marked = ordered.mark(changes, ordered.time_slice(F.col("arrival_ts")))
     now = ordered.carry(
         marked,
         ["order_id"],
@@ -111,15 +111,15 @@ def order_flow(events: DataFrame, hot_rows: int = ordered.HOT_ROWS) -> DataFrame
     return ordered.carry(now, ["order_id"], order, previous={"before": F.col("after")})
 
 
-def courier_flow(events: DataFrame, hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
-    signals = state.courier_signals(events, hot_rows=hot_rows)
-    marked = ordered.mark(signals, ["courier_id"], ordered.time_slice(F.col("arrival_ts")), hot_rows)
+def courier_flow(events: DataFrame) -> DataFrame:
+    signals = state.courier_signals(events)
+    marked = ordered.mark(signals, ordered.time_slice(F.col("arrival_ts")))
     return ordered.carry(marked, ["courier_id"], ["arrival_ts", "seq"], previous={"before": F.col("available")})
 
 
-def bucket_changes(events: DataFrame, bucket_seconds: int = 1, hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+def bucket_changes(events: DataFrame, bucket_seconds: int = 1) -> DataFrame:
     """Change of every live number per non-empty bucket."""
-    flow = order_flow(events, hot_rows)
+    flow = order_flow(events)
     level = [
         F.sum((F.col("after") == n).cast("long") - F.coalesce((F.col("before") == n).cast("long"), F.lit(0))).alias(n)
         for n in LEVELS
@@ -129,7 +129,7 @@ def bucket_changes(events: DataFrame, bucket_seconds: int = 1, hot_rows: int = o
     )
     now, before = F.col("available").cast("long"), F.coalesce(F.col("before").cast("long"), F.lit(0))
     couriers = (
-        courier_flow(events, hot_rows)
+        courier_flow(events)
         .groupBy(_bucket("arrival_ts", bucket_seconds))
         .agg(F.sum(now - before).alias("couriers"))
     )
@@ -157,7 +157,7 @@ def bucket_changes(events: DataFrame, bucket_seconds: int = 1, hot_rows: int = o
 
 def rollup_deltas(changes: DataFrame, slice_seconds: int = 86_400) -> DataFrame:
     """Cumulative counters of every bucket and their growth since the bucket before, never below 0."""
-    sliced = ordered.mark(changes, [], F.floor(F.col("bucket") / F.lit(slice_seconds)))
+    sliced = ordered.mark(changes, F.floor(F.col("bucket") / F.lit(slice_seconds)))
     totals = ordered.carry(
         sliced,
         [],

@@ -67,7 +67,7 @@ def orders_waiting_courier(events: DataFrame) -> DataFrame:
     return orders.where((F.col("status") == READY) & ~F.col("has_courier")).select("order_id")
 
 
-def courier_signals(events: DataFrame, time: str = "arrival_ts", hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+def courier_signals(events: DataFrame, time: str = "arrival_ts") -> DataFrame:
     """Everything that sets a courier's availability, as (courier_id, available, time, seq).
 
     A delivery frees the courier last assigned to the order before it; it says nothing while none was.
@@ -85,7 +85,7 @@ def courier_signals(events: DataFrame, time: str = "arrival_ts", hot_rows: int =
 
     delivered = (F.col("new_status") == DELIVERED) & ~F.col("created")
     steps = order_changes(events, time).where(delivered | F.col("courier_id").isNotNull())
-    steps = ordered.mark(steps, ["order_id"], ordered.time_slice(F.col(time)), hot_rows)
+    steps = ordered.mark(steps, ordered.time_slice(F.col(time)))
     known = ordered.carry(steps, ["order_id"], [time, "seq"], last_known={"holder": F.col("courier_id")})
     freed = known.where(delivered & F.col("holder").isNotNull()).select(
         F.col("holder").alias("courier_id"), F.lit(True).alias("available"), time, "seq"
@@ -167,10 +167,10 @@ def status_funnel(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def status_steps(events: DataFrame, time: str = "arrival_ts", hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+def status_steps(events: DataFrame, time: str = "arrival_ts") -> DataFrame:
     """Status events with the order's status before them."""
     steps = order_changes(events, time).where(F.col("new_status").isNotNull())
-    steps = ordered.mark(steps, ["order_id"], ordered.time_slice(F.col(time)), hot_rows)
+    steps = ordered.mark(steps, ordered.time_slice(F.col(time)))
     return ordered.carry(steps, ["order_id"], [time, "seq"], previous={"old_status": F.col("new_status")}).select(
         "order_id", time, "seq", "old_status", "new_status"
     )

@@ -48,7 +48,7 @@ QUERIES = {
     "latency_stats": lambda s, d: T.pipeline_latency_stats(samples(s, d), WINDOW),
     "latency_percentiles": lambda s, d: T.latency_percentiles(log(s, d), "endpoint", "latency_ms"),
     "recent_samples": lambda s, d: T.recent_samples(samples(s, d)).select("recorded_at", "pipeline", LATENCY_FIELDS[0]),
-    "endpoint_metrics": lambda s, d: P.endpoint_metrics(log(s, d)),
+    "endpoint_metrics": lambda s, d: P.endpoint_metrics(log(s, d)).withColumn("avg_latency", F.round("avg_latency", 6)),
     "endpoint_p95_exclusive": lambda s, d: P.endpoint_p95(log(s, d)),
     "order_outcomes": lambda s, d: P.order_outcomes(log(s, d)),
     "load_summary": lambda s, d: P.load_summary(log(s, d), *SCENARIO),
@@ -119,7 +119,7 @@ ORACLE = {
         ORDER BY recorded_at DESC, last_event_processed_at_ms DESC, pipeline LIMIT 200""",
     "endpoint_metrics": V.with_(*_REQ, _EXCLUSIVE)
     + f"""SELECT * FROM (SELECT endpoint, count(*) AS total_requests, count(*) FILTER (status_code = 200) AS success,
-        count(*) FILTER (status_code <> 200) AS errors, {V.avg('latency_ms')} AS avg_latency, min(latency_ms) AS min_latency,
+        count(*) FILTER (status_code <> 200) AS errors, round({V.avg('latency_ms')}, 6) AS avg_latency, min(latency_ms) AS min_latency,
         max(latency_ms) AS max_latency FROM req GROUP BY endpoint) JOIN ex USING (endpoint)""",
     "endpoint_p95_exclusive": V.with_(*_REQ, _EXCLUSIVE) + "SELECT * FROM ex",
     "order_outcomes": V.with_(*_REQ, _OUTCOMES) + "SELECT * FROM outcomes",

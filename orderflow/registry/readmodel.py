@@ -145,11 +145,13 @@ ORACLE = {
         restaurant_latitude, restaurant_longitude, order_status, courier_id
         FROM ord JOIN users ON user_id = client_id JOIN restaurants USING (restaurant_id)""",
     "order_detail": _ALL
-    + f"""SELECT order_id, 0 AS section, {V.ISO.format(t='created_at')} AS sort_text, 0::BIGINT AS sort_id, order_status AS label,
-          CAST(NULL AS BIGINT) AS quantity, NULL AS from_status, NULL AS to_status FROM ord
-        UNION ALL SELECT order_id, 1, item_name, line, item_name, quantity, NULL, NULL FROM items WHERE order_id IN (SELECT order_id FROM ord)
-        UNION ALL SELECT order_id, 2, created_at, event_id, event_type, NULL, from_status, to_status FROM oe
-          WHERE order_id IN (SELECT order_id FROM ord)""",
+    + f"""SELECT order_id, 0 AS section, {V.ISO.format(t='created_at')} AS created_at, client_id, restaurant_id, courier_id,
+          order_status AS label, NULL::BIGINT AS sort_id, NULL::BIGINT AS quantity, NULL AS from_status, NULL AS to_status,
+          NULL AS event_status, NULL AS event_message, NULL::DOUBLE AS latitude, NULL::DOUBLE AS longitude FROM ord
+        UNION ALL SELECT order_id, 1, NULL, NULL, NULL, NULL, item_name, line, quantity, NULL, NULL, NULL, NULL, NULL, NULL
+          FROM items WHERE order_id IN (SELECT order_id FROM ord)
+        UNION ALL SELECT order_id, 2, created_at, NULL, NULL, NULL, event_type, event_id, NULL, from_status, to_status, event_status,
+          event_message, NULL, NULL FROM oe WHERE order_id IN (SELECT order_id FROM ord)""",
     "insert_if_absent": _ALL
     + """SELECT * FROM couriers UNION ALL SELECT order_id, 'bike ' || k, true FROM (
           SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY event_id) AS rn FROM ev)
@@ -168,16 +170,29 @@ ORACLE = {
     + """ UNION ALL SELECT 'users.user_type known', count(*) FILTER (user_type NOT IN ('client', 'courier', 'admin')) FROM users
         UNION ALL SELECT 'order_items.quantity positive', count(*) FILTER (quantity <= 0) FROM items
         UNION ALL SELECT 'users.email unique', count(*) FROM users WHERE email IN (SELECT email FROM users GROUP BY email HAVING count(*) > 1)""",
-    "assignment_conflicts": _ALL
-    + """, rq AS (SELECT event_id * 7 % 20000 AS order_id, order_id AS courier_id, event_id AS seq FROM ev),
-        v AS (SELECT rq.*, CASE WHEN o.order_id IS NULL THEN 'order_not_found' WHEN o.courier_id <> rq.courier_id THEN 'assigned_to_another'
-            WHEN o.courier_id IS NULL AND NOT coalesce(c.is_available, false) THEN 'courier_unavailable'
-            WHEN o.courier_id IS NOT NULL THEN 'already_assigned' ELSE 'acceptable' END AS verdict
-          FROM rq LEFT JOIN ord o ON o.order_id = rq.order_id LEFT JOIN couriers c ON c.user_id = rq.courier_id),
-        r AS (SELECT *, row_number() OVER (PARTITION BY order_id, verdict ORDER BY seq) AS ro,
-            row_number() OVER (PARTITION BY courier_id, verdict ORDER BY seq) AS rc FROM v)
-        SELECT order_id, courier_id, seq, CASE WHEN verdict <> 'acceptable' THEN verdict WHEN ro > 1 THEN 'order_taken_earlier'
-          WHEN rc > 1 THEN 'courier_taken_earlier' ELSE 'assigned' END AS outcome FROM r""",
+    # a replay of one request after another; the lists hold what the requests so far have changed
+    "assignment_conflicts": V.with_recursive(
+        V.EV, V.USERS, V.COURIERS, V.RESTAURANTS, V.ORD,
+        """rq AS MATERIALIZED (
+          SELECT row_number() OVER (ORDER BY event_id) AS i, event_id * 7 % 20000 AS order_id, ev.order_id AS courier_id, event_id AS seq,
+            o.order_id IS NOT NULL AS known, o.courier_id AS held, coalesce(c.is_available, false) AS free
+          FROM ev LEFT JOIN ord o ON o.order_id = event_id * 7 % 20000 LEFT JOIN couriers c ON c.user_id = ev.order_id)""",
+        """replay(i, orders_taken, takers, gone, outcome) AS (
+          SELECT 0::BIGINT, []::BIGINT[], []::BIGINT[], []::BIGINT[], ''
+          UNION ALL
+          SELECT i, CASE WHEN outcome = 'assigned' THEN list_append(orders_taken, order_id) ELSE orders_taken END,
+            CASE WHEN outcome = 'assigned' THEN list_append(takers, courier_id) ELSE takers END,
+            CASE WHEN outcome IN ('assigned', 'already_assigned') AND NOT list_contains(gone, courier_id) THEN list_append(gone, courier_id) ELSE gone END,
+            outcome
+          FROM (
+            SELECT i, orders_taken, takers, gone, order_id, courier_id, CASE WHEN NOT known THEN 'order_not_found'
+                WHEN held <> courier_id THEN 'assigned_to_another' WHEN now <> courier_id THEN 'order_taken_earlier'
+                WHEN held IS NOT NULL OR now IS NOT NULL THEN 'already_assigned' WHEN NOT free THEN 'courier_unavailable'
+                WHEN list_contains(gone, courier_id) THEN 'courier_taken_earlier' ELSE 'assigned' END AS outcome
+            FROM (SELECT rq.*, orders_taken, takers, gone, takers[list_position(orders_taken, rq.order_id)] AS now
+                  FROM replay JOIN rq ON rq.i = replay.i + 1)))""",
+    )
+    + "SELECT order_id, courier_id, seq, outcome FROM replay JOIN rq USING (i)",
     "courier_location_log": V.with_(V.EV, _POS) + "SELECT * EXCLUDE (event_id) FROM pos",
     "latest_courier_location": V.with_(V.EV, _POS)
     + """SELECT * EXCLUDE (event_id, rn) FROM (

@@ -22,7 +22,6 @@ V2_TYPES = {
 }
 TRUE_WORDS = ["true", "1", "yes"]
 FALSE_WORDS = ["false", "0", "no"]
-SEARCH_RADII_M = [1000, 3000, 5000, 10000]
 GEOFENCE_LIMIT_DEG2 = 0.05
 # --- end of fixed values ---
 

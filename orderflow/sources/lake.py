@@ -33,21 +33,6 @@ def read_tables(spark: SparkSession, folder: str, fmt: str = "parquet") -> dict[
     return {name: spark.read.schema(schema).format(fmt).load(f"{folder}/{name}") for name, schema in TABLES.items()}
 
 
-def read_table_jdbc(spark: SparkSession, url: str, name: str, key: str, low: int, high: int, parts: int) -> DataFrame:
-    """One relational table over JDBC, read in ``parts`` key ranges."""
-    frame = (
-        spark.read.format("jdbc")
-        .option("url", url)
-        .option("dbtable", name)
-        .option("partitionColumn", key)
-        .option("lowerBound", str(low))
-        .option("upperBound", str(high))
-        .option("numPartitions", str(parts))
-        .load()
-    )
-    return frame.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name].fields])
-
-
 def append_latency_samples(samples: DataFrame, path: str) -> None:
     samples.write.mode("append").json(path)
 

@@ -4,9 +4,11 @@ import math
 import random
 import statistics
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from orderflow.functions import routes
+from orderflow.functions import routes, scalars
 from orderflow.operators import geo, graph, latency, loadtest, normalize, ordered, quantiles, relational, rollup, state
 from orderflow.plans import dispatch, history
 from orderflow.sources import stores
@@ -79,11 +81,11 @@ def test_carry_is_the_same_on_split_keys(spark):
     df = spark.createDataFrame(rows, "k long, t long, id long, v long")
     wanted = dict(previous={"p": F.col("v")}, last_known={"l": F.col("v")}, running_sum={"s": F.col("v")})
     plain = ordered.carry(df, ["k"], ["t", "id"], **wanted)
-    split = ordered.mark(df, ["k"], F.floor(F.col("t") / 10), hot_rows=10)
+    split = ordered.mark(df, F.floor(F.col("t") / 10))
     assert ordered.SLICE in split.columns
     assert _bag(ordered.carry(split, ["k"], ["t", "id"], **wanted).select(plain.columns)) == _bag(plain)
     # without keys everything is sliced
-    whole = ordered.carry(ordered.mark(df, [], F.floor(F.col("t") / 10)), [], ["t", "id"], **wanted).drop(ordered.SLICE)
+    whole = ordered.carry(ordered.mark(df, F.floor(F.col("t") / 10)), [], ["t", "id"], **wanted).drop(ordered.SLICE)
     one = ordered.carry(df.withColumn("c", F.lit(1)), ["c"], ["t", "id"], **wanted).drop("c")
     assert _bag(whole) == _bag(one)
 
@@ -100,10 +102,8 @@ def test_state_equals_a_row_by_row_fold(spark):
     status, held, free, seen = _fold(rows)
     got = {r.order_id: (r.status, r.has_courier) for r in state.latest_orders(events).collect()}
     assert got == {o: (status.get(o), o in held) for o in seen}
-    for hot in (ordered.HOT_ROWS, 5):
-        signals = state.courier_signals(events, hot_rows=hot)
-        newest = signals.groupBy("courier_id").agg(F.max_by("available", state.position()).alias("a"))
-        assert {r.courier_id: r.a for r in newest.collect()} == free
+    newest = state.courier_signals(events).groupBy("courier_id").agg(F.max_by("available", state.position()).alias("a"))
+    assert {r.courier_id: r.a for r in newest.collect()} == free
     snap = state.realtime_snapshot(events).first()
     assert snap.total_orders_processed == len(seen) and snap.tracked_orders == len(status)
     assert snap.orders_delivered == sum(s == "DELIVERED" for s in status.values())
@@ -130,7 +130,7 @@ def test_delivery_frees_only_an_earlier_assignment(spark):
 def test_rollup_equals_repeated_snapshots(spark):
     events, rows = _random_events(spark, 200)
     width = 30
-    changes = rollup.bucket_changes(events, width, hot_rows=7).cache()
+    changes = rollup.bucket_changes(events, width).cache()
     got = {r.bucket: r for r in rollup.ring(changes, rollup.newest_bucket(events, width), width, size=40).collect()}
     newest = max(r[5] for r in rows) // width * width
     assert sorted(got) == [newest - i * width for i in range(39, -1, -1)]
@@ -166,18 +166,17 @@ def test_percentiles(spark):
     data = {None: [4.0, 8.0], "a": [round(r.expovariate(0.01), 2) for _ in range(257)], "b": [5.0], "c": [1.0, 1.0, 2.0]}
     df = spark.createDataFrame([(g, v) for g, vs in data.items() for v in vs], "g string, v double")
     wanted = {"p50": quantiles.linear("v", 0.5), "p95": quantiles.linear("v", 0.95), "x95": quantiles.exclusive("v", 95)}
-    for hot in (ordered.HOT_ROWS, 2):
-        for row in quantiles.percentiles(df, ["g"], "v", wanted, hot_rows=hot).collect():
-            values = sorted(data[row.g])
+    for row in quantiles.percentiles(df, ["g"], "v", wanted).collect():
+        values = sorted(data[row.g])
 
-            def at(p):
-                rank = (len(values) - 1) * p
-                low = int(rank)
-                return values[low] * (1 - (rank - low)) + values[min(low + 1, len(values) - 1)] * (rank - low)
+        def at(p):
+            rank = (len(values) - 1) * p
+            low = int(rank)
+            return values[low] * (1 - (rank - low)) + values[min(low + 1, len(values) - 1)] * (rank - low)
 
-            assert math.isclose(row.p50, at(0.5)) and math.isclose(row.p95, at(0.95))
-            exclusive = values[0] if len(values) == 1 else statistics.quantiles(values, n=100)[94]
-            assert math.isclose(row.x95, exclusive)
+        assert math.isclose(row.p50, at(0.5)) and math.isclose(row.p95, at(0.95))
+        exclusive = values[0] if len(values) == 1 else statistics.quantiles(values, n=100)[94]
+        assert math.isclose(row.x95, exclusive)
 
 
 def test_nearest_equals_brute_force(spark):
@@ -374,9 +373,58 @@ def test_status_predicates_and_snapshot_age(spark):
 def test_one_key_with_a_third_of_all_rows_is_sliced(spark):
     rows = [(1 if i % 3 == 0 else i, i) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, t long")
-    hot = ordered.hot_keys(df, ["k"], hot_rows=500)
-    assert [r.k for r in hot.collect()] == [1]
-    split = ordered.mark(df, ["k"], F.floor(F.col("t") / 100), hot_rows=500)
+    split = ordered.mark(df, F.floor(F.col("t") / 100))
     sizes = split.groupBy("k", ordered.SLICE).count().agg(F.max("count")).first()[0]
     assert sizes <= 100
-    assert ordered.hot_keys(df, ["k"], hot_rows=5000) is None
+
+
+def test_assignment_is_judged_request_by_request(spark):
+    orders = [(1, None), (2, None), (3, 30), (4, None), (5, None)]
+    couriers = [(10, True), (11, True), (12, False), (30, True), (13, True)]
+    requests = [(1, 10), (1, 11), (2, 11), (2, 11), (9, 13), (3, 13), (3, 30), (4, 30), (4, 12), (4, 99), (5, 10), (4, 13), (5, 13), (4, 10)]
+    of = dict(orders)
+    free = {c for c, f in couriers if f}
+    want = []
+    for order, courier in requests:
+        if order not in of:
+            want.append("order_not_found")
+        elif of[order] is not None and of[order] != courier:
+            want.append("assigned_to_another" if dict(orders)[order] is not None else "order_taken_earlier")
+        elif of[order] is None and courier not in free:
+            want.append("courier_taken_earlier" if dict(couriers).get(courier) else "courier_unavailable")
+        else:
+            want.append("assigned" if of[order] is None else "already_assigned")
+            of[order] = courier
+            free.discard(courier)
+    got = relational.assignment_conflicts(
+        spark.createDataFrame([(*r, i) for i, r in enumerate(requests)], "order_id long, courier_id long, seq long"),
+        spark.createDataFrame(orders, "order_id long, courier_id long"),
+        spark.createDataFrame(couriers, "user_id long, is_available boolean"),
+    )
+    assert [r.outcome for r in sorted(got.collect(), key=lambda r: r.seq)] == want
+    assert want[:3] == ["assigned", "order_taken_earlier", "assigned"]
+
+
+def test_roads_of_no_length_end_and_negative_ones_fail(spark):
+    roads = graph.collapse_edges(spark.createDataFrame([(9, 2, 5.0), (2, 3, 0.0), (3, 4, 0.0), (4, 2, 0.0)], "u long, v long, length double"))
+    labels = graph.shortest_distances(roads, spark.createDataFrame([(9, 9)], "src long, node long"))
+    path = graph.walk_back(labels, roads, spark.createDataFrame([(9, 4), (9, 7)], "src long, node long"))
+    assert [(r.step, r.node, r.dist) for r in path.orderBy("step").collect()] == [(0, 4, 5.0), (1, 2, 5.0), (2, 9, 0.0)]
+    with pytest.raises(Exception, match="negative length"):
+        graph.collapse_edges(spark.createDataFrame([(1, 2, -1.0)], "u long, v long, length double")).collect()
+
+
+def test_a_leg_without_roads_is_a_straight_line(spark):
+    roads = graph.collapse_edges(spark.createDataFrame([(1, 2, 3.0), (8, 9, 1.0)], "u long, v long, length double"))
+    nodes = spark.createDataFrame([(1, 0.0, 0.0), (2, 1.0, 1.0), (8, 5.0, 5.0), (9, 6.0, 6.0)], "id long, x double, y double")
+    trips = spark.createDataFrame([(1, 2, 8, 1)], "order_id long, restaurant_node long, client_node long, courier_node long")
+    rows = dispatch.route_legs(trips, nodes, roads).orderBy("leg", "position").collect()
+    line = [(r.lat, r.node, r.dist) for r in rows if r.leg == "delivery"]
+    assert len(line) == 20 and line[0] == (1.0, None, None) and line[5][0] == 2.0
+    assert [(r.position, r.node) for r in rows if r.leg == "pickup"] == [(0, 1), (1, 2)]
+
+
+def test_averages_keep_all_decimals(spark):
+    values = spark.createDataFrame([(0.0004,), (0.0004,), (12.3456789,), (None,)], "v double")
+    assert abs(values.agg(scalars.exact_avg(F.col("v"))).first()[0] - 12.3464789 / 3) < 1e-12
+    assert spark.createDataFrame([(1e30,), (3e30,)], "v double").agg(scalars.exact_avg(F.col("v"))).first()[0] == 2e30

@@ -1,12 +1,16 @@
 """Every registered query against its SQL twin, on the smallest tables."""
 
+from importlib import import_module
+
 import pytest
 
 import __spark_entry__ as entry
 from tests import oracle
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+CORE = [import_module(f"orderflow.registry.{name}") for name in entry._GROUPS]
+QUERIES = {name: entry.queries()[name] for group in CORE for name in group.QUERIES}
+SQL = {name: sql for group in CORE for name, sql in group.ORACLE.items()}
 
 
 @pytest.fixture(scope="module")
