@@ -96,7 +96,8 @@ REQ = """req AS (
 
 
 def avg(value: str) -> str:
-    return f"avg({value})"
+    """Average; the sum is of decimals, so that its last digits do not hang on the order of the rows."""
+    return f"(CAST(sum(CAST({value} AS DECIMAL(30,12))) AS DOUBLE) / count({value}))"
 
 
 def rnd(value: str, digits: int) -> str:
