@@ -161,7 +161,7 @@ class _Postings:
         for ids, _, (row, position) in self.candidates(windows.words):
             for back in range(span):  # the span starts at most so far before the rarest word
                 start = position - back
-                window, last, fits = ids[row], position.copy(), np.zeros(len(row), bool)
+                window, last, fits = ids[row], start.copy(), np.zeros(len(row), bool)
                 ok = start >= 0
                 for j in range(windows.words.shape[1]):
                     term = windows.words[window, j]
