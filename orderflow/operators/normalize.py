@@ -192,10 +192,14 @@ def normalize(df: DataFrame, payload: str = "payload", split_frames: bool = Fals
     return classify(unbatch(df, payload, split_frames))
 
 
+def is_bad() -> Column:
+    """Text that is no JSON, and objects of no known shape."""
+    return F.col("parse_error") | F.col("event_type").eqNullSafe(UNKNOWN)
+
+
 def quarantine(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, bad): bad rows are text that is no JSON and objects of no known shape."""
-    bad = F.col("parse_error") | F.col("event_type").eqNullSafe(UNKNOWN)
-    return events.where(~bad), events.where(bad)
+    """(good, bad) rows."""
+    return events.where(~is_bad()), events.where(is_bad())
 
 
 def format_counts(events: DataFrame) -> DataFrame:

@@ -39,8 +39,11 @@ def normalize_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unbatch_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    """Each payload wrapped as an array, a records object or glued frames, with a scalar mixed in."""
-    raw = fixtures.raw_events(fixtures.spread(fixtures.events(spark, folder))).where(F.col("payload").startswith("{"))
+    """Each payload wrapped as an array, a records object or glued frames, with a scalar mixed in.
+
+    A payload that is no JSON makes its wrapper unreadable as a whole.
+    """
+    raw = fixtures.raw_events(fixtures.spread(fixtures.events(spark, folder)))
     p, turn = F.col("payload"), F.col("event_id") % 3
     note = F.format_string('{"note":"a}{b","order_id":%d,"status":"x"}', F.col("event_id"))
     batch = (
@@ -120,7 +123,8 @@ ORACLE = {
         epoch_us(event_ts) AS event_us FROM nm""",
     "unbatch_payloads": V.with_(V.EV, V.NM)
     + """SELECT event_id, event_type, order_id, status, format_name, false AS parse_error FROM nm WHERE format_name <> 'unknown:raw_text'
-        UNION ALL SELECT event_id, 'STATUS_CHANGE', event_id, 'X', 'status_update', false FROM nm WHERE format_name <> 'unknown:raw_text'""",
+        UNION ALL SELECT event_id, 'STATUS_CHANGE', event_id, 'X', 'status_update', false FROM nm WHERE format_name <> 'unknown:raw_text'
+        UNION ALL SELECT event_id, 'UNKNOWN', NULL, NULL, 'unknown:raw_text', true FROM nm WHERE format_name = 'unknown:raw_text'""",
     "quarantine_bad_records": V.with_(V.EV, V.NM)
     + "SELECT event_id, format_name, format_name = 'unknown:raw_text' AS parse_error FROM nm WHERE event_type = 'UNKNOWN'",
     "format_counts": V.with_(V.EV, V.NM) + "SELECT format_name, count(*) AS total FROM nm GROUP BY ALL",

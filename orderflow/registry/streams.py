@@ -25,7 +25,8 @@ def normalized(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_latest_status(spark: SparkSession, folder: str) -> DataFrame:
     stream, path = P.latest_status(normalized(spark, folder)), scratch_path(spark, "status")
-    P.run_available(P.upsert_log(stream, f"{path}/data", f"{path}/checkpoint"))
+    with P.rocksdb_state(spark):
+        P.run_available(P.upsert_log(stream, f"{path}/data", f"{path}/checkpoint"))
     return P.read_upserts(spark, f"{path}/data", stream.schema, ["order_id"])
 
 
@@ -60,7 +61,26 @@ def stream_lake_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return lake.groupBy(*PARTITIONS, "event_type").agg(F.count(F.lit(1)).alias("events"), F.max("event_id").alias("last_id"))
 
 
+def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Bad records of the stream, set aside while the good ones are stored."""
+    path = scratch_path(spark, "quarantine")
+    P.run_available(P.with_quarantine(X.raw_events(source(spark, folder)), f"{path}/data", f"{path}/checkpoint"))
+    return P.read_quarantined(spark, f"{path}/data", True).select("event_id", "format_name", "parse_error")
+
+
+def stream_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """A snapshot of the keyed state per trigger, newest row per status."""
+    stream, path = P.latest_status(normalized(spark, folder)), scratch_path(spark, "stream-snapshots")
+    with P.rocksdb_state(spark):
+        make = lambda batch: batch.groupBy("status").agg(F.count(F.lit(1)).alias("total"))
+        P.run_available(P.on_snapshot(stream, make, f"{path}/data", f"{path}/checkpoint", availableNow=True))
+    shown = spark.read.schema("status string, total long, batch_id long").parquet(f"{path}/data")
+    return shown.groupBy("status").agg(F.max_by("total", "batch_id").alias("total"))
+
+
 QUERIES = {
+    "stream_quarantine": stream_quarantine,
+    "stream_snapshots": stream_snapshots,
     "stream_latest_status": stream_latest_status,
     "stream_status_counts": stream_status_counts,
     "stream_tumbling_rollup": lambda s, d: P.collected(P.tumbling(normalized(s, d), "1 hour", DELAY, "event_type"), "tumbling"),
@@ -75,6 +95,9 @@ _STATE = live._STATE
 _MARK = "(SELECT epoch_us(max(arrival_ts)) // 1000 / 1000.0::DOUBLE - 3600 FROM nm)"
 
 ORACLE = {
+    "stream_quarantine": V.with_(V.EV, V.NM)
+    + "SELECT event_id, format_name, format_name = 'unknown:raw_text' AS parse_error FROM nm WHERE event_type = 'UNKNOWN'",
+    "stream_snapshots": V.with_(*_STATE) + "SELECT status, count(*) AS total FROM lo WHERE status IS NOT NULL GROUP BY status",
     "stream_latest_status": V.with_(*_STATE) + "SELECT order_id, status FROM lo WHERE status IS NOT NULL",
     "stream_status_counts": V.with_(*_STATE) + "SELECT status, count(*) AS total FROM lo WHERE status IS NOT NULL GROUP BY status",
     # only windows the watermark has passed are complete

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # of a repeated key in a JSON document the last value counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

@@ -54,9 +54,15 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
     return writer.trigger(**(trigger or {"availableNow": True})).start(path)
 
 
-def to_lake(events: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", **trigger) -> StreamingQuery:
-    """Hour-partitioned lake; ``processingTime='60 seconds'`` gives the usual flush interval."""
-    return append_to(events.repartition(*PARTITIONS), path, checkpoint, fmt, PARTITIONS, **trigger)
+def to_lake(
+    events: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", key: str = "order_id", files_per_hour: int = 4, **trigger
+) -> StreamingQuery:
+    """Hour-partitioned lake; ``processingTime='60 seconds'`` gives the usual flush interval.
+
+    A live batch is mostly one hour, so an hour's rows go to ``files_per_hour`` tasks, by ``key``.
+    """
+    spread = F.pmod(F.xxhash64(key), F.lit(files_per_hour))
+    return append_to(events.repartition(*PARTITIONS, spread), path, checkpoint, fmt, PARTITIONS, **trigger)
 
 
 def upsert_log(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -77,18 +83,23 @@ def read_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: lis
     return newest.select(*keys, "_r.*")
 
 
-def with_quarantine(raw: DataFrame, good_path: str, bad_path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Normalised events to one table and unreadable or unknown payloads to another, per micro-batch."""
+def with_quarantine(raw: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Normalised events, per micro-batch parsed and written once; ``quarantined`` tells unreadable or unknown payloads."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = N.quarantine(N.normalize(batch))
-        good.write.mode("overwrite").parquet(f"{good_path}/batch_id={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{bad_path}/batch_id={batch_id}")
+        rows = N.normalize(batch)
+        rows = rows.withColumn("quarantined", F.coalesce(N.is_bad(), F.lit(False)))
+        rows.write.mode("overwrite").partitionBy("quarantined").parquet(f"{path}/batch_id={batch_id}")
 
     writer = raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def read_quarantined(spark: SparkSession, path: str, bad: bool) -> DataFrame:
+    """The good or the bad rows of ``with_quarantine``; only their folders are read."""
+    return spark.read.parquet(path).where(F.col("quarantined").cast("boolean") == bad).drop("quarantined")
+
+
 def on_snapshot(
     stream: DataFrame, make: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
@@ -140,16 +151,16 @@ class HolderState(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         steps = pd.concat(list(rows)).sort_values(["arrival_us", "seq"])
         before = self._holder.get()[0] if self._holder.exists() else None
-        holder = steps["courier_id"].astype("Float64").ffill()
+        holder = steps["courier_id"].ffill()  # ids as text: a column of numbers with gaps would pass through floating point
         if before is not None:
-            holder = holder.fillna(before)
+            holder = holder.fillna(str(before))
         steps = steps.assign(holder=holder)
         last = steps["holder"].iloc[-1]
         if pd.notna(last):
             self._holder.update((int(last),))
         freed = steps[steps["delivered"] & steps["holder"].notna()]
         yield pd.DataFrame(
-            {"courier_id": freed["holder"].astype("int64"), "available": True, "arrival_us": freed["arrival_us"], "seq": freed["seq"]}
+            {"courier_id": [int(c) for c in freed["holder"]], "available": True, "arrival_us": freed["arrival_us"], "seq": freed["seq"]}
         )
 
     def close(self) -> None:
@@ -172,7 +183,7 @@ def courier_signals(events: DataFrame) -> DataFrame:
     ).where(courier.isNotNull() & F.col("available").isNotNull())
     delivered = (F.col("new_status") == DELIVERED) & ~F.col("created")
     steps = S.order_changes(events).select(
-        "order_id", "courier_id", F.coalesce(delivered, F.lit(False)).alias("delivered"), at, "seq"
+        "order_id", courier.cast("string").alias("courier_id"), F.coalesce(delivered, F.lit(False)).alias("delivered"), at, "seq"
     )
     steps = steps.where(F.col("delivered") | F.col("courier_id").isNotNull())
     freed = steps.groupBy("order_id").transformWithStateInPandas(

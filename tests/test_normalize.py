@@ -112,3 +112,9 @@ def test_encode_round_trip(spark, style, kind):
     assert sent.first().partition_key == "7"
     back = N.normalize(sent, payload="data").first()
     assert (back.event_type, back.order_id, back.status, back.format_name) == ("ORDER_CREATED", 7, "PENDING", kind)
+
+
+def test_last_value_of_a_repeated_key_counts(spark):
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    row = N.normalize(spark.createDataFrame([('{"order_id":1,"status":"a","status":"b"}',)], "payload string")).first()
+    assert (row.status, row.parse_error) == ("B", False)

@@ -48,10 +48,24 @@ def test_courier_signals_over_micro_batches(spark, tmp_path):
 def test_quarantine_splits_every_batch(spark, tmp_path):
     raw = _raw_files(spark, str(tmp_path / "in"))
     stream = P.read_stream(spark, str(tmp_path / "in"), raw.schema, maxFilesPerTrigger="1")
-    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
-    P.run_available(P.with_quarantine(stream, good, bad, str(tmp_path / "cp")))
-    assert spark.read.parquet(good).count() + spark.read.parquet(bad).count() == raw.count()
-    assert {r.event_type for r in spark.read.parquet(bad).select("event_type").distinct().collect()} == {"UNKNOWN"}
+    out = str(tmp_path / "out")
+    P.run_available(P.with_quarantine(stream, out, str(tmp_path / "cp")))
+    good, bad = P.read_quarantined(spark, out, False), P.read_quarantined(spark, out, True)
+    assert good.count() + bad.count() == raw.count()
+    assert {r.event_type for r in bad.select("event_type").distinct().collect()} == {"UNKNOWN"}
+    assert good.where(F.col("event_type") == "UNKNOWN").isEmpty()
+
+
+def test_large_courier_ids_stay_whole(spark, tmp_path):
+    big = 2**53 + 1
+    rows = [("COURIER_ASSIGNED", 1, None, big, None, 1, 1), ("STATUS_CHANGE", 1, "DELIVERED", None, None, 2, 2)]
+    schema = "event_type string, order_id long, status string, courier_id long, courier_available boolean, at long, seq long"
+    at = F.timestamp_seconds("at")
+    events = spark.createDataFrame(rows, schema).select("*", at.alias("event_ts"), at.alias("arrival_ts")).drop("at")
+    events.write.parquet(str(tmp_path / "in"))
+    with P.rocksdb_state(spark):
+        got = P.collected(P.courier_signals(P.read_stream(spark, str(tmp_path / "in"), events.schema)), "signals").collect()
+    assert sorted((r.courier_id, r.available) for r in got) == [(big, False), (big, True)]
 
 
 def test_restart_continues_from_the_checkpoint(spark, tmp_path):
