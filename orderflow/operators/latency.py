@@ -39,18 +39,11 @@ def latency_samples(shown: DataFrame, recent_ms: int = RECENT_MS) -> DataFrame:
     )
 
 
-def pipeline_latency_stats(samples: DataFrame, window_seconds: int = 300) -> DataFrame:
-    """Samples, average, p50, p95 and last value per pipeline, field and tumbling window.
+_TIE = ["recorded_at", "last_event_processed_at_ms", "total_orders_processed"]
 
-    ``samples`` needs ``recorded_at`` (epoch seconds) and, against ties, ``total_orders_processed``.
-    """
-    window = (F.floor(F.col("recorded_at") / window_seconds) * window_seconds).alias("window_start")
-    tie = ["recorded_at", "last_event_processed_at_ms", "total_orders_processed"]
-    long = samples.select("pipeline", window, *tie, *LATENCY_FIELDS).unpivot(
-        ["pipeline", "window_start", *tie], LATENCY_FIELDS, "field", "value"
-    )
-    groups = ["pipeline", "window_start", "field"]
-    latest = F.when(F.col("value").isNotNull(), F.struct(*tie))
+
+def _stats(long: DataFrame, groups: list[str]) -> DataFrame:
+    latest = F.when(F.col("value").isNotNull(), F.struct(*_TIE))
     base = long.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("samples"),
         F.round(X.exact_avg(F.col("value")), 2).alias("avg"),
@@ -62,6 +55,25 @@ def pipeline_latency_stats(samples: DataFrame, window_seconds: int = 300) -> Dat
     return join_same(base, ranks, groups, "left")
 
 
+def window_latency_stats(samples: DataFrame, window_seconds: int = 300) -> DataFrame:
+    """Samples, average, p50, p95 and last value per pipeline, field and tumbling window.
+
+    ``samples`` needs ``recorded_at`` (epoch seconds) and, against ties, ``total_orders_processed``.
+    """
+    window = (F.floor(F.col("recorded_at") / window_seconds) * window_seconds).alias("window_start")
+    long = samples.select("pipeline", window, *_TIE, *LATENCY_FIELDS).unpivot(
+        ["pipeline", "window_start", *_TIE], LATENCY_FIELDS, "field", "value"
+    )
+    return _stats(long, ["pipeline", "window_start", "field"])
+
+
+def pipeline_latency_stats(samples: DataFrame, as_of: Column, window_seconds: int = 300) -> DataFrame:
+    """The same per pipeline and field over the samples of the last ``window_seconds`` before ``as_of``, bounds included."""
+    kept = samples.where(F.col("recorded_at").between(as_of - window_seconds, as_of))
+    long = kept.select("pipeline", *_TIE, *LATENCY_FIELDS).unpivot(["pipeline", *_TIE], LATENCY_FIELDS, "field", "value")
+    return _stats(long, ["pipeline", "field"])
+
+
 def latency_percentiles(df: DataFrame, group: str, value: str) -> DataFrame:
     """Samples, average, p50, p95 and maximum per group."""
     base = df.groupBy(group).agg(

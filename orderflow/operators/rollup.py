@@ -38,13 +38,12 @@ def window_summary(events: DataFrame, window_seconds: int = 60, tick_seconds: in
     rows = _windowed(with_latency(events), window_seconds, tick_seconds, "event_type", "latency_ms")
     exact = F.col("latency_ms").cast("decimal(18,3)")
     per_type = rows.groupBy("window_end", "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(exact).alias("s"))
-    n, s = F.sum("n"), F.sum("s")
-    whole = per_type.groupBy("window_end").agg(
-        n.alias("window_events"), F.round(s.cast("double") / n, 2).alias("latency_avg_ms")
-    )
-    return per_type.join(whole, "window_end").select(
-        "window_end", "event_type", F.col("n").alias("type_events"), "window_events", "latency_avg_ms"
-    )
+    whole = Window.partitionBy("window_end")  # one row per event type
+    n, s = F.sum("n").over(whole), F.sum("s").over(whole)
+    return per_type.select(
+        "window_end", "event_type", F.col("n").alias("type_events"), n.alias("window_events"),
+        F.round(s.cast("double") / n, 2).alias("latency_avg_ms"),
+    )
 
 
 def window_by_status(events: DataFrame, window_seconds: int = 60, tick_seconds: int = 60) -> DataFrame:

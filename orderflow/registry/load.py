@@ -12,7 +12,7 @@ from orderflow.session import scratch_path
 from orderflow.sources import lake as L
 
 #: The given events are minutes apart, so statistics are per hour in place of five minutes.
-WINDOW = 3600
+WINDOW, DAY = 3600, 86_400
 SCENARIO = ("peak", 50, 60)
 
 
@@ -27,6 +27,12 @@ def latency_samples(spark: SparkSession, folder: str) -> DataFrame:
     return L.read_latency_samples(spark, path)
 
 
+def pipeline_latency_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """The last day before the newest sample."""
+    shown = samples(spark, folder)
+    return T.pipeline_latency_stats(shown, shown.agg(F.max("recorded_at")).scalar(), DAY)
+
+
 def log(spark: SparkSession, folder: str) -> DataFrame:
     return fixtures.request_log(fixtures.events(spark, folder))
 
@@ -45,7 +51,8 @@ def load_report_document(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "latency_samples": latency_samples,
-    "latency_stats": lambda s, d: T.pipeline_latency_stats(samples(s, d), WINDOW),
+    "latency_stats": lambda s, d: T.window_latency_stats(samples(s, d), WINDOW),
+    "pipeline_latency_stats": pipeline_latency_stats,
     "latency_percentiles": lambda s, d: T.latency_percentiles(log(s, d), "endpoint", "latency_ms"),
     "recent_samples": lambda s, d: T.recent_samples(samples(s, d)).select("recorded_at", "pipeline", LATENCY_FIELDS[0]),
     "endpoint_metrics": lambda s, d: P.endpoint_metrics(log(s, d)).withColumn("avg_latency", F.round("avg_latency", 6)),
@@ -110,6 +117,14 @@ ORACLE = {
         SELECT pipeline, window_start, field, count(*) AS samples, {V.rnd(V.avg('value'), 2)} AS avg,
           {V.rnd('arg_max(value, (recorded_at, processed, total)) FILTER (value IS NOT NULL)', 2)} AS last
         FROM f GROUP BY ALL) LEFT JOIN pc USING (pipeline, window_start, field)""",
+    "pipeline_latency_stats": V.with_(
+        V.EV, _SAMPLES, f"f AS (SELECT * FROM ({_FIELDS}) WHERE recorded_at >= (SELECT max(recorded_at) FROM samples) - {DAY})",
+        _linear("f", "pipeline, field", "value"),
+    )
+    + f"""SELECT pipeline, field, samples, avg, last, {V.rnd('p50', 2)} AS p50, {V.rnd('p95', 2)} AS p95 FROM (
+        SELECT pipeline, field, count(*) AS samples, {V.rnd(V.avg('value'), 2)} AS avg,
+          {V.rnd('arg_max(value, (recorded_at, processed, total)) FILTER (value IS NOT NULL)', 2)} AS last
+        FROM f GROUP BY ALL) LEFT JOIN pc USING (pipeline, field)""",
     "latency_percentiles": V.with_(*_REQ, _linear("req", "endpoint", "latency_ms"))
     + f"""SELECT endpoint, samples, avg, max, p50, p95 FROM (
         SELECT endpoint, count(*) AS samples, {V.rnd(V.avg('latency_ms'), 2)} AS avg, max(latency_ms) AS max FROM req GROUP BY endpoint)

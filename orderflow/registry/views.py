@@ -36,21 +36,21 @@ LATEST = """latest AS (
 # Expected normalised events, computed from the event id and never from the JSON text.
 NM = f"""nm AS (
   SELECT event_id, arrival_ts, event_id AS seq,
-    CASE event_id % 10 WHEN 0 THEN 'ORDER_CREATED' WHEN 2 THEN 'COURIER_ASSIGNED' WHEN 4 THEN 'COURIER_ASSIGNED'
+    CASE digit WHEN 0 THEN 'ORDER_CREATED' WHEN 2 THEN 'COURIER_ASSIGNED' WHEN 4 THEN 'COURIER_ASSIGNED'
       WHEN 3 THEN CASE WHEN status = 'PENDING' THEN 'ORDER_CREATED' ELSE 'STATUS_CHANGE' END
       WHEN 6 THEN 'COURIER_AVAILABILITY' WHEN 7 THEN 'COURIER_LOCATION' WHEN 8 THEN 'UNKNOWN' ELSE 'STATUS_CHANGE' END AS event_type,
-    CASE WHEN event_id % 10 IN (6, 8) OR (event_id % 10 = 7 AND (event_id // 10) % 2 = 1) THEN NULL ELSE order_id END AS order_id,
-    CASE WHEN event_id % 10 = 0 THEN 'PENDING' WHEN event_id % 10 IN (1, 3, 5, 9) THEN status END AS status,
-    CASE WHEN event_id % 10 IN (2, 4, 5, 6, 7) THEN k END AS courier_id,
-    CASE WHEN event_id % 10 = 6 THEN CASE (event_id // 10) % 5 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN 3 THEN false END
-      WHEN event_id % 10 = 7 AND (event_id // 10) % 2 = 0 THEN false END AS courier_available,
-    CASE WHEN event_id % 10 <= 2 THEN 'flat_order_event_v2' WHEN event_id % 10 <= 4 THEN 'flat_order_event'
-      WHEN event_id % 10 = 5 THEN 'nested_order' WHEN event_id % 10 = 6 THEN 'courier_availability'
-      WHEN event_id % 10 = 7 THEN 'courier_location' WHEN event_id % 10 = 9 THEN 'status_update'
+    CASE WHEN digit IN (6, 8) OR (digit = 7 AND (event_id // 10) % 2 = 1) THEN NULL ELSE order_id END AS order_id,
+    CASE WHEN digit = 0 THEN 'PENDING' WHEN digit IN (1, 3, 5, 9) THEN status END AS status,
+    CASE WHEN digit IN (2, 4, 5, 6, 7) THEN k END AS courier_id,
+    CASE WHEN digit = 6 THEN CASE (event_id // 10) % 5 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN 3 THEN false END
+      WHEN digit = 7 AND (event_id // 10) % 2 = 0 THEN false END AS courier_available,
+    CASE WHEN digit <= 2 THEN 'flat_order_event_v2' WHEN digit <= 4 THEN 'flat_order_event'
+      WHEN digit = 5 THEN 'nested_order' WHEN digit = 6 THEN 'courier_availability'
+      WHEN digit = 7 THEN 'courier_location' WHEN digit = 9 THEN 'status_update'
       WHEN (event_id // 10) % 2 = 0 THEN 'unknown:raw_text' ELSE 'unknown:aa,timestamp,zz' END AS format_name,
-    CASE WHEN event_id % 10 IN (7, 9) OR (event_id % 10 = 8 AND (event_id // 10) % 2 = 0) THEN NULL
-      WHEN event_id % 10 = 6 THEN date_trunc('second', ts) ELSE ts END AS event_ts
-  FROM ev)"""
+    CASE WHEN digit IN (7, 9) OR (digit = 8 AND (event_id // 10) % 2 = 0) THEN NULL
+      WHEN digit = 6 THEN date_trunc('second', ts) ELSE ts END AS event_ts
+  FROM (SELECT *, CASE WHEN order_id % 7 = 3 AND event_id % 10 IN (2, 4) THEN 9 ELSE event_id % 10 END AS digit FROM ev))"""
 
 
 def lat(key: str, step: int) -> str:

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
