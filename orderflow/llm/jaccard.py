@@ -9,9 +9,11 @@ all sets; by the prefix principle two linked sets then index a common one. How m
 allocated per band at the least estimated cost: signature rows against the frequent signatures they spare.
 
 Documents with equal sets form one class, and classes are joined. Classes sharing a signature form a bucket. All
-classes of a bucket are compared with its hub, the one with the most frequent signatures, on their exact sets. What the
-hub does not bring into one component is compared with the rest of the bucket, unless sizes or the two distances from
-the hub exclude it (the Jaccard distance is a metric). So a group of near copies costs a star, not all its pairs.
+classes of a bucket are compared with its hub, the one with the most frequent signatures. What the hub does not bring
+into one component is compared with the rest of the bucket, unless sizes or the two distances from the hub exclude it.
+So a group of near copies costs a star, not all its pairs. A comparison first counts differing segments, by one byte
+each: there are no more of them than differing elements, and as a distance they obey the triangle inequality. Pairs
+that this does not exclude are compared on their exact sets.
 
 The frequency table has a fixed size and steers cost only: any table gives the same links. Sets are hashed shingles
 of 64 bits, classes 128-bit sums over them.
@@ -34,12 +36,13 @@ from orderflow.llm.words import SPACED, WordClass, _mixed, blocks
 from orderflow.session import materialize, scratch_path
 
 WORDS, NUM, DEN = 3, 9, 10
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 2048
 BAND_RATIO, SLACK = 1.5, 2
 TABLE_BITS = 22  # of the frequency table: 4 bytes times two to this
 LOCAL_COUNT = 4  # occurrences in one task from which a place of the table is reported
 MAX_NEIGHBOURHOODS = 4
 FILTER_BITS = 27  # of the filter of wanted classes
+CHUNK, COMPARED = 512, 1 << 22  # classes of a bucket in one block, bytes of codes compared at once
 
 LIMITS = [1, 2, 3, 5]
 while LIMITS[-1] < 1 << 40:
@@ -81,7 +84,7 @@ class Plan:
 
 
 def shingle_sets(texts: pa.Array, words: int, kind: WordClass = SPACED) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct shingle hashes of every text in order, their number per text)."""
+    """(distinct shingle hashes of every text in order, their number per text); at most BLOCK_ROWS texts."""
     tokens, n = kind.hashes(texts)
     begin = np.cumsum(n) - n
     many = np.where(n > 0, np.maximum(n - words + 1, 1), 0)
@@ -91,10 +94,11 @@ def shingle_sets(texts: pa.Array, words: int, kind: WordClass = SPACED) -> tuple
     value = _mixed(size.astype(np.uint64))
     for i in range(words):
         value = np.where(i < size, _mixed(value + tokens[np.minimum(at + i, max(len(tokens) - 1, 0))] * np.uint64(2 * i + 3)), value) if len(at) else value
-    order = np.lexsort((value, doc))
+    # the text's number and the leading bits in one number sort fast
+    order = np.argsort((doc.astype(np.uint64) << np.uint64(53)) | (value >> np.uint64(11)))
     value, doc = value[order], doc[order]
     new = np.ones(len(doc), bool)
-    new[1:] = (np.diff(doc) != 0) | (value[1:] != value[:-1])
+    new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
     return value[new], np.bincount(doc[new], minlength=len(n))
 
 
@@ -150,7 +154,7 @@ def _place(signature: np.ndarray) -> np.ndarray:
 
 
 def _read_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple]:
-    for batch in blocks(batches, "_text", BLOCK_BYTES):
+    for batch in blocks(batches, "_text", BLOCK_BYTES, BLOCK_ROWS):
         values, n = shingle_sets(batch.column("_text"), words)
         yield batch, values, n, *class_keys(values, n)
 
@@ -171,44 +175,50 @@ def _only(values: np.ndarray, n: np.ndarray, keep: np.ndarray) -> tuple[np.ndarr
     return values[np.repeat(wanted, n)], n[wanted]
 
 
-def frequencies(texts: DataFrame, plan: Plan, words: int) -> tuple[np.ndarray, Plan]:
-    """The frequency table, and the plan with neighbourhoods allocated."""
-    bands = len(LIMITS) - 1
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen, stats = np.zeros(1 << TABLE_BITS, np.int32), set(), np.zeros((3, bands))
-        per_band = []
-        for _, values, n, a, b in _read_sets(batches, words):
-            some, size = _only(values, n, _distinct(a, b, n, seen))
-            (role, signature, _), (row, band, _), _ = signatures(plan, some, size)
-            place = _place(signature)
-            table += np.bincount(place, minlength=len(table)).astype(np.int32)
-            per_band.append(np.unique(np.stack([band[role], place]), axis=1, return_counts=True))
-            stats += [np.bincount(band, minlength=bands), np.bincount(band, size[row], bands), np.bincount(band[role], minlength=bands)]
-        hot = np.zeros((2, bands))
-        for (band, place), c in per_band:
-            often = table[place] >= LOCAL_COUNT
-            hot += [np.bincount(band[often], (c * w)[often], bands) for w in (1, table[place])]
-        often = np.flatnonzero(table >= LOCAL_COUNT)
-        used = np.flatnonzero(stats[0])
-        yield pa.RecordBatch.from_pydict({
-            "place": pa.array(np.concatenate([often, -1 - used]), pa.int64()),
-            "c": pa.array(np.concatenate([table[often], stats[0][used]]), pa.float64()),
-            **{k: pa.array(np.concatenate([np.zeros(len(often)), v[used]]), pa.float64()) for k, v in zip("exyz", (*stats[1:], *hot))},
-        })
-
-    counted = texts.select("_text").mapInArrow(count, "place bigint, c double, e double, x double, y double, z double")
-    rows = counted.groupBy("place").agg(*(F.sum(k).alias(k) for k in "cexyz")).toArrow()  # the table's size at most
-    place, c = rows.column("place").to_numpy(), rows.column("c").to_numpy()
+class Counter:
+    """What one task has seen: the frequency table and, per band, sets, elements, signatures and frequent signatures."""
+
+    def __init__(self, plan: Plan):
+        self.plan, self.seen, self.signatures = plan, set(), [np.zeros(0, np.int64)]
+        self.sets, self.elements = np.zeros(len(LIMITS)), np.zeros(len(LIMITS))
+
+    def add(self, values: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        some, size = _only(values, n, _distinct(a, b, n, self.seen))
+        (role, signature, _), (row, band, _), _ = signatures(self.plan, some, size)
+        self.signatures.append((band[role] << TABLE_BITS) | _place(signature))
+        self.sets += np.bincount(band, minlength=len(LIMITS))
+        self.elements += np.bincount(band, size[row], len(LIMITS))
+
+    def rows(self) -> dict[str, np.ndarray]:
+        """Places seen often as (place, count), and bands as (-1 - band, sets, elements, signatures, frequent, squares)."""
+        found = np.concatenate(self.signatures)
+        band, place = found >> TABLE_BITS, found & ((1 << TABLE_BITS) - 1)
+        table = np.bincount(place, minlength=1 << TABLE_BITS)
+        times = table[place]
+        often = times >= LOCAL_COUNT
+        stats = [self.sets, self.elements, np.bincount(band, minlength=len(LIMITS))]
+        stats += [np.bincount(band[often], w, len(LIMITS)) for w in (None, times[often])]
+        places, used = np.flatnonzero(table >= LOCAL_COUNT), np.flatnonzero(self.sets)
+        out = {"_place": np.concatenate([places, -1 - used]), "_c": np.concatenate([table[places], self.sets[used]]).astype(float)}
+        return out | {k: np.concatenate([np.zeros(len(places)), v[used]]).astype(float) for k, v in zip(("_e", "_x", "_y", "_z"), stats[1:])}
+
+
+def frequencies(counted: DataFrame, plan: Plan) -> tuple[np.ndarray, Plan]:
+    """The frequency table of all tasks, and the plan with neighbourhoods allocated."""
+    rows = counted.groupBy("_place").agg(*(F.sum(k).alias(k) for k in ("_c", "_e", "_x", "_y", "_z"))).toArrow()  # the table's size at most
+    place, c = rows.column("_place").to_numpy(), rows.column("_c").to_numpy()
     table = np.zeros(1 << TABLE_BITS, np.float32)
     table[place[place >= 0]] = c[place >= 0]
-    stats = [(int(-1 - r["place"]), *(r[k] for k in "cexyz")) for r in rows.to_pylist() if r["place"] < 0]
+    stats = [(int(-1 - r["_place"]), *(r[k] for k in ("_c", "_e", "_x", "_y", "_z"))) for r in rows.to_pylist() if r["_place"] < 0]
     return table, plan.allocate(stats)
 
 
 def index(texts: DataFrame, plan: Plan, table: np.ndarray, words: int) -> DataFrame:
-    """(sig, node, n, heat): the signatures that each class indexes, once per task that meets the class."""
-    sent = texts.sparkSession.sparkContext.broadcast(table)
+    """The stored index, once per task that meets a class: (sig, node, band, n, heat) of the signatures that each class
+    indexes, and (node, band, code) with a byte for each segment."""
+    spark = texts.sparkSession
+    sent = spark.sparkContext.broadcast(table)
+    schema = "sig bigint, node bigint, band int, n bigint, heat float, code binary"
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency, seen = sent.value, set()
@@ -216,26 +226,55 @@ def index(texts: DataFrame, plan: Plan, table: np.ndarray, words: int) -> DataFr
             keep = _distinct(a, b, n, seen)
             some, size = _only(values, n, keep)
             (role, signature, number), (row, band, allowed), near = signatures(plan, some, size)
+            codes, ends = signature.astype(np.uint8).tobytes(), np.cumsum(plan.segments[band]).tolist()
+            codes = [codes[s:e] for s, e in zip([0, *ends], ends)]
+            node = a[keep][row]
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(len(row), pa.int64()), pa.array(node), pa.array(band, pa.int32()), pa.nulls(len(row), pa.int64()),
+                pa.nulls(len(row), pa.float32()), pa.array(codes, pa.binary()),
+            ], names)
             left = number >= plan.near[band][role]
-            role, signature = role[left], signature[left]
+            role, signature, number = role[left], signature[left], number[left]
             often = frequency[_place(signature)]
-            order = np.lexsort((signature, often, role))
+            # role, frequency, signature and segment in one number: an order of segments common to all sets of a band
+            rank = np.minimum(2 * np.log2(1 + often), 31).astype(np.uint64)
+            key = (role.astype(np.uint64) << np.uint64(52)) | (rank << np.uint64(47)) | (signature >> np.uint64(36) << np.uint64(19))
+            order = np.argsort(key | (number.astype(np.uint64) & np.uint64((1 << 19) - 1)))
             role, signature, often = role[order], signature[order], often[order]
             many = np.bincount(role, minlength=len(row))
             rank = np.arange(len(role)) - (np.cumsum(many) - many)[role]
             take = rank < (allowed + 1 - 2 * plan.near[band])[role]
             heat = np.bincount(role[take], np.minimum(often[take], 1e6), len(row))
             role, signature = np.concatenate([role[take], near[0]]), np.concatenate([signature[take], near[1]])
-            yield pa.RecordBatch.from_pydict({
-                "sig": signature.view(np.int64), "node": a[keep][row[role]],
-                "n": size[row[role]].astype(np.int64), "heat": heat[role].astype(np.float32),
-            })
+            yield pa.RecordBatch.from_arrays([
+                pa.array(signature.view(np.int64)), pa.array(node[role]), pa.array(band[role], pa.int32()),
+                pa.array(size[row[role]].astype(np.int64)), pa.array(heat[role].astype(np.float32)), pa.nulls(len(role), pa.binary()),
+            ], names)
+
+    names = ["sig", "node", "band", "n", "heat", "code"]
+    path = scratch_path(spark, "signatures")
+    texts.select("_text").mapInArrow(emit, schema).write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
-    return texts.select("_text").mapInArrow(emit, "sig bigint, node bigint, n bigint, heat float")
+
+def count_differing(pairs: DataFrame, codes: DataFrame) -> DataFrame:
+    """The pairs (a, b, band, ...) with ``differ``, the number of segments whose codes differ."""
+    codes = codes.where("code is not null").select("node", "band", "code").dropDuplicates(["node", "band"])
+    left, right = (codes.select(F.col("node").alias(k), "band", F.col("code").alias(f"_{k}")) for k in "ab")
+    rows = pairs.join(left, ["a", "band"]).join(right, ["b", "band"]).select(*pairs.columns, "_a", "_b")
+    schema = rows.drop("_a", "_b").schema.add("differ", "long")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = zip(batch.column("_a").to_pylist(), batch.column("_b").to_pylist())
+            differ = [int(np.count_nonzero(np.frombuffer(x, np.uint8) != np.frombuffer(y, np.uint8))) for x, y in codes]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(differ, pa.int64())], [*batch.schema.names[:-2], "differ"])
+
+    return rows.mapInArrow(count, schema)
 
 
 def wanted_sets(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, other, elements) of the classes in ``nodes``, stored; found again by a filter of fixed size."""
+    """(node, elements) of the classes in ``nodes``, stored; found again by a filter of fixed size."""
     size = 1 << FILTER_BITS
     bit = F.expr("shiftleft(1L, cast(node & 63 as int))")
     cell = F.shiftrightunsigned("node", 64 - FILTER_BITS + 6)
@@ -252,13 +291,13 @@ def wanted_sets(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             begin = np.cumsum(n) - n
             keep = [i for i in _distinct(a, b, n, seen).tolist() if hit[i]]
             yield pa.RecordBatch.from_pydict({
-                "node": a[keep], "other": b[keep],
+                "node": a[keep],
                 "elements": pa.array([values[begin[i] : begin[i] + n[i]].tobytes() for i in keep], pa.binary()),
             })
 
-    found = texts.select("_text").mapInArrow(emit, "node bigint, other bigint, elements binary")
+    found = texts.select("_text").mapInArrow(emit, "node bigint, elements binary")
     found = found.join(nodes.select("node").distinct(), "node", "left_semi")
-    return materialize(found.groupBy("node", "other").agg(F.any_value("elements").alias("elements")), "sets")
+    return materialize(found.groupBy("node").agg(F.any_value("elements").alias("elements")), "sets")
 
 
 def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -270,7 +309,7 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             common, total = [], []
             for x, y in zip(batch.column("_a").to_pylist(), batch.column("_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                x, y = np.frombuffer(x, np.uint64), np.sort(np.frombuffer(y, np.uint64))
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 common.append(int(np.count_nonzero(y[at] == x)))
                 total.append(len(x) + len(y) - common[-1])
@@ -282,61 +321,118 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(verify, "a bigint, b bigint, common bigint, total bigint")
 
 
-def linked(texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
+def linked(texts: DataFrame, counted: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """(node, root): the classes that link with another one, and their components."""
-    spark = texts.sparkSession
-    table, plan = frequencies(texts, Plan(num, den), words)
-    rows = index(texts, plan, table, words).repartition("sig")
-    hub = F.max(F.struct("heat", "node", "n")).alias("hub")
+    table, plan = frequencies(counted, Plan(num, den))
+    stored = index(texts, plan, table, words)
+    # both readers of the dealt rows take all columns, so they are dealt once
+    rows = stored.where("sig is not null").drop("code").repartition("sig")
+    hub = F.max(F.struct("heat", "node", "n", "band")).alias("hub")
     buckets = rows.groupBy("sig").agg(hub, F.min("node").alias("_a"), F.max("node").alias("_b")).where("_a <> _b")
     members = rows.join(buckets.select("sig", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")), "sig")
-    members = materialize(members.select("sig", "node", "n", "hub", "hub_n").distinct(), "buckets")
+    members = materialize(members.distinct(), "buckets")
     fits = lambda x, y: f"{x} * {den} >= {y} * {num} and {y} * {den} >= {x} * {num}"
-    stars = members.where("node <> hub").where(fits("n", "hub_n")).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    sets = wanted_sets(texts, members.select("node"), words)
-    done = materialize(compare(stars.distinct(), sets), "compared")
-    links = done.where(f"common * {den} >= total * {num}").select("a", "b")
+    allowed = lambda x, y: F.expr(f"({x} + {y}) * {den - num} div {den + num}")
+    stars = members.where("node <> hub").where(fits("n", "hub_n"))
+    stars = stars.select(F.col("node").alias("a"), F.col("hub").alias("b"), "band", allowed("n", "hub_n").alias("allowed"))
+    seen = materialize(count_differing(stars.distinct(), stored), "stars")
+    links = exact_links(seen.where("differ <= allowed"), texts, words, num, den)
     roots = components(links)
-    named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    far = done.select(F.col("a").alias("node"), F.col("b").alias("hub"), (1 - F.col("common") / F.col("total")).alias("far"))
-    named = named.join(far, ["node", "hub"], "left").withColumn("far", F.when(F.col("node") == F.col("hub"), 0.0).otherwise(F.col("far")))
-    named = materialize(named, "members")
-    hubs = named.where("node = hub").select("sig", F.col("root").alias("hub_root"))
-    rest = named.where("node <> hub").join(hubs, "sig").where("root <> hub_root")
-    rest = rest.select("sig", F.col("node").alias("a"), F.col("n").alias("_n"), F.col("root").alias("_root"), F.col("far").alias("_far"))
-    other = rest.join(named.where("node <> hub"), "sig").where("root <> _root").where(fits("n", "_n"))
-    # both were compared with the hub: distances that differ by more than a link allows exclude a link
-    reach = 1 - num / den + 1e-9
-    other = other.where(F.coalesce(F.abs(F.col("far") - F.col("_far")) <= reach, F.lit(True)))
-    more = other.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-    late = compare(more, sets).where(f"common * {den} >= total * {num}").select("a", "b")
-    late = materialize(late, "links-late")
+    late = exact_links(across(members, seen, roots, stored, plan), texts, words, num, den)
     if late.isEmpty():
         return roots
     return components(links.unionByName(late))
 
 
+def across(members: DataFrame, seen: DataFrame, roots: DataFrame, stored: DataFrame, plan: Plan) -> DataFrame:
+    """(a, b): classes of one bucket that are in different components after the stars, differ in few enough segments and
+    were not compared yet. A bucket's codes are compared block by block, CHUNK classes at a time, and only pairs that
+    pass come out."""
+    far = seen.select(F.col("a").alias("node"), F.col("b").alias("hub"), "band", F.col("differ").alias("far"))
+    named = members.where("node <> hub").drop("heat").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_buckets = named.groupBy("sig").agg(F.count("*").alias("g"), F.min("root").alias("_x"), F.max("root").alias("_y"))
+    named = named.join(open_buckets.where("_x <> _y").select("sig", "g"), "sig").join(far, ["node", "hub", "band"], "left")
+    codes = stored.where("code is not null").select("node", "band", "code").dropDuplicates(["node", "band"])
+    named = materialize(named.join(codes, ["node", "band"]), "open-buckets")
+    chunks = F.ceil(F.col("g") / CHUNK)
+    one = F.struct("node", "n", "root", F.coalesce("far", F.lit(-1)).alias("far"), "code")
+    blocks = named.groupBy("sig", F.pmod(F.xxhash64("node"), chunks).alias("chunk"), chunks.alias("chunks"))
+    blocks = blocks.agg(F.collect_list(one).alias("left"))
+    num, den = plan.num, plan.den
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [np.zeros(0, np.int64)] * 2
+            found = [out]
+            for row in batch.to_pylist():
+                x, y = (
+                    {k: np.array([r[k] for r in row[side]], np.int64) for k in ("node", "n", "root", "far")}
+                    | {"code": np.array([np.frombuffer(r["code"], np.uint8) for r in row[side]])}
+                    for side in ("left", "right" if "right" in row else "left")
+                )
+                step = max(1, COMPARED // y["code"].size)
+                for i in range(0, len(x["node"]), step):
+                    part = {k: v[i : i + step, None] for k, v in x.items()}
+                    allowed = (part["n"] + y["n"]) * (den - num) // (den + num)
+                    ok = (part["root"] != y["root"]) & (part["n"] * den >= y["n"] * num) & (y["n"] * den >= part["n"] * num)
+                    ok &= (part["far"] < 0) | (y["far"] < 0) | (np.abs(part["far"] - y["far"]) <= allowed)
+                    u, v = np.nonzero(ok)
+                    few = (x["code"][i + u] != y["code"][v]).sum(axis=1) <= allowed[u, v]
+                    pair = x["node"][i + u[few]], y["node"][v[few]]
+                    found.append([np.minimum(*pair), np.maximum(*pair)])
+            pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+    inside = blocks.select("left").mapInArrow(compare, "a bigint, b bigint")
+    split = materialize(blocks.where("chunks > 1"), "split-buckets")
+    if split.isEmpty():
+        return inside.distinct()
+    other = split.select("sig", F.col("chunk").alias("_chunk"), F.col("left").alias("right"))
+    between = split.join(other, "sig").where("chunk < _chunk").select("left", "right")
+    return inside.unionByName(between.mapInArrow(compare, "a bigint, b bigint")).distinct()
+
+
+def exact_links(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(a, b) of the pairs that link by their exact sets, stored."""
+    pairs = materialize(pairs.select("a", "b").distinct(), "pairs")
+    if pairs.isEmpty():
+        return pairs
+    sets = wanted_sets(texts, pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))), words)
+    return materialize(compare(pairs, sets).where(f"common * {den} >= total * {num}").select("a", "b"), "links")
+
+
 def classes(docs: DataFrame, text: str = "text", words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """All columns but the text, with n_shingles and the class's component in _root (null for empty sets)."""
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "n_shingles", "_root")]
-    kinds = [f for f in docs.schema.fields if f.name not in (text, "n_shingles", "_root")]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kinds] + ["n_shingles bigint", "_node bigint", "_other bigint"])
-    texts = docs.select(F.col(text).alias("_text"))
+    spark, own = docs.sparkSession, (text, "n_shingles", "_root")
+    kinds = [f for f in docs.schema.fields if f.name not in own]
+    found, counts = "n_shingles bigint, _node bigint, _other bigint", "_place bigint, _c double, _e double, _x double, _y double, _z double"
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds), found, counts])
+    plan, texts = Plan(num, den), docs.select(F.col(text).alias("_text"))
+    numbers = [(pa.int64(), k) for k in ("n_shingles", "_node", "_other", "_place")] + [(pa.float64(), f"_{k}") for k in "cexyz"]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, n, a, b in _read_sets(batches, words):
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            names = batch.schema.names[:-1]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64)), pa.array(a), pa.array(b)], [*names, "n_shingles", "_node", "_other"])
-
-    rows = docs.select(*others, F.col(text).alias("_text")).mapInArrow(describe, schema)
-    path = scratch_path(docs.sparkSession, "shingled")
+        counter, others = Counter(plan), None
+        for batch, values, n, a, b in _read_sets(batches, words):
+            others = batch.schema.names[:-1], [c.type for c in batch.columns[:-1]]
+            new = {"n_shingles": n.astype(np.int64), "_node": a, "_other": b}
+            columns = [pa.array(new[k], t) if k in new else pa.nulls(len(n), t) for t, k in numbers]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*others[0], *(k for _, k in numbers)])
+            counter.add(values, n, a, b)
+        if others:
+            rows = counter.rows()
+            many = len(rows["_place"])
+            columns = [pa.nulls(many, t) for t in others[1]] + [pa.array(rows[k], t) if k in rows else pa.nulls(many, t) for t, k in numbers]
+            yield pa.RecordBatch.from_arrays(columns, [*others[0], *(k for _, k in numbers)])
+
+    rows = docs.select(*(F.col(f"`{f.name}`") for f in kinds), F.col(text).alias("_text")).mapInArrow(describe, schema)
+    path = scratch_path(spark, "shingled")
     rows.write.parquet(path)
-    rows = docs.sparkSession.read.schema(rows.schema).parquet(path)
-    roots = linked(texts, words, num, den)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    roots = linked(texts, stored.where("_place is not null"), words, num, den)
     root = F.coalesce(F.col("_linked"), F.col("_node"))
-    found = rows.join(roots.select(F.col("node").alias("_node"), F.col("root").alias("_linked")), "_node", "left")
-    return found.withColumn("_root", F.when(F.col("n_shingles") > 0, root)).drop("_node", "_other", "_linked")
+    rows = stored.where("_place is null").join(roots.select(F.col("node").alias("_node"), F.col("root").alias("_linked")), "_node", "left")
+    rows = rows.withColumn("_root", F.when(F.col("n_shingles") > 0, root))
+    return rows.select(*(f"`{f.name}`" for f in kinds), "n_shingles", "_root")
 
 
 def join_components(

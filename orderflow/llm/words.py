@@ -117,8 +117,8 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets[:-1] - offsets[0]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds about ``size`` bytes of text, or one longer text."""
+def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each holds about ``size`` bytes of text, or one longer text, and at most ``rows`` rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -127,7 +127,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterato
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+            end = min(start + rows, max(start + 1, int(np.searchsorted(ends, before + size, "right"))))
             yield batch.slice(start, end - start)
             start = end
 
