@@ -236,6 +236,31 @@ def test_mix_cases(spark):
     assert mixing.repeat_mixed(table).columns == table.columns
 
 
+@pytest.mark.parametrize("slot_bits,slot_words", [(4, 1024), (4, 64), (11, 1024)])
+def test_mix_rare_sources(spark, monkeypatch, slot_bits, slot_words):
+    """Slots much larger than a source: it is still taken near its target, and slots are visited in bit-reversed order."""
+    monkeypatch.setattr(mixing, "SLOT_BITS", slot_bits)
+    monkeypatch.setattr(mixing, "SLOT_WORDS", slot_words)
+    rows = [(i, "w " * 100, "abc"[i % 3]) for i in range(150)] + [(150 + i, "w " * (i + 1), f"r{i}") for i in range(12)]
+    table = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix(table).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    block = -(-int(1.5 * sum(len(t.split()) for _, t, _ in rows)) // (1 << slot_bits))
+    for r in got:
+        assert r.taken > 0 and abs(r.taken - r.target) < (block if block <= mixing.WHOLE else 1)
+        if block > mixing.WHOLE:
+            assert r.taken == int(r.target)
+    assert mixing.repeat_mixed(table).select("source").distinct().count() == 15
+    placed = mixing.place(table)
+    cells = {r["_source"]: r for r in placed.select("_source", "_first", "_slots", "_bits", "_take", "_block_words").distinct().collect()}
+    slots = mixing.pieces(placed).select("_source", "slot").distinct().groupBy("_source").agg(F.array_sort(F.collect_list("slot"))).collect()
+    seen = set()
+    for source, found in slots:
+        c = cells[source]
+        turned = sorted(int(f"{j:0{c['_bits']}b}"[::-1], 2) for j in range(c["_first"], c["_first"] + c["_slots"]))
+        assert found == turned[: -(-c["_take"] // c["_block_words"])] and not seen & set(found)
+        seen |= set(found)
+
+
 # 7 Jaccard
 
 
