@@ -3,7 +3,7 @@
 The rows are cut into blocks. In each block every tree hashes the vectors, less the block's mean, to long bit strings
 (signs of random projections) and keeps them as a sorted array. A query descends in each tree to the place of its own
 string; then all trees ascend together, one bit at a time: rows sharing a shorter prefix with the query join the
-candidates until at least SHARE of the block, and ROWS rows, were met. Candidates are ranked by their exact distance.
+candidates until at least SHARE of the block's ids, and ROWS ids, were met. Candidates are ranked by their exact distance.
 The best of every block meet in one top-k per query. Queries are sent to the blocks in sets of QUERY_SET.
 
 Every row is indexed; nothing is fitted but the block means. For vectors without any structure (independent
@@ -87,9 +87,15 @@ def build_index(rows: DataFrame, vector: str = "embedding", vec_id: str = "vec_i
     return spark.read.schema(INDEX).parquet(path)
 
 
+def _starts(ids: np.ndarray) -> np.ndarray:
+    """Where each id begins among sorted ids."""
+    return np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+
+
 def _candidates(forest: SimpleNamespace, codes: np.ndarray) -> np.ndarray:
     """Rows met by one query (its code in every tree) descending and then ascending in all trees together."""
-    need = min(forest.rows, max(ROWS, int(np.ceil(SHARE * forest.rows))))
+    n_ids = len(forest.starts)
+    need = min(n_ids, max(ROWS, int(np.ceil(SHARE * n_ids))))
     shift = np.arange(BITS, -1, -1, dtype=np.uint64)  # ascending: from whole strings to empty prefixes
     low = (codes.astype(np.uint64)[:, None] >> (BITS - shift)) << (BITS - shift)
     high = low + (np.uint64(1) << (BITS - shift))
@@ -104,7 +110,7 @@ def _candidates(forest: SimpleNamespace, codes: np.ndarray) -> np.ndarray:
             n = b - a
             at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
             met[forest.places[np.repeat(np.arange(TREES), n), at]] = True
-        if step == BITS or np.count_nonzero(met) >= need:
+        if step == BITS or np.count_nonzero(np.logical_or.reduceat(met, forest.starts)) >= need:
             return np.flatnonzero(met)
         inner, step = (begin[:, step], end[:, step]), step + 1
 
@@ -116,8 +122,9 @@ def _nearest(forest: SimpleNamespace, queries: SimpleNamespace, k: int) -> Itera
         c = _candidates(forest, codes[:, i])
         c = c[forest.ids[c] != key]
         rough = square[c] - 2 * (forest.vectors[c] @ q)
-        if len(c) > k:  # leave out what cannot be among the k even with rounding
-            limit = np.partition(rough, k - 1)[k - 1]
+        nearest = np.minimum.reduceat(rough, _starts(forest.ids[c])) if len(c) > k else rough  # of each id
+        if len(nearest) > k:  # leave out what cannot be among the k even with rounding
+            limit = np.partition(nearest, k - 1)[k - 1]
             c = c[rough <= limit + 1e-9 * (1 + abs(limit) + q @ q)]
         exact = np.sqrt(((forest.vectors[c] - q) ** 2).sum(axis=1))
         # rows of one id count once, so all within the k-th distinct id are kept
@@ -166,7 +173,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, vector: str = "emb
                     read = lambda name, kind: np.frombuffer(row[name], kind)
                     ids = read("ids", np.int64)
                     forest = SimpleNamespace(
-                        rows=len(ids), ids=ids, mean=read("mean", np.float64),
+                        rows=len(ids), ids=ids, starts=_starts(ids), mean=read("mean", np.float64),
                         vectors=read("vectors", np.float64).reshape(len(ids), -1),
                         codes=read("codes", np.uint32).astype(np.uint64).reshape(TREES, -1),
                         places=read("places", np.uint16).reshape(TREES, -1),

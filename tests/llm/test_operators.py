@@ -389,6 +389,27 @@ def test_recall_on_blocks(spark, monkeypatch):
     assert hit >= 0.9 * len(found) == 0.9 * 600
 
 
+def test_neighbours_with_repeated_ids(spark, monkeypatch):
+    """Rows repeated under one id in one block take no places from other ids, near or far in the forest."""
+    monkeypatch.setattr(ann, "ROWS", 16)
+    r = np.random.default_rng(7)
+    x = r.standard_normal((50, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] * 3 + [(100, (x[0] + 1e-3).tolist())] * 400
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    ask = spark.createDataFrame([(i, x[i].tolist()) for i in range(10)], "vec_id long, embedding array<double>")
+    found = ann.search(ann.build_index(table), ask, k=10).toPandas()
+    assert sorted(found.groupby("query_id")["rank"].count()) == [10] * 10
+    nearest = found[(found.query_id == 0) & (found["rank"] == 1)]
+    assert nearest.vec_id.tolist() == [100]
+    monkeypatch.setattr(ann, "ROWS", 1024)
+    found = ann.search(ann.build_index(table), ask, k=10).toPandas()
+    all_ids, all_x = np.r_[np.arange(50), 100], np.vstack([x, x[0] + 1e-3])
+    for q, g in found.groupby("query_id"):
+        far = np.sqrt(((all_x - x[q]) ** 2).sum(axis=1))
+        far[q] = np.inf
+        assert g.sort_values("rank").vec_id.tolist() == all_ids[np.lexsort((all_ids, far))[:10]].tolist()
+
+
 # 10 licences
 
 
