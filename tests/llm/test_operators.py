@@ -429,3 +429,22 @@ def test_licence_cases(spark):
     assert licenses.scan(table.limit(0)).count() == 0
 
 
+
+
+def test_wrapped_licences(spark):
+    """Notices set in several lines, with and without comment marks, count once and only where they stand."""
+    r = random.Random(11)
+    plain = [" ".join(r.choice(["river", "stone", "the", "under", "work", "is", "free", "night"]) for _ in range(15)) for _ in range(200)]
+    mit = ["Permission is hereby granted, free of charge, to any person obtaining a copy", "of this software and associated documentation files (the \"Software\"), to deal", "in the Software without restriction, including without limitation the rights"]
+    bsd = ["Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions are met:"]
+    gpl = ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by", "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."]
+    c = lambda lines: "/*\r\n" + "".join(f" * {x}\r\n" for x in lines) + " */\r\nint main;"
+    sharp = lambda lines: "#\n" + "".join(f"# {x}\n" for x in lines) + "#\n"
+    rows = [(i, f"{p}\n{plain[-i]}", "s") for i, p in enumerate(plain)]
+    rows += [(1000, c(mit), "s"), (1001, sharp(bsd), "s"), (1002, "\n".join(gpl), "s"), (1003, plain[0] + ".\n" + "\n".join(mit) + ".\n" + plain[1], "s")]
+    rows += [(1004, sharp(mit) + plain[2] + "\n" + sharp(gpl), "s"), (1005, plain[3] + "\nReleased under the MIT License.\n" + plain[4], "s")]
+    rows += [(1006, "*" * 200000 + "x" + " " * 200000 + "y\n" + plain[5], "s")]
+    got = {x.doc_id: (x.families, x.n_confirmed) for x in licenses.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    want = {i: ([], 0) for i in range(200)} | {1000: (["MIT"], 1), 1001: (["BSD"], 1), 1002: (["GPL-3.0"], 1), 1003: (["MIT"], 1)}
+    want |= {1004: (["GPL-3.0", "MIT"], 2), 1005: (["MIT"], 1), 1006: ([], 0)}
+    assert got == want
