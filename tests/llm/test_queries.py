@@ -122,3 +122,22 @@ def test_pipeline(spark):
     assert set(columns) < set(last.columns) and len(last) > 0
     assert all(sorted(g.slot) == list(range(len(g))) for _, g in last.groupby("shard"))
     assert set(last.doc_id) <= clean
+
+
+def test_near_copies_with_other_splits(spark, tmp_path):
+    """The near-copy stage names rows alike although the files are split differently at its end."""
+    import corpus_pipeline as P
+
+    path = str(tmp_path / "docs")
+    spark.read.parquet(f"{FOLDER}/documents.parquet").repartition(7).write.parquet(path)
+    docs = spark.read.parquet(path)
+    want = {k for k, n, c in helpers.components([(r.doc_id, r.text) for r in docs.collect()], 5, 4, 5) if n == 0 or k == c}
+    near = P.one_of_near_copies(spark, docs, FOLDER)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        assert sorted(r.doc_id for r in near.collect()) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
