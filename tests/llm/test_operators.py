@@ -240,7 +240,7 @@ def test_mix_cases(spark):
 def test_mix_rare_sources(spark, monkeypatch, slot_bits, slot_words):
     """Slots much larger than a source: it is still taken near its target, and slots are visited in bit-reversed order."""
     monkeypatch.setattr(mixing, "SLOT_BITS", slot_bits)
-    monkeypatch.setattr(mixing, "SLOT_WORDS", slot_words)
+    monkeypatch.setattr(mixing, "SLOT_WORDS", slot_words, raising=False)
     rows = [(i, "w " * 100, "abc"[i % 3]) for i in range(150)] + [(150 + i, "w " * (i + 1), f"r{i}") for i in range(12)]
     table = spark.createDataFrame(rows, DOCS)
     got = mixing.mix(table).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
