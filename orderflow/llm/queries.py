@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderflow.llm import ann, chat, decontaminate, jaccard, licenses, mixing, sharding, toxicity, url_rules, warc
+from orderflow.llm import ann, bpe, chat, decontaminate, jaccard, licenses, merkle, mixing, sharding, toxicity, url_rules, warc, whitening
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -216,6 +216,88 @@ def op10_paragraph_licences(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_paragraphs", F.array_join("families", ",").alias("families"), "n_confirmed", "n_unconfirmed")
 
 
+def op11_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = bpe.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), tokenizer).drop("text")
+    decoded = bpe.decode(encoded, tokenizer)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_cholesky_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows, model, error = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    shares = F.lit((model.eigenvalues / (model.trace or 1.0)).tolist()).cast("array<double>")
+    turned = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("_at", "whitened"))
+    return turned.select(
+        "vec_id", (F.col("_at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(shares, F.col("_at")).alias("explained"), F.lit(error).alias("identity_error"),
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampers = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    n_chars = F.when(tampers, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    tampered = merkle.digest(*(n_chars if f == "n_chars" else f for f in fields))
+    # only where it differs, since every row's leaf is carried anyway
+    claimed = {"claimed": F.when(tampers, tampered)}
+    proofs = merkle.manifest(table(spark, folder, "documents"), fields, tree="lang", order="doc_id", extra=claimed)
+    folded = merkle.fold(F.coalesce("claimed", "leaf"), F.col("path"))
+    found = proofs.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("path.digest", ""), 256).alias("proof_sha256"), folded.alias("folded_root")
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    n_chars, coalesce(strlen(text) || ':' || text, '-') AS tail,
+    xor(4294967295, list_reduce([4294967295] || flatten(list_transform(split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc
+  FROM documents),
+digests AS (
+  SELECT doc_id, lang, i, n, crc, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) AS other
+  FROM leaves),
+nodes(lang, level, i, n, d) AS (
+  SELECT lang, 0, i, n, leaf FROM digests
+  UNION ALL
+  SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM nodes WHERE n > 1
+  GROUP BY lang, level, n, i // 2),
+tops AS (SELECT lang, level AS height, d, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+crown(level, i, n, d) AS (
+  SELECT 0, i, n, d FROM tops
+  UNION ALL
+  SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY i)) FROM crown WHERE n > 1 GROUP BY level, n, i // 2),
+ways AS (
+  SELECT x.lang, x.i, s.level, (x.i >> s.level) % 2 = 1 AS on_left, sib.d
+  FROM digests x JOIN (SELECT DISTINCT lang, level FROM nodes WHERE n > 1) s ON x.lang IS NOT DISTINCT FROM s.lang
+  LEFT JOIN nodes sib ON sib.lang IS NOT DISTINCT FROM x.lang AND sib.level = s.level AND sib.i = xor(x.i >> s.level, 1)
+  UNION ALL
+  SELECT x.lang, x.i, t.height + s.level, (t.i >> s.level) % 2 = 1, sib.d
+  FROM digests x JOIN tops t ON x.lang IS NOT DISTINCT FROM t.lang JOIN (SELECT DISTINCT level FROM crown WHERE n > 1) s ON true
+  LEFT JOIN crown sib ON sib.level = s.level AND sib.i = xor(t.i >> s.level, 1)),
+folds(lang, i, level, d) AS (
+  SELECT lang, i, 0, CASE WHEN crc % 7 = 0 THEN other ELSE leaf END FROM digests
+  UNION ALL
+  SELECT f.lang, f.i, f.level + 1, sha256(CASE WHEN on_left THEN coalesce(w.d, '') || f.d ELSE f.d || coalesce(w.d, '') END)
+  FROM folds f JOIN ways w ON f.lang IS NOT DISTINCT FROM w.lang AND f.i = w.i AND f.level = w.level),
+last AS (SELECT lang, i, arg_max(d, level) AS d FROM folds GROUP BY lang, i),
+proofs AS (SELECT lang, i, sha256(coalesce(string_agg(d, '' ORDER BY level), '')) AS proof FROM ways GROUP BY lang, i)
+SELECT doc_id, leaf, t.d AS subroot, r.d AS root, coalesce(proof, sha256('')) AS proof_sha256, l.d AS folded_root, l.d = r.d AS verified
+FROM digests x JOIN tops t ON x.lang IS NOT DISTINCT FROM t.lang JOIN last l ON x.lang IS NOT DISTINCT FROM l.lang AND x.i = l.i
+LEFT JOIN proofs p ON x.lang IS NOT DISTINCT FROM p.lang AND x.i = p.i JOIN crown r ON r.n = 1
+"""
+
+
 QUERIES = {
     "op1_positional_index": op1_positional_index,
     "op2_chat_template": op2_chat_template,
@@ -227,9 +309,17 @@ QUERIES = {
     "op8_url_sweep": op8_url_sweep,
     "op9_prefix_forest": op9_prefix_forest,
     "op10_paragraph_licences": op10_paragraph_licences,
+    "op11_tree_bpe": op11_tree_bpe,
+    "op12_cholesky_whitening": op12_cholesky_whitening,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE = {
     "op1_positional_index": OP1_SQL,
     "op2_chat_template": OP2_SQL,
-    "op4_warc_index": OP4_SQL, "op6_van_der_corput_mix": OP6_SQL, "op7_partition_jaccard": OP7_SQL, "op8_url_sweep": OP8_SQL}
+    "op4_warc_index": OP4_SQL,
+    "op6_van_der_corput_mix": OP6_SQL,
+    "op7_partition_jaccard": OP7_SQL,
+    "op8_url_sweep": OP8_SQL,
+    "op13_merkle_manifest": OP13_SQL,
+}

@@ -29,7 +29,7 @@ def test_against_sql(spark, duck, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_shards(spark):
@@ -67,7 +67,7 @@ def test_neighbours(spark):
         best = ids[np.lexsort((ids, far))[:10]]
         found += len(set(best) & set(g.vec_id))
         by_id = dict(zip(ids, far))
-        assert sorted(g["rank"]) == list(range(1, 11))
+        assert sorted(g["rank"]) == list(range(1, 14))
         assert all(by_id[v] == s for v, s in zip(g.vec_id, g.score))
     assert found >= 0.9 * len(rows)
 
