@@ -11,7 +11,7 @@ start, and the tokens of every piece. A stretch of more than LEAF characters is
   every two neighbours are the encoding of theirs: merges inside a token never look beyond it, so the first merge over
   some boundary would also happen with just its two neighbours. A window around the seam is merged anew and grows on
   each side, doubling, until its outermost token is the old one or fits the old one outside. Pieces that are new to the
-  cache are encoded the same way, by halves down to single bytes.
+  cache are encoded the same way, by halves down to SHORT bytes.
 
 Decoding concatenates the bytes of tokens up a tree of halves.
 
@@ -34,15 +34,41 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-#: Characters of a stretch that is split at once; ids that are decoded at once.
-LEAF = 128
+from orderflow.llm.words import blocks
+
+#: Characters of a stretch that is split at once; tokens whose bytes are joined at once.
+LEAF = 256
 #: No match of the pattern depends on more than so many characters after its end (the longest contraction, and the
 #: character after a run).
 REACH = 3
-#: Pieces, and pairs of tokens, that a task remembers; forgotten together when there are more.
-REMEMBERED, LONGEST = 1 << 17, 64
+#: Pieces, and pairs of tokens, that a Python worker remembers of each at most; the longest such piece.
+REMEMBERED, LONGEST = 1 << 18, 48
+#: Bytes of a piece, or of a window, that are merged by looking for the lowest rank along a row.
+SHORT = 24
+#: Bytes of text that are worked on at a time.
+BLOCK_BYTES = 4 << 20
+
+
+class Recent(dict):
+    """Remembers what was used lately: once half full, what was not used since the time before is forgotten."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def keep(self, key, value):
+        if len(self) >= REMEMBERED // 2:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        return None if found is None else self.keep(key, found)
 
 
 @cache
@@ -84,8 +110,7 @@ class Codec:
         self.bytes = {rank: token for token, rank in self.rank.items()}
         self.patterns = [re.compile(p) for p in patterns]
         self.beyond = re.compile("[\U00010000-\U0010ffff]")
-        self.pieces: dict[bytes, tuple[int, ...]] = {}
-        self.seams: dict[tuple[int, int], list[int]] = {}
+        self.pieces, self.seams = Recent(), Recent()
         #: Tokens that merges alone do not make; the library gives a piece equal to one its rank all the same.
         self.unmade = self.find_unmade() if unmade is None else unmade
 
@@ -94,9 +119,25 @@ class Codec:
 
     def merged(self, data: bytes) -> list[int]:
         """The tokens of a window: the pair of lowest rank is merged, of equal ones the leftmost, until none is left."""
+        return self._merged_in_heap(data) if len(data) > SHORT else self._merged_in_row(data)
+
+    def _merged_in_row(self, data: bytes) -> list[int]:
+        rank, none = self.rank.get, len(self.rank)
+        parts = [data[i : i + 1] for i in range(len(data))]
+        pairs = [rank(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while pairs and (lowest := min(pairs)) < none:
+            i = pairs.index(lowest)
+            parts[i] += parts.pop(i + 1)
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = rank(parts[i] + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
+        return [self.rank[p] for p in parts]
+
+    def _merged_in_heap(self, data: bytes) -> list[int]:
+        """The same in n log n steps."""
         rank, n = self.rank, len(data)
-        if n == 1:
-            return [rank[data]]
         end, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
         heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank.get(data[i : i + 2])) is not None]
         heapq.heapify(heap)
@@ -119,51 +160,43 @@ class Codec:
             i = end[i]
         return out
 
-    def _pair(self, left: int, right: int) -> list[int] | None:
-        """The tokens that two neighbouring tokens become; None where they fit, that is, stay."""
-        key = left, right
-        if key in self.seams:
-            return self.seams[key]
-        if len(self.seams) >= REMEMBERED:
-            self.seams.clear()
-        found = self.merged(self.bytes[left] + self.bytes[right])
-        self.seams[key] = found = None if found == [left, right] else found
+    def _pair(self, left: int, right: int) -> list[int]:
+        """The tokens that two neighbouring tokens become; empty where they fit, that is, stay."""
+        found = self.seams[left, right]
+        if found is None:
+            found = self.merged(self.bytes[left] + self.bytes[right])
+            self.seams.keep((left, right), found := [] if found == [left, right] else found)
         return found
 
     def joined(self, left: list[int], right: list[int]) -> list[int]:
-        """The tokens of two neighbouring stretches of one piece."""
-        if not left or not right:
-            return left or right
+        """The tokens of two neighbouring stretches, neither empty, of one piece."""
         window, a, b = self._pair(left[-1], right[0]), 1, 1
-        if window is None:
-            return [*left, *right]
+        if not window:
+            return left + right
         while True:
-            more_left = a < len(left) and window[0] != left[-a] and self._pair(left[-a - 1], window[0]) is not None
-            more_right = b < len(right) and window[-1] != right[b - 1] and self._pair(window[-1], right[b]) is not None
+            more_left = a < len(left) and window[0] != left[-a] and self._pair(left[-a - 1], window[0])
+            more_right = b < len(right) and window[-1] != right[b - 1] and self._pair(window[-1], right[b])
             if not more_left and not more_right:
-                return [*left[:-a], *window, *right[b:]]
-            a, b = min(len(left), a << more_left), min(len(right), b << more_right)
+                return left[:-a] + window + right[b:]
+            a, b = min(len(left), a << bool(more_left)), min(len(right), b << bool(more_right))
             window = self.merged(b"".join(map(self.bytes.__getitem__, chain(left[-a:], right[:b]))))
 
     def _halves(self, data: bytes) -> list[int]:
-        whole = self.rank.get(data)
-        if whole is not None and data not in self.unmade:
-            return [whole]  # merges make this token of its bytes, as they do of every single byte
+        if len(data) <= SHORT:
+            return self._merged_in_row(data)
         half = len(data) // 2
         return self.joined(self._halves(data[:half]), self._halves(data[half:]))
 
-    def piece(self, text: str) -> tuple[int, ...]:
+    def piece(self, text: str) -> list[int]:
         """The tokens that merges make of one piece."""
-        found = self.pieces.get(text)
+        found = self.pieces[text]
         if found is None:
-            found = tuple(self._halves(text.encode()))
+            found = self._halves(text.encode())
             if len(text) <= LONGEST:
-                if len(self.pieces) >= REMEMBERED:
-                    self.pieces.clear()
-                self.pieces[text] = found
+                self.pieces.keep(text, found)
         return found
 
-    def _stretch(self, pattern: re.Pattern, text: str, low: int, high: int) -> tuple[list[int], list[tuple[int, ...]]]:
+    def _stretch(self, pattern: re.Pattern, text: str, low: int, high: int) -> tuple[list[int], list[list[int]]]:
         """(starts, tokens) of the pieces of text[low:high]."""
         if high - low <= LEAF:
             found = pattern.findall(text, low, high)
@@ -171,7 +204,7 @@ class Codec:
             if ends.pop() != high:
                 raise ValueError("the pattern leaves characters out")
             known = self.pieces
-            return ends, [known.get(p) or self.piece(p) for p in found]
+            return ends, [known[p] or self.piece(p) for p in found]
         middle = (low + high) // 2
         starts, tokens = self._stretch(pattern, text, low, middle)
         right = self._stretch(pattern, text, middle, high)
@@ -198,7 +231,7 @@ class Codec:
             if first == at and after == stop:
                 whole = parts[0]
                 for part in parts[1:]:
-                    whole = tuple(self.joined(whole, part))
+                    whole = self.joined(whole, part)
                 tokens.append(whole)
             else:
                 tokens.append(self.piece(text[at:stop]))
@@ -216,14 +249,23 @@ class Codec:
         starts, tokens = self._stretch(pattern, text, 0, len(text))
         if self.unmade:
             words = (text[a:b].encode() for a, b in zip(starts, [*starts[1:], len(text)]))
-            tokens = [(self.rank[w],) if w in self.unmade else t for w, t in zip(words, tokens)]
+            tokens = [[self.rank[w]] if w in self.unmade else t for w, t in zip(words, tokens)]
         return list(chain.from_iterable(tokens))
 
-    def decode(self, ids: list[int]) -> bytes:
-        if len(ids) <= LEAF:
-            return b"".join(self.bytes.get(i, b"") for i in ids)
-        half = len(ids) // 2
-        return self.decode(ids[:half]) + self.decode(ids[half:])
+
+def joined_bytes(tokens: pa.Array, starts: np.ndarray) -> pa.Array:
+    """The bytes of rows of tokens, ``starts`` with the end last: by stretches of LEAF, then by pairs until one is left."""
+    width, nothing = LEAF, pa.scalar(b"", tokens.type)
+    while True:
+        counts = np.diff(starts)
+        groups = -(-counts // width)
+        at = np.repeat(starts[:-1] - width * (np.cumsum(groups) - groups), groups) + width * np.arange(groups.sum())
+        lists = pa.LargeListArray.from_arrays(np.append(at, starts[-1]), tokens)
+        tokens = pc.binary_join(lists, nothing)
+        starts, width = np.concatenate([[0], np.cumsum(groups)]), 2
+        if (groups <= 1).all():
+            lists = pa.LargeListArray.from_arrays(starts, tokens)
+            return pc.binary_join(lists, nothing)  # a row without tokens is empty
 
 
 class Tokenizer:
@@ -244,33 +286,55 @@ def load(path: str, pattern: str) -> Tokenizer:
         return Tokenizer(file.read(), pattern)
 
 
-def _with_column(df: DataFrame, tokenizer: Tokenizer, source: str, target: str, kind: str, convert) -> DataFrame:
-    sent = df.sparkSession.sparkContext.broadcast((tokenizer.vocabulary, tokenizer.patterns, tokenizer.unmade))
-
-    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(*sent.value)
-        for part in parts:
-            yield convert(codec, part)
-
+def _with_column(df: DataFrame, source: str, target: str, kind: str, run) -> DataFrame:
     # not to be evaluated again for each use of the column
     return df.withColumn(target, F.arrow_udf(run, kind).asNondeterministic()(F.col(f"`{source}`")))
 
 
 def _encoded(codec: Codec, texts: pa.Array) -> pa.Array:
-    rows = [np.array(codec.encode(t or ""), np.int32) for t in texts.to_pylist()]
-    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-    return pa.ListArray.from_arrays(offsets, np.concatenate([*rows, np.zeros(0, np.int32)]))
-
-
-def _decoded(codec: Codec, ids: pa.Array) -> pa.Array:
-    return pa.array([codec.decode(row or []) for row in ids.to_pylist()], pa.binary())
+    values, sizes = [np.zeros(0, np.int32)], []
+    for block in blocks(iter([pa.RecordBatch.from_arrays([texts], ["t"])]), "t", BLOCK_BYTES):
+        rows = [codec.encode(t) if t else [] for t in block.column("t").to_pylist()]
+        values.append(np.fromiter(chain.from_iterable(rows), np.int32))
+        sizes += map(len, rows)
+    return pa.ListArray.from_arrays(np.cumsum([0, *sizes], dtype=np.int32), np.concatenate(values))
+
+
+def _decoded(tokens: pa.Array, lists: pa.Array) -> pa.Array:
+    """``tokens``: the bytes of every id, in order of ids."""
+    if not len(lists):
+        return pa.array([], pa.binary())
+    starts = np.asarray(lists.offsets).astype(np.int64)
+    ids = lists.values
+    known = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(tokens)))
+    found = pc.fill_null(tokens.take(pc.if_else(known, ids, None)), b"")
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
+    if (lengths != np.diff(starts)).any():  # a null row may stand over ids
+        return _decoded(tokens, pa.array(lists.to_pylist(), lists.type))
+    return joined_bytes(found, starts).cast(pa.binary())
 
 
 def encode(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "ids") -> DataFrame:
     """All rows with the token ids of the whole text, without special tokens."""
-    return _with_column(df, tokenizer, text, ids, "array<int>", _encoded)
+    sent = df.sparkSession.sparkContext.broadcast({"arguments": (tokenizer.vocabulary, tokenizer.patterns, tokenizer.unmade)})
+
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # a worker that is used again finds the codec of its last task, with what that remembers, beside the broadcast value
+        codec = sent.value.get("codec") or sent.value.setdefault("codec", Codec(*sent.value["arguments"]))
+        for part in parts:
+            yield _encoded(codec, part)
+
+    return _with_column(df, text, ids, "array<int>", run)
 
 
 def decode(df: DataFrame, tokenizer: Tokenizer, ids: str = "ids", data: str = "decoded") -> DataFrame:
     """All rows with the bytes of their ids; bytes, as a cut row of ids need not be UTF-8."""
-    return _with_column(df, tokenizer, ids, data, "binary", _decoded)
+    sent = df.sparkSession.sparkContext.broadcast(tokenizer.vocabulary)
+
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        of = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, sent.value.splitlines())}
+        tokens = pa.array([of.get(i) for i in range(max(of) + 1)], pa.large_binary())
+        for part in parts:
+            yield _decoded(tokens, part)
+
+    return _with_column(df, ids, data, "binary", run)

@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -33,17 +34,23 @@ def library():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def bytes_of_ids(library):
+    return pa.array([library.decode_single_token_bytes(i) for i in range(library.n_vocab)], pa.large_binary())
+
+
 def test_awkward_texts_like_the_library(tokenizer, library, monkeypatch):
     """Seams everywhere: stretches of two characters, texts of few kinds of characters and of letters new to Unicode."""
     monkeypatch.setattr(bpe, "LEAF", 2)
-    codec, draw = tokenizer.codec(), random.Random(11)
+    codec, draw, texts, rows = tokenizer.codec(), random.Random(11), [], []
     kinds = ["a", "b", "the ", "ing", " ", "  ", "\n", "\t", "\x1c", " ", "'", "'s", "'re", "'ll", "1", "22", "é", "漢", "😀", "-", "़", "࢏", "\U000323b0"]
     for _ in range(1500):
         some = draw.sample(kinds, draw.randint(1, 6))
         text = "".join(draw.choice(some) for _ in range(draw.choice([1, 5, 30, 200])))
         ids = codec.encode(text)
         assert ids == library.encode_ordinary(text), repr(text)
-        assert codec.decode(ids) == text.encode()
+        texts.append(text), rows.append(ids)
+    decoded = bpe._decoded(bytes_of_ids(library), pa.array(rows, pa.list_(pa.int32())))
+    assert decoded.to_pylist() == [t.encode() for t in texts]
 
 
 @pytest.mark.parametrize("text", ["a" * 20001, "ab" * 9999, " " * 10001 + "x", "漢字" * 5000, "'re" * 3000, "1234567890" * 1500, "\n" * 9999, "-=" * 5000])
