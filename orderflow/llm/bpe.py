@@ -28,6 +28,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from itertools import accumulate, chain
@@ -37,10 +38,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from orderflow.llm.words import blocks
-
 #: Characters of a stretch that is split at once; tokens whose bytes are joined at once.
-LEAF = 256
+LEAF = 1024
 #: No match of the pattern depends on more than so many characters after its end (the longest contraction, and the
 #: character after a run).
 REACH = 3
@@ -48,8 +47,6 @@ REACH = 3
 REMEMBERED, LONGEST = 1 << 18, 48
 #: Bytes of a piece, or of a window, that are merged by looking for the lowest rank along a row.
 SHORT = 24
-#: Bytes of text that are worked on at a time.
-BLOCK_BYTES = 4 << 20
 
 
 class Recent(dict):
@@ -292,12 +289,11 @@ def _with_column(df: DataFrame, source: str, target: str, kind: str, run) -> Dat
 
 
 def _encoded(codec: Codec, texts: pa.Array) -> pa.Array:
-    values, sizes = [np.zeros(0, np.int32)], []
-    for block in blocks(iter([pa.RecordBatch.from_arrays([texts], ["t"])]), "t", BLOCK_BYTES):
-        rows = [codec.encode(t) if t else [] for t in block.column("t").to_pylist()]
-        values.append(np.fromiter(chain.from_iterable(rows), np.int32))
-        sizes += map(len, rows)
-    return pa.ListArray.from_arrays(np.cumsum([0, *sizes], dtype=np.int32), np.concatenate(values))
+    ids, ends = array("i"), [0]
+    for text in texts:
+        ids.extend(codec.encode(text.as_py() or ""))
+        ends.append(len(ids))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), len(ids), [None, pa.py_buffer(ids)]))
 
 
 def _decoded(tokens: pa.Array, lists: pa.Array) -> pa.Array:
