@@ -6,9 +6,8 @@ source owns the cells between its cumulative targets and every stretch of the mi
 slots are ranked, and its r-th slot takes the r-th block of T words of the source, whose documents stand in hash order,
 twice over: words beyond the source's size come from a second pass.
 
-T is a 2 ** SLOT_BITS th of the mix, and SLOT_WORDS at most: larger inputs get more slots. With slots of up to WHOLE words
-a source takes whole slots, within one slot of its target; with longer slots its last block is cut, so it takes its whole
-words of target exactly. A source with a target of a word or more and no cell gets a cell of its own for just these words.
+T is a 2 ** SLOT_BITS th of the mix, and SLOT_WORDS at most: larger inputs get more slots. A source has as many cells as
+its whole words of target need, and its last block is cut, so it takes these words exactly, at every size.
 
 Targets: the mix is ``share`` times all words, dealt by weight; a source gets at most ``passes`` times its size and the
 excess is dealt again by weight until no source is above. Running sums over a source's documents are summed per 4096
@@ -27,12 +26,12 @@ from orderflow.llm.common import in_slices, null_last_key, running_totals
 from orderflow.session import materialize
 
 WEIGHTS, SHARE, PASSES, SLOT_BITS, SEED = (3, 1, 2), 1.5, 2, 16, "mix"
-SLOT_WORDS, WHOLE = 1024, 16
+SLOT_WORDS = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PASSES) -> DataFrame:
-    """For (_source, source_size): weight by rank, target, cumulative whole words before the source."""
+    """For (_source, source_size): target, words to take, slots, and the slots before the source's."""
     sliced = in_slices(sizes, [F.col("_source")], "mix-sources")
     ranked = running_totals(sliced, [F.col("_source")], {"_rank": F.lit(1)})
     turn = F.array(*map(F.lit, weights))
@@ -52,14 +51,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, pass
     target = F.when(F.col("_weight") * F.lit(level) > cap, cap.cast("double")).otherwise(F.col("_weight") * F.lit(level))
     words = F.floor("target").cast("long")
     placed = running_totals(sources.withColumn("target", target), [F.col("_source")], {"_before": words})
-    block = max(1, -(-int(budget) // (1 << SLOT_BITS)))
-    whole, block = block <= WHOLE, min(block, SLOT_WORDS)
-    first, last = (F.ceil(x / F.lit(block)).cast("long") for x in (F.col("_before"), F.col("_before") + words))
-    if whole:
-        cells, take = F.greatest(last - first, F.least(words, F.lit(1))), F.when(last > first, F.least((last - first) * block, cap)).otherwise(words)
-    else:
-        cells, take = F.ceil(words / F.lit(block)).cast("long"), words
-    owned = placed.withColumns({"_slots": cells, "_take": take})
+    block = min(max(1, -(-int(budget) // (1 << SLOT_BITS))), SLOT_WORDS)
+    owned = sources.withColumn("target", target)
+    owned = owned.withColumns({"_slots": F.ceil(words / F.lit(block)).cast("long"), "_take": words})
     bits = max(SLOT_BITS, ((owned.agg(F.sum("_slots")).first()[0] or 0) - 1).bit_length())
     return running_totals(owned, [F.col("_source")], {"_first": F.col("_slots")}).select(
         "_source", "source_size", "target", F.lit(block).cast("long").alias("_block_words"), F.lit(bits).alias("_bits"),

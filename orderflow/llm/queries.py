@@ -142,11 +142,7 @@ level AS (
 aimed AS (
   SELECT source, r, source_size, cap, budget, CASE WHEN w * v > cap THEN cap::DOUBLE ELSE w * v END AS target
   FROM ordered, (SELECT coalesce(v, 0) AS v FROM level)),
-cells AS (
-  SELECT *, greatest(1, ceil(floor(budget) / 65536))::BIGINT AS block, floor(target)::BIGINT AS words,
-         coalesce(sum(floor(target)::BIGINT) OVER (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
-  FROM aimed),
-takes AS (SELECT *, least((ceil((before + words) / block) - ceil(before / block)) * block, cap)::BIGINT AS take FROM cells),
+takes AS (SELECT *, floor(target)::BIGINT AS take FROM aimed),
 placed AS (
   SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS a
   FROM sized)

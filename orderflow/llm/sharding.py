@@ -1,13 +1,14 @@
 """Shards of near-equal bytes by histogram sort.
 
-Rows sort by a 62-bit key: 40 bits of the text's hash, so that copies stand together, then 22 bits of the row's hash,
-so that a large group of copies can be cut. Rounds of one distributed count each narrow the key ranges: the first
+Rows sort by a 62-bit key: 38 bits of the text's hash, so that copies stand together, 12 bits of the row's hash, so that a
+large group of copies can be cut, then 12 bits of a stored row number, so that a large group of equal rows can be cut too.
+Rounds of one distributed count each narrow the key ranges: the first
 counts exact bytes and rows of 16,384 ranges, every further one divides by 256 those ranges that hold a shard boundary
 and more than the tolerance, or more than one task should sort. The driver sees counts of ranges only. When all
 boundaries meet the tolerance, the rows move once, to the ranges, where they are numbered.
 
 Defined cases: null text has no bytes and counts one byte for its separator; equal texts stay in one shard unless a
-boundary falls into a group larger than the tolerance; rows equal in all columns and in key are interchangeable; an
+boundary falls into a group larger than the tolerance, as do rows equal in all columns, which are interchangeable; an
 empty table gives no rows; input columns named ``size``, ``shard`` or ``slot`` are replaced.
 """
 
@@ -21,15 +22,18 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from orderflow.llm.common import hashable
 from orderflow.session import materialize
 
-KEY_BITS, FIRST_BITS, STEP_BITS, ROW_BITS = 62, 14, 8, 22
+KEY_BITS, FIRST_BITS, STEP_BITS, ROW_BITS, NUMBER_BITS = 62, 14, 8, 12, 12
 #: The largest range that one task numbers; rows beyond are divided, so the list of ranges grows as bytes / RANGE_BYTES.
 RANGE_BYTES = 256 << 20
 
 
 def sort_key(df: DataFrame, text: str) -> Column:
-    of_text = F.shiftrightunsigned(F.xxhash64(F.col(text)), 24)
-    of_row = F.shiftrightunsigned(F.xxhash64(*hashable(df), F.lit(7)), 64 - ROW_BITS)
-    return F.shiftleft(of_text, ROW_BITS).bitwiseOR(of_row)
+    """``df``: with ``_number``, stored."""
+    low = ROW_BITS + NUMBER_BITS
+    of_text = F.shiftrightunsigned(F.xxhash64(F.col(text)), 64 - KEY_BITS + low)
+    of_row = F.shiftrightunsigned(F.xxhash64(*hashable(df.drop("_number")), F.lit(7)), 64 - ROW_BITS)
+    of_number = F.shiftrightunsigned(F.xxhash64("_number"), 64 - NUMBER_BITS)
+    return F.shiftleft(of_text, low).bitwiseOR(F.shiftleft(of_row, NUMBER_BITS)).bitwiseOR(of_number)
 
 
 def ranges(keyed: DataFrame, shards: int, tolerance: float, law: str) -> list[tuple[int, int, int, int]]:
@@ -84,6 +88,7 @@ def shard_rows(
     """All rows with size, shard (0 to shards - 1) and slot (gapless from 0 in each shard, in key order)."""
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
     df = df.drop("shard", "slot", *(c for c in ["size"] if c != text))
+    df = materialize(df.withColumn("_number", F.monotonically_increasing_id()), "shard-rows")
     keyed = df.withColumns({"size": size, "_key": sort_key(df, text), "_row": F.xxhash64(*hashable(df))})
     counted = materialize(keyed.select("_key", "size"), "shard-keys")
     found = ranges(counted, shards, tolerance, law)
@@ -97,4 +102,4 @@ def shard_rows(
         places = places.withColumn("_place", F.coalesce("_place", "_at")).drop("_prefix", "_at")
     order = W.partitionBy(F.col("_place.first")).orderBy("_key", "_row")
     slot = (F.col("_place.slot") + F.row_number().over(order) - 1).cast("long")
-    return places.withColumns({"shard": F.col("_place.shard"), "slot": slot}).drop("_key", "_row", "_place")
+    return places.withColumns({"shard": F.col("_place.shard"), "slot": slot}).drop("_key", "_row", "_place", "_number")

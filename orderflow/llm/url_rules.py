@@ -7,7 +7,7 @@ the last end before it. A range starts with the stack that is open there. Pages
 longest rule whose path starts theirs decides.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path and fits no rule; without a fitting rule the
-verdict is ``allow`` and the rule null; of two fitting rules of equal length the one with the longer host wins, then
+verdict is ``allow`` and the rule null; control characters are characters like others; of two fitting rules of equal length the one with the longer host wins, then
 a block before an allow; repeated rules count once; empty tables give no rows or no rules; input columns named host,
 path, rule or verdict are replaced.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orderflow.llm.common import ascii_lower, in_slices
 
-END, AFTER = "\x01", "\x02"
+END, AFTER, ESCAPE = "\x01", "\x02", "\x03"
 OTHERWISE = "allow"
 
 
@@ -30,6 +30,9 @@ def split_url(url: Column) -> tuple[Column, Column]:
 
 
 def host_key(host: Column) -> Column:
+    """Separators and escapes inside a label are escaped, so that a label ends nowhere else."""
+    for found, escaped in (ESCAPE, f"{ESCAPE}c"), (END, f"{ESCAPE}a"), (AFTER, f"{ESCAPE}b"):
+        host = F.replace(host, F.lit(found), F.lit(escaped))
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), END), F.lit(END))
 
 

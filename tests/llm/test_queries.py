@@ -28,6 +28,14 @@ def test_against_sql(spark, duck, name):
     assert oracle.difference(duck, entry.queries()[name](spark, FOLDER), entry.oracle_sql()[name]) is None
 
 
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_mix_against_sql_at_larger_sizes(spark, folder):
+    """One rule at every size: slots of one word and of many."""
+    con, path = duckdb.connect(), f"/root/testdata/{folder}"
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet'")
+    assert oracle.difference(con, entry.queries()["op6_van_der_corput_mix"](spark, path), queries.OP6_SQL) is None
+
+
 def test_one_query_for_each_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
