@@ -67,13 +67,10 @@ def orders_waiting_courier(events: DataFrame) -> DataFrame:
     return orders.where((F.col("status") == READY) & ~F.col("has_courier")).select("order_id")
 
 
-def courier_signals(events: DataFrame, time: str = "arrival_ts") -> DataFrame:
-    """Everything that sets a courier's availability, as (courier_id, available, time, seq).
-
-    A delivery frees the courier last assigned to the order before it; it says nothing while none was.
-    """
+def direct_signals(events: DataFrame, time: str = "arrival_ts") -> DataFrame:
+    """What events say of a courier themselves: availability, and being busy once seen with an order."""
     kind, courier = F.col("event_type"), F.col("courier_id")
-    direct = events.select(
+    return events.select(
         courier,
         F.when(kind == "COURIER_AVAILABILITY", F.col("courier_available"))
         .when((kind == "COURIER_LOCATION") & F.col("order_id").isNotNull(), F.lit(False))
@@ -83,6 +80,12 @@ def courier_signals(events: DataFrame, time: str = "arrival_ts") -> DataFrame:
         "seq",
     ).where(courier.isNotNull() & F.col("available").isNotNull())
 
+
+def courier_signals(events: DataFrame, time: str = "arrival_ts") -> DataFrame:
+    """Everything that sets a courier's availability, as (courier_id, available, time, seq).
+
+    A delivery frees the courier last assigned to the order before it; it says nothing while none was.
+    """
     delivered = (F.col("new_status") == DELIVERED) & ~F.col("created")
     steps = order_changes(events, time).where(delivered | F.col("courier_id").isNotNull())
     steps = ordered.mark(steps, ordered.time_slice(F.col(time)))
@@ -90,7 +93,7 @@ def courier_signals(events: DataFrame, time: str = "arrival_ts") -> DataFrame:
     freed = known.where(delivered & F.col("holder").isNotNull()).select(
         F.col("holder").alias("courier_id"), F.lit(True).alias("available"), time, "seq"
     )
-    return direct.unionByName(freed)
+    return direct_signals(events, time).unionByName(freed)
 
 
 def courier_state(events: DataFrame, time: str = "arrival_ts") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderflow import fixtures as X
@@ -11,7 +13,10 @@ from orderflow.session import scratch_path
 from orderflow.sources.lake import PARTITIONS
 from orderflow.streaming import pipelines as P
 
-DELAY = "1 hour"
+#: Days of events that arrive together, in one file and micro-batch; every fortieth event comes with the next ones.
+DAYS, LATE, LAST = 5, 40, 6
+WINDOWS_KEPT = 300 * 3600
+LIFETIME = 3600 * 48
 
 
 def source(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,15 +24,43 @@ def source(spark: SparkSession, folder: str) -> DataFrame:
     return X.from_events(P.read_stream(spark, folder, schema, pathGlobFilter="events.parquet"))
 
 
+def arrivals(spark: SparkSession, folder: str, twice: bool = False, late: bool = True, **end) -> DataFrame:
+    """The events as a stream of several micro-batches, one file each, some of them late, or again in the next file."""
+    events, path = X.table(spark, folder, "events"), scratch_path(spark, "arrivals")
+    group = F.floor((F.dayofmonth("ts") - 1) / DAYS) + F.when(F.lit(late) & (F.col("event_id") % LATE == 7), 1).otherwise(0)
+    dealt = events.withColumn("_file", F.least(group, F.lit(LAST)))
+    if twice:
+        dealt = dealt.unionByName(dealt.where("event_id % 3 = 0").withColumn("_file", F.least(F.col("_file") + 1, F.lit(LAST))))
+    for n in range(LAST + 1):  # in turn, as the files' times give their order
+        dealt.where(F.col("_file") == n).drop("_file").coalesce(1).write.mode("append").parquet(path)
+    if end:
+        P.end_input(spark, path, events.schema, **end)
+    return X.from_events(P.read_stream(spark, path, events.schema, maxFilesPerTrigger="1"))
+
+
 def normalized(spark: SparkSession, folder: str) -> DataFrame:
-    return N.normalize(X.raw_events(source(spark, folder))).withColumn("seq", F.col("event_id"))
+    """Normalised events in several micro-batches."""
+    return N.normalize(X.raw_events(arrivals(spark, folder))).withColumn("seq", F.col("event_id"))
+
+
+def _merged(stream: DataFrame, path: str, add) -> None:
+    P.run_available(P.merge_into(stream, f"{path}/checkpoint", add))
+
+
+def _statuses(spark: SparkSession, folder: str, lifetime: int | None = None) -> DataFrame:
+    path = scratch_path(spark, "status")
+    table = P.status_table(spark, f"{path}/table", lifetime)
+    _merged(normalized(spark, folder), path, P.add_statuses(table))
+    return table.read()
 
 
 def stream_latest_status(spark: SparkSession, folder: str) -> DataFrame:
-    stream, path = P.latest_status(normalized(spark, folder)), scratch_path(spark, "status")
-    with P.rocksdb_state(spark):
-        P.run_available(P.upsert_log(stream, f"{path}/data", f"{path}/checkpoint"))
-    return P.read_upserts(spark, f"{path}/data", stream.schema, ["order_id"])
+    return _statuses(spark, folder).select("order_id", "status")
+
+
+def stream_living_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with a status in the last two days before the newest one; others have left the table."""
+    return _statuses(spark, folder, LIFETIME)
 
 
 def stream_status_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,6 +68,34 @@ def stream_status_counts(spark: SparkSession, folder: str) -> DataFrame:
     return stream_latest_status(spark, folder).groupBy("status").agg(F.count(F.lit(1)).alias("total"))
 
 
+def _windows(spark: SparkSession, folder: str, groups: dict[str, str], width: str, slide: str | None, lifetime: int | None = None) -> DataFrame:
+    path = scratch_path(spark, "windows")
+    table = P.window_table(spark, f"{path}/table", groups, lifetime)
+    _merged(normalized(spark, folder), path, P.add_windows(table, width, slide, 3600))
+    return table.read()
+
+
+def stream_order_lives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every life of an order: seen again and again, and then not for six hours."""
+    newest = X.events(spark, folder).agg(F.max("arrival_ts")).first()[0]
+    after = {"ts": newest + timedelta(days=9), "props": '{"k": 0}', "user_id": -1}
+    events = arrivals(spark, folder, **after).withColumn("seq", F.col("event_id"))
+    with P.rocksdb_state(spark):
+        return P.collected(P.sessions(events, "order_id", "6 hours", "8 days", status=F.col("status")), "lives")
+
+
+def stream_distinct_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders seen per hour, from sketches that micro-batches add to; whether within 3 % of the exact number."""
+    path = scratch_path(spark, "hours")
+    table = P.hourly_orders(spark, f"{path}/table")
+    _merged(arrivals(spark, folder), path, P.add_orders(table))
+    start = F.unix_seconds("arrival_ts") - F.pmod(F.unix_seconds("arrival_ts"), F.lit(3600))
+    exact = X.events(spark, folder).groupBy(start.alias("hour")).agg(F.countDistinct("order_id").alias("orders"))
+    guess = table.read().select("hour", F.hll_sketch_estimate("orders").alias("_estimate"))
+    close = F.abs(F.col("_estimate") - F.col("orders")) <= F.ceil(F.col("orders") * 0.03)
+    return exact.join(guess, "hour", "full").select("hour", "orders", close.alias("close"))
+
+
 def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
     users = X.users(spark, folder).select(F.col("user_id").alias("order_id"), "user_name", "user_type")
     joined = source(spark, folder).join(users, "order_id")
@@ -42,16 +103,18 @@ def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """The same events delivered twice."""
-    twice = source(spark, folder).unionByName(source(spark, folder))
-    return P.collected(P.deduplicated(twice, "event_id", DELAY).select("event_id", "order_id", "kind"), "dedup")
+    """A third of the events delivered twice, in two micro-batches; keys are remembered for as long as copies may come."""
+    twice = arrivals(spark, folder, twice=True)
+    return P.collected(P.deduplicated(twice, "event_id", "40 days").select("event_id", "order_id", "kind"), "dedup")
 
 
 def stream_courier_signals(spark: SparkSession, folder: str) -> DataFrame:
     """Courier availability from the signal stream, newest signal per courier."""
-    with P.rocksdb_state(spark):
-        signals = P.collected(P.courier_signals(normalized(spark, folder)), "signals")
-    return signals.groupBy("courier_id").agg(F.max_by("available", F.struct("arrival_us", "seq")).alias("available"))
+    path = scratch_path(spark, "signals")
+    holders, signals = P.holder_table(spark, f"{path}/holders"), P.signal_table(spark, f"{path}/signals")
+    stream = N.normalize(X.raw_events(arrivals(spark, folder, late=False))).withColumn("seq", F.col("event_id"))
+    _merged(stream, path, P.add_signals(holders, signals))
+    return signals.read().select("courier_id", "available")
 
 
 def stream_lake_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,22 +132,31 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    """A snapshot of the keyed state per trigger, newest row per status."""
-    stream, path = P.latest_status(normalized(spark, folder)), scratch_path(spark, "stream-snapshots")
-    with P.rocksdb_state(spark):
-        make = lambda batch: batch.groupBy("status").agg(F.count(F.lit(1)).alias("total"))
-        P.run_available(P.on_snapshot(stream, make, f"{path}/data", f"{path}/checkpoint", availableNow=True))
-    shown = spark.read.schema("status string, total long, batch_id long").parquet(f"{path}/data")
-    return shown.groupBy("status").agg(F.max_by("total", "batch_id").alias("total"))
+    """Orders per status after each micro-batch."""
+    path = scratch_path(spark, "stream-snapshots")
+    table = P.status_table(spark, f"{path}/table")
+    add = P.add_statuses(table)
+
+    def snapshot(batch: DataFrame, batch_id: int) -> None:
+        add(batch, batch_id)
+        shown = table.read().groupBy("status").agg(F.count(F.lit(1)).alias("total"))
+        shown.write.mode("overwrite").parquet(f"{path}/data/batch_id={batch_id}")
+
+    _merged(normalized(spark, folder), path, snapshot)
+    return spark.read.schema("status string, total long, batch_id long").parquet(f"{path}/data")
 
 
 QUERIES = {
     "stream_quarantine": stream_quarantine,
     "stream_snapshots": stream_snapshots,
     "stream_latest_status": stream_latest_status,
+    "stream_living_orders": stream_living_orders,
+    "stream_order_lives": stream_order_lives,
     "stream_status_counts": stream_status_counts,
-    "stream_tumbling_rollup": lambda s, d: P.collected(P.tumbling(normalized(s, d), "1 hour", DELAY, "event_type"), "tumbling"),
-    "stream_sliding_rate": lambda s, d: P.collected(P.sliding(normalized(s, d), "60 seconds", "10 seconds", DELAY), "sliding"),
+    "stream_tumbling_rollup": lambda s, d: _windows(s, d, {"event_type": "string"}, "1 hour", None),
+    "stream_recent_buckets": lambda s, d: _windows(s, d, {}, "1 hour", None, WINDOWS_KEPT),
+    "stream_sliding_rate": lambda s, d: _windows(s, d, {}, "60 seconds", "10 seconds"),
+    "stream_distinct_orders": stream_distinct_orders,
     "stream_dedup": stream_dedup,
     "stream_enrich": stream_enrich,
     "stream_courier_signals": stream_courier_signals,
@@ -92,21 +164,45 @@ QUERIES = {
 }
 
 _STATE = live._STATE
-_MARK = "(SELECT epoch_us(max(arrival_ts)) // 1000 / 1000.0::DOUBLE - 3600 FROM nm)"
+# the micro-batch of every event, and the watermark that the micro-batches before it leave
+_ARRIVED = f"""arrived AS (SELECT event_id, arrival_ts, least((day(ts) - 1) // {DAYS} + CASE WHEN event_id % {LATE} = 7 THEN 1 ELSE 0 END, {LAST}) AS file FROM ev)"""
+_MARKS = """marks AS (SELECT file, max(max(epoch_us(arrival_ts))) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3600000000 AS mark
+  FROM arrived GROUP BY file)"""
+_TIMED = """timed AS (SELECT nm.*, file, coalesce(epoch_us(nm.arrival_ts) < mark, false)::BIGINT AS late
+  FROM nm JOIN arrived USING (event_id) JOIN marks USING (file))"""
+_TIMES = V.with_(V.EV, V.NM, _ARRIVED, _MARKS, _TIMED)
 
 ORACLE = {
     "stream_quarantine": V.with_(V.EV, V.NM)
     + "SELECT event_id, format_name, format_name = 'unknown:raw_text' AS parse_error FROM nm WHERE event_type = 'UNKNOWN'",
-    "stream_snapshots": V.with_(*_STATE) + "SELECT status, count(*) AS total FROM lo WHERE status IS NOT NULL GROUP BY status",
+    "stream_snapshots": V.with_(*_STATE, _ARRIVED)
+    + """SELECT batch_id, status, count(*) AS total FROM (
+        SELECT f.file AS batch_id, order_id, arg_max(new_status, (ch.arrival_ts, seq)) AS status
+        FROM ch JOIN arrived a ON a.event_id = seq JOIN (SELECT DISTINCT file FROM arrived) f ON a.file <= f.file
+        WHERE new_status IS NOT NULL GROUP BY ALL) GROUP BY ALL""",
     "stream_latest_status": V.with_(*_STATE) + "SELECT order_id, status FROM lo WHERE status IS NOT NULL",
     "stream_status_counts": V.with_(*_STATE) + "SELECT status, count(*) AS total FROM lo WHERE status IS NOT NULL GROUP BY status",
-    # only windows the watermark has passed are complete
-    "stream_tumbling_rollup": V.with_(V.EV, V.NM)
-    + f"""SELECT * FROM (SELECT epoch_us(arrival_ts) // 3600000000 * 3600 AS window_start, event_type, count(*) AS events
-        FROM nm GROUP BY ALL) WHERE window_start + 3600 <= {_MARK}""",
-    "stream_sliding_rate": V.with_(V.EV, V.NM)
-    + f"""SELECT * FROM (SELECT (epoch_us(arrival_ts) // 10000000 - i) * 10 AS window_start, count(*) AS events
-        FROM nm, range(6) t(i) GROUP BY ALL) WHERE window_start + 60 <= {_MARK}""",
+    "stream_living_orders": V.with_(*_STATE)
+    + f"""SELECT order_id, new_status AS status, epoch_us(arrival_ts) AS arrival_us, seq FROM (
+        SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY arrival_ts DESC, seq DESC) AS rn, max(arrival_ts) OVER () AS newest
+        FROM ch WHERE new_status IS NOT NULL) WHERE rn = 1 AND epoch_us(arrival_ts) > epoch_us(newest) - {LIFETIME * 1_000_000}""",
+    "stream_order_lives": V.with_(V.EV)
+    + """SELECT order_id, min(epoch_us(arrival_ts)) AS first_us, max(epoch_us(arrival_ts)) + 21600000000 AS end_us, count(*) AS events,
+          arg_max(status, (arrival_ts, event_id)) AS status
+        FROM (SELECT *, sum(fresh) OVER (PARTITION BY order_id ORDER BY arrival_ts, event_id ROWS UNBOUNDED PRECEDING) AS life FROM (
+          SELECT *, CASE WHEN epoch_us(arrival_ts) <= epoch_us(lag(arrival_ts) OVER (PARTITION BY order_id ORDER BY arrival_ts, event_id)) + 21600000000
+            THEN 0 ELSE 1 END AS fresh FROM ev)) GROUP BY order_id, life""",
+    "stream_tumbling_rollup": _TIMES
+    + """SELECT epoch_us(arrival_ts) // 3600000000 * 3600 AS window_start, event_type, count(*) AS events, sum(late)::BIGINT AS late_events
+        FROM timed GROUP BY ALL""",
+    "stream_recent_buckets": _TIMES
+    + f"""SELECT * FROM (SELECT epoch_us(arrival_ts) // 3600000000 * 3600 AS window_start, count(*) AS events, sum(late)::BIGINT AS late_events
+        FROM timed GROUP BY ALL) WHERE window_start > (SELECT max(epoch_us(arrival_ts)) FROM nm) // 3600000000 * 3600 - {WINDOWS_KEPT}""",
+    "stream_sliding_rate": _TIMES
+    + """SELECT (epoch_us(arrival_ts) // 10000000 - i) * 10 AS window_start, count(*) AS events, sum(late)::BIGINT AS late_events
+        FROM timed, range(6) t(i) GROUP BY ALL""",
+    "stream_distinct_orders": V.with_(V.EV)
+    + "SELECT epoch_us(arrival_ts) // 3600000000 * 3600 AS hour, count(DISTINCT order_id) AS orders, true AS close FROM ev GROUP BY ALL",
     "stream_dedup": V.with_(V.EV) + "SELECT event_id, order_id, kind FROM ev",
     "stream_enrich": V.with_(V.EV, V.USERS)
     + "SELECT event_id, order_id, status, user_name, user_type FROM ev JOIN users ON user_id = order_id",

@@ -9,15 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from orderflow.operators import normalize as N, state as S
+from orderflow.operators import normalize as N, ordered, state as S
 from orderflow.schemas import DELIVERED
-from orderflow.session import scratch_path
+from orderflow.session import materialize, scratch_path
 from orderflow.sources.lake import PARTITIONS
+from orderflow.streaming.store import Table, newest_row, summed
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -65,24 +64,12 @@ def to_lake(
     return append_to(events.repartition(*PARTITIONS, spread), path, checkpoint, fmt, PARTITIONS, **trigger)
 
 
-def upsert_log(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Changed keys of an update-mode aggregation, one folder per micro-batch; a replayed batch overwrites its own."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    writer = stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+def merge_into(stream: DataFrame, checkpoint: str, add: Callable[[DataFrame, int], None], **trigger) -> StreamingQuery:
+    """Hand every micro-batch to ``add(batch, batch_id)``, which merges it into stored tables."""
+    writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def read_upserts(spark: SparkSession, path: str, schema: T.StructType, keys: list[str]) -> DataFrame:
-    """The newest row per key of an ``upsert_log``."""
-    logged = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
-    rest = [f.name for f in schema.fields if f.name not in keys]
-    newest = logged.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_r"))
-    return newest.select(*keys, "_r.*")
-
-
 def with_quarantine(raw: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Normalised events, per micro-batch parsed and written once; ``quarantined`` tells unreadable or unknown payloads."""
 
@@ -108,30 +95,81 @@ def on_snapshot(
     def write(batch: DataFrame, batch_id: int) -> None:
         make(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    writer = stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
-def latest_status(events: DataFrame) -> DataFrame:
-    """Keyed state order -> last status by arrival (update mode)."""
-    changes = S.order_changes(events).where(F.col("new_status").isNotNull())
-    return changes.groupBy("order_id").agg(F.max_by("new_status", S.position()).alias("status"))
+def status_table(spark: SparkSession, path: str, lifetime_seconds: int | None = None) -> Table:
+    """order -> last status, with the time and number of the arrival that set it."""
+    schema = T.StructType.fromDDL("order_id long, status string, arrival_us long, seq long")
+    lifetime = None if lifetime_seconds is None else lifetime_seconds * 1_000_000
+    return Table(spark, path, schema, ["order_id"], newest_row(["order_id"], ["arrival_us", "seq"]), "arrival_us", lifetime)
+
+
+def add_statuses(table: Table) -> Callable[[DataFrame, int], None]:
+    """The last status of every order in a micro-batch, merged into a ``status_table``; no state besides the table."""
 
+    def add(batch: DataFrame, batch_id: int) -> None:
+        changes = S.order_changes(batch).where(F.col("new_status").isNotNull())
+        rows = changes.select("order_id", F.col("new_status").alias("status"), F.unix_micros("arrival_ts").alias("arrival_us"), "seq")
+        table.add(rows, batch_id)
+
+    return add
+
+
+def window_table(spark: SparkSession, path: str, groups: dict[str, str], lifetime_seconds: int | None = None) -> Table:
+    """(window_start in seconds, groups) -> events, and how many of them came behind the watermark."""
+    kinds = ", ".join(f"{name} {kind}" for name, kind in groups.items())
+    schema = T.StructType.fromDDL(f"window_start long, {kinds + ', ' if kinds else ''}events long, late_events long")
+    keys = ["window_start", *groups]
+    return Table(spark, path, schema, keys, summed(keys), "window_start", lifetime_seconds)
+
+
+def add_windows(table: Table, width: str, slide: str | None, delay_seconds: int) -> Callable[[DataFrame, int], None]:
+    """Events per window of a micro-batch, added to a ``window_table``.
+
+    A window is right as soon as its rows are in, the last one as well: nothing waits for a watermark. Rows that come more
+    than the delay behind the newest arrival of earlier micro-batches correct their stored window and are counted apart, in the
+    window and as the fact ``late``.
+    """
 
-def tumbling(events: DataFrame, width: str, delay: str, *groups: str | Column) -> DataFrame:
-    """Events per tumbling window; rows later than ``delay`` are dropped, closed windows are emitted once."""
-    return _windowed(events, delay, F.window("arrival_ts", width), *groups)
+    def add(batch: DataFrame, batch_id: int) -> None:
+        at, newest = F.unix_micros("arrival_ts"), table.manifest()["facts"].get("newest_us")
+        late = F.lit(False) if newest is None else at < newest - delay_seconds * 1_000_000
+        window = F.window("arrival_ts", width, slide) if slide else F.window("arrival_ts", width)
 
+        def per_window(rows: DataFrame) -> DataFrame:
+            one = [F.lit(1).cast("long").alias("events"), F.col("_late").cast("long").alias("late_events")]
+            opened = rows.select(window.alias("_w"), *table.keys[1:], *one)
+            return opened.select(F.unix_seconds("_w.start").alias("window_start"), *table.keys[1:], "events", "late_events")
 
-def sliding(events: DataFrame, width: str, slide: str, delay: str, *groups: str | Column) -> DataFrame:
-    """Events per sliding window; every event is held once per slide inside the width."""
-    return _windowed(events, delay, F.window("arrival_ts", width, slide), *groups)
+        seen = batch.withColumn("_late", F.coalesce(late, F.lit(False)))
+        table.add(seen, batch_id, per_window, counts={"late": F.count_if("_late")}, marks={"newest_us": F.max(at)})
 
+    return add
 
-def _windowed(events: DataFrame, delay: str, window: Column, *groups: str | Column) -> DataFrame:
-    counted = events.withWatermark("arrival_ts", delay).groupBy(window, *groups).agg(F.count(F.lit(1)).alias("events"))
-    names = [c for c in counted.columns if c not in ("window", "events")]
-    return counted.select(F.unix_seconds("window.start").alias("window_start"), *names, "events")
+
+def sessions(events: DataFrame, key: str, lifetime: str, delay: str, **last: Column) -> DataFrame:
+    """Keyed state with a lifetime: what is known of a key until it has not been seen for that long, then it leaves the state.
+
+    Each life of a key comes out once, when the watermark has passed its end: when it was first seen, when it ended, events,
+    and the ``last`` known values. Null is a key like others.
+    """
+    life = F.session_window("arrival_ts", lifetime)
+    at = F.struct("arrival_ts", "seq")
+    values = [F.max_by(c, F.when(c.isNotNull(), at)).alias(n) for n, c in last.items()]
+    lives = events.withWatermark("arrival_ts", delay).groupBy(key, life).agg(F.count(F.lit(1)).alias("events"), *values)
+    begin, end = (F.unix_micros(f"session_window.{x}") for x in ("start", "end"))
+    return lives.select(key, begin.alias("first_us"), end.alias("end_us"), "events", *last)
+
+
+def end_input(spark: SparkSession, path: str, schema: T.StructType, **values) -> None:
+    """A last file with one row far ahead in time: reading it moves the watermark past all rows before and so closes them.
+
+    Its own window or life stays open, so it never comes out.
+    """
+    row = tuple(values.get(f.name) for f in schema.fields)
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
 
 
 def deduplicated(events: DataFrame, key: str, delay: str) -> DataFrame:
@@ -139,57 +177,59 @@ def deduplicated(events: DataFrame, key: str, delay: str) -> DataFrame:
     return events.withWatermark("arrival_ts", delay).dropDuplicatesWithinWatermark([key])
 
 
-class HolderState(StatefulProcessor):
-    """Per order: the courier assigned last. A delivery emits that courier as free again.
+_HOLDER = "order_id long, courier_id long, arrival_us long, seq long"
+_SIGNAL = "courier_id long, available boolean, arrival_us long, seq long"
+
+
+def holder_table(spark: SparkSession, path: str) -> Table:
+    """order -> the courier assigned last."""
+    return Table(spark, path, T.StructType.fromDDL(_HOLDER), ["order_id"], newest_row(["order_id"], ["arrival_us", "seq"]), "arrival_us")
+
+
+def signal_table(spark: SparkSession, path: str) -> Table:
+    """courier -> the newest sign of availability."""
+    return Table(spark, path, T.StructType.fromDDL(_SIGNAL), ["courier_id"], newest_row(["courier_id"], ["arrival_us", "seq"]), "arrival_us")
+
+
+def add_signals(holders: Table, signals: Table) -> Callable[[DataFrame, int], None]:
+    """Availability of couriers, where a delivery frees the courier that its order was assigned to, in whatever micro-batch.
 
-    The rows of one key in one micro-batch are put in arrival order first; the trigger's size limit bounds them.
+    Inside the micro-batch the last courier is carried along each order; where there was none before, the stored one counts.
+    Micro-batches come in order of arrival.
     """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._holder = handle.getValueState("holder", T.StructType([T.StructField("courier_id", T.LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        steps = pd.concat(list(rows)).sort_values(["arrival_us", "seq"])
-        before = self._holder.get()[0] if self._holder.exists() else None
-        holder = steps["courier_id"].ffill()  # ids as text: a column of numbers with gaps would pass through floating point
-        if before is not None:
-            holder = holder.fillna(str(before))
-        steps = steps.assign(holder=holder)
-        last = steps["holder"].iloc[-1]
-        if pd.notna(last):
-            self._holder.update((int(last),))
-        freed = steps[steps["delivered"] & steps["holder"].notna()]
-        yield pd.DataFrame(
-            {"courier_id": [int(c) for c in freed["holder"]], "available": True, "arrival_us": freed["arrival_us"], "seq": freed["seq"]}
-        )
-
-    def close(self) -> None:
-        pass
-
-
-SIGNAL = "courier_id long, available boolean, arrival_us long, seq long"
-
-
-def courier_signals(events: DataFrame) -> DataFrame:
-    """Availability signals of couriers: direct ones row by row, deliveries through the order's keyed state."""
-    kind, courier = F.col("event_type"), F.col("courier_id")
-    busy = kind.isin("COURIER_LOCATION", "COURIER_ASSIGNED") & F.col("order_id").isNotNull()
-    at = F.unix_micros("arrival_ts").alias("arrival_us")
-    direct = events.select(
-        courier,
-        F.when(kind == "COURIER_AVAILABILITY", F.col("courier_available")).when(busy, F.lit(False)).alias("available"),
-        at,
-        "seq",
-    ).where(courier.isNotNull() & F.col("available").isNotNull())
-    delivered = (F.col("new_status") == DELIVERED) & ~F.col("created")
-    steps = S.order_changes(events).select(
-        "order_id", courier.cast("string").alias("courier_id"), F.coalesce(delivered, F.lit(False)).alias("delivered"), at, "seq"
-    )
-    steps = steps.where(F.col("delivered") | F.col("courier_id").isNotNull())
-    freed = steps.groupBy("order_id").transformWithStateInPandas(
-        statefulProcessor=HolderState(), outputStructType=SIGNAL, outputMode="Append", timeMode="None"
-    )
-    return direct.unionByName(freed)
+    def add(batch: DataFrame, batch_id: int) -> None:
+        batch = materialize(batch, "signal-batch")
+        delivered = (F.col("new_status") == DELIVERED) & ~F.col("created")
+        steps = S.order_changes(batch).where(delivered | F.col("courier_id").isNotNull())
+        steps = ordered.mark(steps, ordered.time_slice(F.col("arrival_ts")))
+        inside = ordered.carry(steps, ["order_id"], ["arrival_ts", "seq"], last_known={"_inside": F.col("courier_id")})
+        stored = holders.read().select("order_id", F.col("courier_id").alias("_stored"))
+        holder = F.coalesce("_inside", "_stored")
+        freed = inside.where(delivered).join(stored, "order_id", "left").where(holder.isNotNull())
+        freed = freed.select(holder.alias("courier_id"), F.lit(True).alias("available"), F.unix_micros("arrival_ts").alias("arrival_us"), "seq")
+        direct = S.direct_signals(batch).select("courier_id", "available", F.unix_micros("arrival_ts").alias("arrival_us"), "seq")
+        signals.add(direct.unionByName(freed), batch_id)
+        # last, since the stored holders are those before this micro-batch, also when it is replayed
+        assigned = steps.where(F.col("courier_id").isNotNull())
+        holders.add(assigned.select("order_id", "courier_id", F.unix_micros("arrival_ts").alias("arrival_us"), "seq"), batch_id)
+
+    return add
+
+
+def hourly_orders(spark: SparkSession, path: str) -> Table:
+    """hour -> a sketch of the orders seen in it; sketches of hours, days or tables merge."""
+    schema = T.StructType.fromDDL("hour long, orders binary")
+    return Table(spark, path, schema, ["hour"], summed(["hour"], orders=lambda c: F.hll_union_agg(c)), "hour")
+
+
+def add_orders(table: Table) -> Callable[[DataFrame, int], None]:
+    def add(batch: DataFrame, batch_id: int) -> None:
+        hour = (F.unix_seconds("arrival_ts") - F.pmod(F.unix_seconds("arrival_ts"), F.lit(3600))).alias("hour")
+        rows = batch.where(F.col("order_id").isNotNull()).groupBy(hour).agg(F.hll_sketch_agg("order_id").alias("orders"))
+        table.add(rows, batch_id)
+
+    return add
 
 
 def collected(stream: DataFrame, name: str, **kwargs) -> DataFrame:
