@@ -7,8 +7,8 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderflow import fixtures as X
-from orderflow.operators import normalize as N
-from orderflow.registry import live, views as V
+from orderflow.operators import latency, normalize as N
+from orderflow.registry import live, load, views as V
 from orderflow.session import scratch_path
 from orderflow.sources.lake import PARTITIONS
 from orderflow.streaming import pipelines as P
@@ -146,6 +146,19 @@ def stream_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("status string, total long, batch_id long").parquet(f"{path}/data")
 
 
+def stream_pipeline_latency(spark: SparkSession, folder: str) -> DataFrame:
+    """Three pipelines side by side on one source, with the latencies that each has seen."""
+    path = scratch_path(spark, "fan-out")
+    pipelines = {
+        "status": P.add_statuses(P.status_table(spark, f"{path}/status/table")),
+        "windows": P.add_windows(P.window_table(spark, f"{path}/windows/table", {}), "1 hour", None, 3600),
+        "orders": P.add_orders(P.hourly_orders(spark, f"{path}/orders/table")),
+    }
+    for query in P.fan_out(normalized(spark, folder), pipelines, path).values():
+        P.run_available(query)
+    return latency.latency_percentiles(P.read_samples(spark, path), "pipeline", "latency_ms")
+
+
 QUERIES = {
     "stream_quarantine": stream_quarantine,
     "stream_snapshots": stream_snapshots,
@@ -157,6 +170,7 @@ QUERIES = {
     "stream_recent_buckets": lambda s, d: _windows(s, d, {}, "1 hour", None, WINDOWS_KEPT),
     "stream_sliding_rate": lambda s, d: _windows(s, d, {}, "60 seconds", "10 seconds"),
     "stream_distinct_orders": stream_distinct_orders,
+    "stream_pipeline_latency": stream_pipeline_latency,
     "stream_dedup": stream_dedup,
     "stream_enrich": stream_enrich,
     "stream_courier_signals": stream_courier_signals,
@@ -203,6 +217,13 @@ ORACLE = {
         FROM timed, range(6) t(i) GROUP BY ALL""",
     "stream_distinct_orders": V.with_(V.EV)
     + "SELECT epoch_us(arrival_ts) // 3600000000 * 3600 AS hour, count(DISTINCT order_id) AS orders, true AS close FROM ev GROUP BY ALL",
+    "stream_pipeline_latency": V.with_(
+        V.EV, V.NM, live._LAT, "seen AS (SELECT pipeline, latency_ms FROM lat, (VALUES ('status'), ('windows'), ('orders')) t(pipeline))",
+        load._linear("seen", "pipeline", "latency_ms"),
+    )
+    + f"""SELECT pipeline, samples, avg, max, p50, p95 FROM (
+        SELECT pipeline, count(*) AS samples, {V.rnd(V.avg('latency_ms'), 2)} AS avg, max(latency_ms) AS max FROM seen GROUP BY pipeline)
+        JOIN pc USING (pipeline)""",
     "stream_dedup": V.with_(V.EV) + "SELECT event_id, order_id, kind FROM ev",
     "stream_enrich": V.with_(V.EV, V.USERS)
     + "SELECT event_id, order_id, status, user_name, user_type FROM ev JOIN users ON user_id = order_id",

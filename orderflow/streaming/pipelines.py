@@ -12,6 +12,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from orderflow.functions import scalars as X
 from orderflow.operators import normalize as N, ordered, state as S
 from orderflow.schemas import DELIVERED
 from orderflow.session import materialize, scratch_path
@@ -99,6 +100,30 @@ def on_snapshot(
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
+def fan_out(stream: DataFrame, pipelines: dict[str, Callable[[DataFrame, int], None]], path: str, **trigger) -> dict[str, StreamingQuery]:
+    """Several pipelines on one source, each a query with a checkpoint of its own that fails and restarts alone.
+
+    Besides its own work each one logs the event-to-consumer latency of what it has read: one file set per micro-batch, written after the
+    work is done, and over again if the micro-batch is replayed.
+    """
+
+    def observed(name: str, add: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+        def run(batch: DataFrame, batch_id: int) -> None:
+            add(batch, batch_id)
+            latency = X.latency_ms(F.col("event_ts"), F.col("arrival_ts"))
+            sample = batch.select(F.unix_millis("arrival_ts").alias("processed_at_ms"), latency.alias("latency_ms"))
+            sample.write.mode("overwrite").parquet(f"{path}/samples/pipeline={name}/batch_id={batch_id}")
+
+        return run
+
+    return {name: merge_into(stream, f"{path}/{name}/checkpoint", observed(name, add), **trigger) for name, add in pipelines.items()}
+
+
+def read_samples(spark: SparkSession, path: str) -> DataFrame:
+    """The latencies that the pipelines of a ``fan_out`` logged."""
+    return spark.read.schema("processed_at_ms long, latency_ms double, pipeline string, batch_id long").parquet(f"{path}/samples")
+
+
 def status_table(spark: SparkSession, path: str, lifetime_seconds: int | None = None) -> Table:
     """order -> last status, with the time and number of the arrival that set it."""
     schema = T.StructType.fromDDL("order_id long, status string, arrival_us long, seq long")

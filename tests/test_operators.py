@@ -428,3 +428,25 @@ def test_averages_keep_all_decimals(spark):
     values = spark.createDataFrame([(0.0004,), (0.0004,), (12.3456789,), (None,)], "v double")
     assert abs(values.agg(scalars.exact_avg(F.col("v"))).first()[0] - 12.3464789 / 3) < 1e-12
     assert spark.createDataFrame([(1e30,), (3e30,)], "v double").agg(scalars.exact_avg(F.col("v"))).first()[0] == 2e30
+
+
+def test_geofence_counts_like_all_pairs(spark):
+    """Crowded spots, couriers on the circle's edge, restaurants far away, ids of 0 and missing coordinates."""
+    draw = random.Random(6)
+    places = [(i, draw.uniform(-1, 1), draw.uniform(-1, 1)) for i in range(60)] + [(100, 50.0, 50.0), (101, None, 0.0), (102, 0.0, 0.0)]
+    free = [(i, draw.gauss(0, 0.3), draw.gauss(0, 0.3)) for i in range(1500)] + [(2000 + i, 0.25, 0.25) for i in range(300)]
+    free += [(3000, 0.0, math.sqrt(0.05)), (3001, math.sqrt(0.05), 0.0), (3002, None, 0.0), (3003, 0.0, None)]
+    found = geo.geofence_counts(
+        spark.createDataFrame(places, "restaurant_id long, lat double, lon double"),
+        spark.createDataFrame(free, "courier_id long, lat double, lon double"), levels=3,
+    )
+
+    def reached(lat, lon):
+        if lat is None or lon is None:
+            return []
+        known = [(i, a - lat, b - lon) for i, a, b in free if a is not None and b is not None]
+        return [i for i, dy, dx in known if dy * dy + dx * dx < 0.05]
+
+    want = {i: (len(r), min(r, default=None), not r) for i, lat, lon in places for r in [reached(lat, lon)]}
+    assert {r.restaurant_id: (r.couriers, r.courier_id, r.anyone) for r in found.collect()} == want
+    assert {r.anyone for r in found.collect()} == {True, False}
