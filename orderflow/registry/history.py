@@ -13,6 +13,7 @@ from orderflow.session import scratch_path
 from orderflow.sources import lake as L
 
 LAKE_DAY = "2024-01-15"
+LAKE_RANGE = ("2024-01-27", "2024-02-02")
 
 
 def lake(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,6 +27,14 @@ def lake_scan_day(spark: SparkSession, folder: str) -> DataFrame:
     return L.read_lake(spark, path).where(L.days(LAKE_DAY)).drop("year", "month", "day", "latitude", "longitude")
 
 
+def lake_scan_range(spark: SparkSession, folder: str) -> DataFrame:
+    """The same lake, a range of days over the end of a month, from the folders of these days."""
+    path = scratch_path(spark, "lake")
+    L.write_lake(lake(spark, folder), path)
+    found = L.read_days(spark, path, *LAKE_RANGE)
+    return found.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("events"), F.max("event_id").alias("last_id"))
+
+
 def normalized(spark: SparkSession, folder: str) -> DataFrame:
     raw = fixtures.raw_events(fixtures.spread(fixtures.events(spark, folder)))
     return N.normalize(raw).withColumn("seq", F.col("event_id"))
@@ -74,6 +83,7 @@ def encode_order_events(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "lake_scan_day": lake_scan_day,
+    "lake_scan_range": lake_scan_range,
     "latest_order_status": lambda s, d: H.latest_order_status(lake(s, d)),
     "history_kpis": lambda s, d: H.history_kpis(lake(s, d)),
     "status_distribution": lambda s, d: H.status_distribution(lake(s, d)),
@@ -96,6 +106,9 @@ ORACLE = {
     "lake_scan_day": _OE
     + f"""SELECT CAST(event_id AS INTEGER) AS event_id, CAST(order_id AS INTEGER) AS order_id, event_type, from_status, to_status,
         event_status, event_message, created_at, hour FROM oe WHERE event_date = '{LAKE_DAY}'""",
+    "lake_scan_range": _OE
+    + f"""SELECT event_date[1:4] AS year, event_date[6:7] AS month, event_date[9:10] AS day, count(*) AS events,
+        CAST(max(event_id) AS INTEGER) AS last_id FROM oe WHERE event_date BETWEEN '{LAKE_RANGE[0]}' AND '{LAKE_RANGE[1]}' GROUP BY ALL""",
     "latest_order_status": _LATEST + "SELECT * FROM latest",
     "history_kpis": _LATEST
     + f"""SELECT event_date, CAST(sum(events) AS BIGINT) AS total_events, count(*) AS total_orders,

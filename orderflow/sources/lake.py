@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import operator
+from datetime import date, timedelta
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderflow.schemas import LAKE, LATENCY_SAMPLE, TABLES
@@ -20,12 +24,43 @@ def read_lake(spark: SparkSession, path: str) -> DataFrame:
 
 
 def days(first: str, last: str | None = None) -> Column:
-    """Partition predicate for one UTC day or an inclusive range of days (``YYYY-MM-DD``)."""
+    """Partition predicate for one UTC day or an inclusive range of days (``YYYY-MM-DD``): whole years, months, days.
+
+    It compares the partition columns themselves, so that a catalog can prune by it too.
+    """
     last = last or first
-    if first == last:
-        year, month, day = first.split("-")
-        return (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
-    return F.concat_ws("-", "year", "month", "day").between(first, last)
+    parts = ("year", "month", "day")
+    low, high = first.split("-"), last.split("-")
+    same = next((i for i in range(3) if low[i] != high[i]), 3)  # leading parts that both ends share
+    wanted = F.lit(True)
+    for i in range(same):
+        wanted = wanted & (F.col(parts[i]) == low[i])
+    if same == 3:
+        return wanted
+
+    def inside(ends: list[str], strictly, or_at) -> Column:
+        """On the inner side of an end: strictly in a leading part, or equal there and so in the rest."""
+        inner = or_at(F.col("day"), ends[2])
+        for i in range(1, same - 1, -1):
+            inner = strictly(F.col(parts[i]), ends[i]) | ((F.col(parts[i]) == ends[i]) & inner)
+        return inner
+
+    return wanted & inside(low, operator.gt, operator.ge) & inside(high, operator.lt, operator.le)
+
+
+def read_days(spark: SparkSession, path: str, first: str, last: str | None = None) -> DataFrame:
+    """The days of a range, read from their folders alone: no other day is listed. Days without a folder have no rows."""
+    at, end, months = date.fromisoformat(first), date.fromisoformat(last or first), {}
+    while at <= end:
+        months.setdefault(f"year={at:%Y}/month={at:%m}", []).append(f"{at:%d}")
+        at += timedelta(days=1)
+    glob = ",".join(f"{month}/day={{{','.join(inside)}}}" for month, inside in months.items())
+    try:
+        return spark.read.schema(LAKE).option("mode", "DROPMALFORMED").option("basePath", path).json(f"{path}/{{{glob}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LAKE)
 
 
 def read_tables(spark: SparkSession, folder: str, fmt: str = "parquet") -> dict[str, DataFrame]:

@@ -1,5 +1,6 @@
 """Operators on small made inputs, against plain Python or the unsplit form of the same operator."""
 
+import datetime
 import math
 import random
 import statistics
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from orderflow.functions import routes, scalars
 from orderflow.operators import geo, graph, latency, loadtest, normalize, ordered, quantiles, relational, rollup, state
 from orderflow.plans import dispatch, history
-from orderflow.sources import stores
+from orderflow.sources import lake, stores
 
 EVENT = (
     "event_type string, order_id long, status string, courier_id long, courier_available boolean, "
@@ -450,3 +451,20 @@ def test_geofence_counts_like_all_pairs(spark):
     want = {i: (len(r), min(r, default=None), not r) for i, lat, lon in places for r in [reached(lat, lon)]}
     assert {r.restaurant_id: (r.couriers, r.courier_id, r.anyone) for r in found.collect()} == want
     assert {r.anyone for r in found.collect()} == {True, False}
+
+
+def test_ranges_of_days(spark, tmp_path):
+    """Ranges inside a day, a month, a year and over years, as predicate and as folders; folders that are missing."""
+    first = datetime.date(2023, 11, 20)
+    every = [first + datetime.timedelta(days=i) for i in range(0, 420, 1)]
+    rows = [(i, f"{d:%Y}", f"{d:%m}", f"{d:%d}", "07") for i, d in enumerate(every) if i % 9]
+    table = spark.createDataFrame(rows, "event_id int, year string, month string, day string, hour string")
+    lake.write_lake(table, str(tmp_path / "lake"))
+    for low, high in (("2024-02-03", "2024-02-03"), ("2024-02-03", "2024-02-20"), ("2024-02-25", "2024-05-02"), ("2023-12-30", "2024-01-02"), ("2023-01-01", "2025-12-31"), ("2030-01-01", "2030-01-05")):
+        want = {i for i, y, m, d, _ in rows if low <= f"{y}-{m}-{d}" <= high}
+        assert {r.event_id for r in table.where(lake.days(low, high)).collect()} == want
+        assert {r.event_id for r in lake.read_days(spark, str(tmp_path / "lake"), low, high).collect()} == want
+    days = lake.read_days(spark, str(tmp_path / "lake"), "2024-02-25", "2024-03-02").inputFiles()
+    assert len(days) <= 7 and all("year=2024/month=0" in f for f in days)
+    plan = lake.read_lake(spark, str(tmp_path / "lake")).where(lake.days("2024-02-25", "2024-05-02"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan
