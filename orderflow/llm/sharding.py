@@ -1,7 +1,7 @@
 """Shards of near-equal bytes by histogram sort.
 
 Rows sort by a 62-bit key: 38 bits of the text's hash, so that copies stand together, 12 bits of the row's hash, so that a
-large group of copies can be cut, then 12 bits of a stored row number, so that a large group of equal rows can be cut too.
+large group of copies can be cut, then 12 bits of a lasting row number, so that a large group of equal rows can be cut too.
 Rounds of one distributed count each narrow the key ranges: the first
 counts exact bytes and rows of 16,384 ranges, every further one divides by 256 those ranges that hold a shard boundary
 and more than the tolerance, or more than one task should sort. The driver sees counts of ranges only. When all
@@ -17,6 +17,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from itertools import accumulate
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orderflow.llm.common import hashable
@@ -28,7 +29,7 @@ RANGE_BYTES = 256 << 20
 
 
 def sort_key(df: DataFrame, text: str) -> Column:
-    """``df``: with ``_number``, stored."""
+    """``df``: with ``_number``."""
     low = ROW_BITS + NUMBER_BITS
     of_text = F.shiftrightunsigned(F.xxhash64(F.col(text)), 64 - KEY_BITS + low)
     of_row = F.shiftrightunsigned(F.xxhash64(*hashable(df.drop("_number")), F.lit(7)), 64 - ROW_BITS)
@@ -36,6 +37,14 @@ def sort_key(df: DataFrame, text: str) -> Column:
     return F.shiftleft(of_text, low).bitwiseOR(F.shiftleft(of_row, NUMBER_BITS)).bitwiseOR(of_number)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """Rows with a number that stays the same however often they are read: their place in their file, else a stored number."""
+    try:
+        return df.withColumn("_number", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+    except AnalysisException:  # not straight from files
+        return materialize(df.withColumn("_number", F.monotonically_increasing_id()), "shard-rows")
+
+
 def ranges(keyed: DataFrame, shards: int, tolerance: float, law: str) -> list[tuple[int, int, int, int]]:
     """(shift, prefix, shard, first slot) of key ranges that each lie in one shard; ``keyed``: key, size."""
     spark = keyed.sparkSession
@@ -88,7 +97,7 @@ def shard_rows(
     """All rows with size, shard (0 to shards - 1) and slot (gapless from 0 in each shard, in key order)."""
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
     df = df.drop("shard", "slot", *(c for c in ["size"] if c != text))
-    df = materialize(df.withColumn("_number", F.monotonically_increasing_id()), "shard-rows")
+    df = numbered(df)
     keyed = df.withColumns({"size": size, "_key": sort_key(df, text), "_row": F.xxhash64(*hashable(df))})
     counted = materialize(keyed.select("_key", "size"), "shard-keys")
     found = ranges(counted, shards, tolerance, law)

@@ -198,10 +198,15 @@ def test_shard_cases(spark, law):
     assert sharding.shard_rows(table.limit(0), 7).count() == 0
 
 
-def test_shards_of_one_repeated_row(spark):
+@pytest.mark.parametrize("stored", [True, False])
+def test_shards_of_one_repeated_row(spark, tmp_path, stored):
     """A third of all rows is one row: it is cut at the shards' boundaries and numbered in several tasks."""
     rows = [(i, f"text {i} " * 6, "s") for i in range(2000)] + [(7, "again " * 10, "s")] * 1000
-    got = sharding.shard_rows(spark.createDataFrame(rows, DOCS), 16).toPandas()
+    table = spark.createDataFrame(rows, DOCS)
+    if stored:
+        table.repartition(3).write.parquet(str(tmp_path / "t"))
+        table = spark.read.parquet(str(tmp_path / "t"))
+    got = sharding.shard_rows(table, 16).toPandas()
     assert len(got) == 3000 and all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
     sizes = got.groupby("shard")["size"].sum()
     assert len(sizes) == 16 and sizes.max() - sizes.min() <= 4 * got["size"].max()
