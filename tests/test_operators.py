@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from orderflow.functions import routes, scalars
 from orderflow.operators import geo, graph, latency, loadtest, normalize, ordered, quantiles, relational, rollup, state
 from orderflow.plans import dispatch, history
+from orderflow.session import cut_lineage
 from orderflow.sources import lake, stores
 
 EVENT = (
@@ -235,6 +236,51 @@ def test_shortest_distances(spark):
     assert {(r.src, r.node): r.dist for r in near} == {(s, n): d for s in got for n, d in got[s].items() if d <= 6}
 
 
+def test_a_long_chain_needs_few_rounds(spark, monkeypatch):
+    """2,000 roads in a row, a ring on the way, a ring that nothing leads to; lengths that no double holds exactly."""
+    edges = [(i, i + 1, 0.1 * (i % 7)) for i in range(2000)]
+    edges += [(1000, 5000, 0.3), (5000, 5001, 0.1), (5001, 1000, 0.2), (7000, 7001, 1.0), (7001, 7002, 1.0), (7002, 7000, 1.0)]
+    frame = graph.collapse_edges(spark.createDataFrame(edges, "u long, v long, length double"))
+    steps = []
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: steps.append(1) or cut_lineage(df))
+    labels = cut_lineage(graph.shortest_distances(frame, spark.createDataFrame([(1, 3), (2, 1500)], "src long, node long")))
+    assert len(steps) < 24
+    got = {(r.src, r.node): r.dist for r in labels.collect()}
+    want = {(s, n): d for s, start in ((1, 3), (2, 1500)) for n, d in _dijkstra(edges, start).items()}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], abs_tol=1e-9) for k in want)
+    targets = spark.createDataFrame([(1, 2000), (2, 5001), (2, 7000)], "src long, node long")
+    path = [(r.src, r.target, r.node) for r in graph.walk_back(labels, targets).orderBy("src", "step").collect()]
+    assert path == [(1, 2000, n) for n in range(2000, 2, -1)] + [(2, 5001, 5001)] + [(2, 5001, n) for n in range(1000, 1501)]
+
+
+def test_slices_of_a_stretch_add_up(spark, monkeypatch):
+    monkeypatch.setattr(graph, "SLICE_ROADS", 3)
+    edges = [(i, i + 1, float(i % 5)) for i in range(40)]
+    frame = graph.collapse_edges(spark.createDataFrame(edges, "u long, v long, length double"))
+    labels = graph.shortest_distances(frame, spark.createDataFrame([(1, 11)], "src long, node long"))
+    assert {r.node: r.dist for r in labels.collect()} == _dijkstra(edges, 11)
+
+
+def test_nearest_source_takes_the_lowest_of_equals(spark):
+    edges = [(1, 2, 2.0), (2, 3, 2.0), (3, 4, 5.0), (8, 9, 1.0)]
+    roads = graph.contract(
+        graph.collapse_edges(spark.createDataFrame(edges, "u long, v long, length double")), spark.range(1, 10).withColumnRenamed("id", "node")
+    )
+    sources = spark.createDataFrame([(7, 3), (5, 1), (6, 1)], "src long, node long")
+    got = {r.node: (r.src, r.dist) for r in graph.nearest_source(roads, sources).collect()}
+    assert got == {1: (5, 0.0), 2: (5, 2.0), 3: (7, 0.0), 4: (7, 5.0)}
+
+
+def test_the_nearest_of_all_may_lie_outside_the_fence(spark):
+    """Place 1: a courier out of reach is nearer by road than the one in reach. Place 2: nobody in reach, roads lead to both."""
+    nodes = spark.createDataFrame([(1, 0.0, 0.0), (2, 5.0, 5.0), (3, 0.1, 0.1), (4, 9.0, 9.0)], "id long, x double, y double")
+    roads = graph.collapse_edges(spark.createDataFrame([(1, 2, 1.0), (1, 3, 8.0), (2, 4, 3.0)], "u long, v long, length double"))
+    couriers = spark.createDataFrame([(10, 5.0, 5.0), (11, 0.1, 0.1)], "courier_id long, lat double, lon double")
+    places = spark.createDataFrame([(1, 0.0, 0.0), (2, 9.0, 9.0)], "restaurant_id long, lat double, lon double")
+    got = {r.restaurant_id: (r.courier_id, r.dist) for r in dispatch.match_couriers(places, couriers, nodes, roads).collect()}
+    assert got == {1: (11, 8.0), 2: (10, 3.0)}
+
+
 def test_parallel_edges_collapse(spark):
     frame = spark.createDataFrame([(1, 2, 5.0), (2, 1, 3.0), (1, 3, None)], "u long, v long, length double")
     assert sorted(map(tuple, graph.collapse_edges(frame).collect())) == [(1, 2, 3.0), (1, 3, 1.0)]
@@ -409,7 +455,7 @@ def test_assignment_is_judged_request_by_request(spark):
 def test_roads_of_no_length_end_and_negative_ones_fail(spark):
     roads = graph.collapse_edges(spark.createDataFrame([(9, 2, 5.0), (2, 3, 0.0), (3, 4, 0.0), (4, 2, 0.0)], "u long, v long, length double"))
     labels = graph.shortest_distances(roads, spark.createDataFrame([(9, 9)], "src long, node long"))
-    path = graph.walk_back(labels, roads, spark.createDataFrame([(9, 4), (9, 7)], "src long, node long"))
+    path = graph.walk_back(labels, spark.createDataFrame([(9, 4), (9, 7)], "src long, node long"))
     assert [(r.step, r.node, r.dist) for r in path.orderBy("step").collect()] == [(0, 4, 5.0), (1, 2, 5.0), (2, 9, 0.0)]
     with pytest.raises(Exception, match="negative length"):
         graph.collapse_edges(spark.createDataFrame([(1, 2, -1.0)], "u long, v long, length double")).collect()
