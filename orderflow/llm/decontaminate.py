@@ -5,7 +5,8 @@ sorted term hashes, the number of positions of each term, and all positions term
 test windows in query blocks of bounded size. In every index block a window starts from its rarest term there: that
 term's positions, less the term's offset in the window, are candidate starts, and they are intersected with the
 offset-adjusted positions of the other terms, rarest first. ``near_hits`` finds spans that hold all terms of a window
-in any order. Documents stand apart by a gap in the positions, so nothing matches across two documents.
+in any order and may have any length. Documents stand apart by a gap in the positions, so no phrase crosses their border;
+spans that do are dropped.
 
 A window is ``length`` consecutive item words; an item of fewer words, but not none, is one window.
 
@@ -28,7 +29,7 @@ from orderflow.llm.words import ALPHANUMERIC, blocks
 from orderflow.session import scratch_path
 
 LENGTH = 10
-GAP = 64  # positions between documents; no window and no near span may be longer
+GAP = 64  # positions between documents
 BLOCK_BYTES = 4 << 20
 #: Item words per query block, 8 bytes each: the largest broadcast.
 QUERY_WORDS = 2_000_000
@@ -171,7 +172,8 @@ class _Postings:
                     ok &= (term < 0) | ((key >> 33 == term) & (here >= start) & (here < start + span))
                     last = np.where(term >= 0, np.maximum(last, here), last)
                     fits |= (term >= 0) & (here == start)
-                keep = ok & fits & (last < start + span)
+                inside = np.searchsorted(self.first, start, "right") == np.searchsorted(self.first, last, "right")
+                keep = ok & fits & inside & (last < start + span)
                 out.append((window[keep], start[keep], last[keep]))
         found = np.unique(np.stack([np.concatenate(x) for x in zip(*out)]), axis=1)
         return tuple(found)
@@ -253,6 +255,6 @@ def near_hits(
     """(id, item, first, last): word ranges of at most ``span`` words that hold all words of a window in any order."""
     out = index.sparkSession.createDataFrame([], f"id {index.schema['ids'].dataType.elementType.simpleString()}, item string, first bigint, last bigint")
     for windows in query_blocks(items, text, item_id, length):
-        rows = _search(index, windows, "near", min(span, GAP)).select("id", F.explode("items").alias("_hit"))
+        rows = _search(index, windows, "near", span).select("id", F.explode("items").alias("_hit"))
         out = out.unionByName(rows.select("id", "_hit.item", "_hit.first", "_hit.last"))
     return out.distinct()

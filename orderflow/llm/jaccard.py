@@ -37,6 +37,7 @@ from orderflow.session import materialize, scratch_path
 
 WORDS, NUM, DEN = 3, 9, 10
 BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 2048
+MAX_ROLES = 1 << 12  # of one block, the bits that the sort key of the index has for them
 BAND_RATIO, SLACK = 1.5, 2
 TABLE_BITS = 22  # of the frequency table: 4 bytes times two to this
 LOCAL_COUNT = 4  # occurrences in one task from which a place of the table is reported
@@ -59,14 +60,22 @@ class Plan:
     """Segments per band, and how many of them get a one-deletion neighbourhood."""
 
     def __init__(self, num: int, den: int, neighbourhoods: dict[int, int] | None = None):
+        if not 0 < num <= den:
+            raise ValueError(f"the similarity {num}/{den} must be above 0 and at most 1")
         self.num, self.den = num, den
         largest = LIMITS[1:] - 1
+        # a set takes part in every band up to that of its largest partner
+        self.bands = int((self.last_band(largest) - np.arange(len(largest))).max()) + 1
         self.allowed = difference(largest, np.minimum(largest * den // num, largest), num, den)
         self.near = np.zeros(len(largest), np.int64)
         for band, k in (neighbourhoods or {}).items():
             self.near[band] = k
         self.segments = SLACK * (self.allowed + 1)
 
+    def last_band(self, n: np.ndarray) -> np.ndarray:
+        """The band of the largest partner of sets of these sizes."""
+        return np.minimum(np.searchsorted(LIMITS, n * self.den // self.num, "right") - 1, len(LIMITS) - 2)
+
     def allocate(self, stats: list) -> Plan:
         """The plan of least cost; stats: (band, sets, elements, signatures, frequent ones, their squared counts)."""
         chosen = {}
@@ -118,13 +127,13 @@ def class_keys(values: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def roles(plan: Plan, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set, band, differences allowed): a set takes part in its own band and, if a partner may be there, in the next."""
+    """(set, band, differences allowed): a set takes part in its own band and in all up to that of its largest partner."""
     sets = np.flatnonzero(n > 0)
     band = np.searchsorted(LIMITS, n[sets], "right") - 1
-    partner = n[sets] * plan.den // plan.num
-    up = partner >= LIMITS[band + 1]
-    row, where = np.concatenate([sets, sets[up]]), np.concatenate([band, band[up] + 1])
-    largest = np.minimum(np.concatenate([partner, partner[up]]), LIMITS[where + 1] - 1)
+    many = plan.last_band(n[sets]) - band + 1
+    row = np.repeat(sets, many)
+    where = np.repeat(band, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    largest = np.minimum(n[row] * plan.den // plan.num, LIMITS[where + 1] - 1)
     return row, where, difference(n[row], largest, plan.num, plan.den)
 
 
@@ -153,8 +162,8 @@ def _place(signature: np.ndarray) -> np.ndarray:
     return (signature >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
-def _read_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple]:
-    for batch in blocks(batches, "_text", BLOCK_BYTES, BLOCK_ROWS):
+def _read_sets(batches: Iterator[pa.RecordBatch], words: int, rows: int = BLOCK_ROWS) -> Iterator[tuple]:
+    for batch in blocks(batches, "_text", BLOCK_BYTES, rows):
         values, n = shingle_sets(batch.column("_text"), words)
         yield batch, values, n, *class_keys(values, n)
 
@@ -222,7 +231,7 @@ def index(texts: DataFrame, plan: Plan, table: np.ndarray, words: int) -> DataFr
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency, seen = sent.value, set()
-        for _, values, n, a, b in _read_sets(batches, words):
+        for _, values, n, a, b in _read_sets(batches, words, min(BLOCK_ROWS, max(1, MAX_ROLES // plan.bands))):
             keep = _distinct(a, b, n, seen)
             some, size = _only(values, n, keep)
             (role, signature, number), (row, band, allowed), near = signatures(plan, some, size)

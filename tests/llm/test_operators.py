@@ -67,8 +67,10 @@ def test_phrases(spark, monkeypatch, query_words):
     assert decontaminate.phrase_hits(decontaminate.build_index(docs.limit(0)), docs.select(F.col("doc_id").alias("item_id"), "text")).count() == 0
 
 
-def test_near(spark):
-    texts, item, span = odd_texts(2), "x1 the zz", 5
+@pytest.mark.parametrize("span", [1, 5, 100])
+def test_near(spark, span):
+    texts, item = odd_texts(2), "x1 the zz"
+    texts += ["x1 " + "a " * 70 + "the zz", "x1 " + "a " * 98 + "the zz", "zz", "x1", "the"]  # longer than the gap between documents
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = decontaminate.near_hits(decontaminate.build_index(docs), spark.createDataFrame([(1, item)], "item_id long, text string"), span=span)
     need, want = set(item.split()), set()
@@ -303,6 +305,28 @@ def test_jaccard(spark, monkeypatch, size, num, den, table_bits):
     assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in rows), key=key) == sorted(helpers.components(docs, size, num, den), key=key)
 
 
+@pytest.mark.parametrize("num, den", [(1, 2), (2, 5), (1, 4), (3, 10)])
+def test_jaccard_low_similarity(spark, num, den):
+    """Sets whose partners are several size bands away link as well."""
+    r = random.Random(den)
+    texts = []
+    for group, n in enumerate([2, 4, 7, 14, 30, 61, 120] * 3):
+        base = [f"g{group}w{i}" for i in range(n)]
+        texts += [" ".join(r.sample(base, max(1, n * part // den))) for part in (num, num, den) for _ in range(2)]
+        texts.append(" ".join(base))
+        texts.append(" ".join(base[: max(1, n // 2)] + [f"x{group}y{i}" for i in range(n // 3)]))
+    docs = list(enumerate(texts))
+    rows = jaccard.join_components(spark.createDataFrame(docs, "doc_id long, text string"), words=1, num=num, den=den).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in rows) == sorted(helpers.components(docs, 1, num, den))
+
+
+def test_jaccard_bands():
+    assert jaccard.Plan(9, 10).bands == jaccard.Plan(4, 5).bands == 2
+    assert jaccard.Plan(1, 1).bands == 1
+    with pytest.raises(ValueError):
+        jaccard.Plan(0, 1)
+
+
 def test_jaccard_neighbourhoods(spark, monkeypatch):
     """The same links whatever number of segments gets a one-deletion neighbourhood."""
     r = random.Random(9)
