@@ -74,6 +74,14 @@ def pipeline_latency_stats(samples: DataFrame, as_of: Column, window_seconds: in
     return _stats(long, ["pipeline", "field"])
 
 
+def snapshot_ages(samples: DataFrame, as_of_ms: Column) -> DataFrame:
+    """Per pipeline: shown snapshots, how many have an age, the newest and the oldest of them at ``as_of_ms``."""
+    age = snapshot_age_ms(F.col("last_event_produced_at_ms"), as_of_ms)
+    return samples.groupBy("pipeline").agg(
+        F.count(F.lit(1)).alias("samples"), F.count(age).alias("aged"), F.min(age).alias("newest_ms"), F.max(age).alias("oldest_ms")
+    )
+
+
 def latency_percentiles(df: DataFrame, group: str, value: str) -> DataFrame:
     """Samples, average, p50, p95 and maximum per group."""
     base = df.groupBy(group).agg(

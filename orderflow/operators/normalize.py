@@ -251,3 +251,9 @@ def encode(changes: DataFrame) -> DataFrame:
 def is_valid_status(status: Column) -> Column:
     """Statuses of the delivery flow; PENDING, REJECTED and CANCELLED are outside it."""
     return X.normalize_status(status).isin(*NEXT_STATUS, *NEXT_STATUS.values())
+
+
+def status_validity(events: DataFrame) -> DataFrame:
+    """How often each status occurs, and whether it is one of the delivery flow."""
+    counted = events.where(F.col("status").isNotNull()).groupBy("status").agg(F.count(F.lit(1)).alias("total"))
+    return counted.select("status", "total", is_valid_status(F.col("status")).alias("valid"))

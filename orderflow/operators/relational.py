@@ -5,14 +5,19 @@ Joins carry no broadcast hints: the small sides are broadcast by Spark when thei
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderflow.functions import scalars as X
 from orderflow.session import materialize
 from orderflow.schemas import USER_TYPES
 
+#: Requests that one task judges one after another, three numbers each.
+REPLAYED = 1_000_000
+
 
 def courier_directory(couriers: DataFrame, users: DataFrame) -> DataFrame:
     """Couriers with their user's name and place, by id; couriers without a user vanish."""
@@ -179,22 +184,50 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _greedy(edges: DataFrame) -> DataFrame:
+def _replay(requests: DataFrame) -> DataFrame:
+    """The accepted ones of a bounded number of requests, judged one after another in one task."""
+
+    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        orders, couriers = set(), set()
+        for batch in batches:
+            keep = []
+            for order, courier in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                keep.append(order not in orders and courier not in couriers)
+                if keep[-1]:
+                    orders.add(order)
+                    couriers.add(courier)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return requests.coalesce(1).sortWithinPartitions("seq").mapInArrow(replay, requests.schema)
+
+
+def _greedy(edges: DataFrame, prefix: int = REPLAYED) -> DataFrame:
     """Of (order_id, courier_id, seq), those accepted one after another by seq while order and courier are both free.
 
     A request that is the earliest left for its order and for its courier is accepted whatever the others do, so each
-    round accepts all of these and drops the requests that share an order or a courier with one.
+    round accepts all of these and drops the requests that share an order or a courier with one. Nothing before the first
+    ``prefix`` requests that are left can decide on them, so the round then replays these in one task: long chains
+    of decisions end in as many rounds as they have prefixes.
     """
-    left = materialize(edges, "requests-open")
+
+    def without(left: DataFrame, taken: DataFrame) -> DataFrame:
+        return left.join(taken.select("order_id"), "order_id", "left_anti").join(taken.select("courier_id"), "courier_id", "left_anti")
+
+    columns = ["order_id", "courier_id", "seq"]
+    left = materialize(edges.select(*columns), "requests-open")
     accepted = left.limit(0)
     while not left.isEmpty():
         by_order = left.groupBy("order_id").agg(F.min("seq").alias("_o"))
         by_courier = left.groupBy("courier_id").agg(F.min("seq").alias("_c"))
         first = left.join(by_order, "order_id").join(by_courier, "courier_id").where("seq = _o and seq = _c")
-        taken = materialize(first.select("order_id", "courier_id", "seq"), "requests-taken")
-        accepted = accepted.unionByName(taken)
-        left = left.join(taken.select("order_id"), "order_id", "left_anti").join(taken.select("courier_id"), "courier_id", "left_anti")
-        left = materialize(left, "requests-open")
+        taken = materialize(first.select(*columns), "requests-taken")
+        left = materialize(without(left, taken).select(*columns), "requests-open")
+        replayed = materialize(_replay(left.orderBy("seq").limit(prefix)), "requests-replayed")
+        accepted = accepted.unionByName(taken).unionByName(replayed)
+        last = left.orderBy("seq").limit(prefix).agg(F.max("seq")).first()[0]
+        if last is None:
+            break
+        left = materialize(without(left.where(F.col("seq") > F.lit(last)), replayed).select(*columns), "requests-open")
     return accepted
 
 

@@ -54,12 +54,11 @@ def window_by_status(events: DataFrame, window_seconds: int = 60, tick_seconds:
 def sliding_rate(events: DataFrame, window_seconds: int = 60) -> DataFrame:
     """At every arrival time: events, created orders and mean latency of the trailing window, bounds included.
 
-    Events are first summed per microsecond, and each time also serves the following window-sized slice as
-    context, so the ordered window runs per slice and never over the whole stream.
+    Events are first summed per microsecond. A window is the running sums up to its end less those before its start, so
+    each time is placed twice, and the sums run in slices of a minute whatever the window's width.
     """
     created = (F.col("event_type") == "ORDER_CREATED") & F.col("order_id").isNotNull()
     at = F.unix_micros("arrival_ts").alias("at_us")
-    width = window_seconds * 1_000_000
     stamps = (
         with_latency(events)
         .groupBy(at)
@@ -69,22 +68,15 @@ def sliding_rate(events: DataFrame, window_seconds: int = 60) -> DataFrame:
             F.sum(F.col("latency_ms").cast("decimal(18,3)")).alias("s"),
         )
     )
-    own = F.floor(F.col("at_us") / F.lit(width))
-    placed = stamps.select("*", own.alias("own"), F.explode(F.array(own, own + 1)).alias("slice"))
-    frame = Window.partitionBy("slice").orderBy("at_us").rangeBetween(-width, 0)
-    n, c, s = (F.sum(x).over(frame) for x in ("n", "c", "s"))
-    return (
-        placed.select(
-            "at_us",
-            "own",
-            "slice",
-            n.alias("events"),
-            c.alias("created"),
-            (s.cast("double") / n).alias("latency_avg_ms"),
-        )
-        .where(F.col("own") == F.col("slice"))
-        .drop("own", "slice")
-    )
+    sums = ("n", "c", "s")
+    # at equal places the start comes first: it is before what happens there
+    start = F.struct((F.col("at_us") - window_seconds * 1_000_000).alias("place"), F.lit(0).alias("end"), *[(F.col(x) * 0).cast(stamps.schema[x].dataType).alias(x) for x in sums])
+    end = F.struct(F.col("at_us").alias("place"), F.lit(1).alias("end"), *sums)
+    places = stamps.select("at_us", F.explode(F.array(start, end)).alias("_p")).select("at_us", "_p.*")
+    marked = ordered.mark(places, F.floor(F.col("place") / F.lit(60_000_000)))
+    running = ordered.carry(marked, [], ["place", "end"], running_sum={f"_{x}": F.col(x) for x in sums})
+    n, c, s = (F.sum(F.when(F.col("end") == 1, F.col(f"_{x}")).otherwise(-F.col(f"_{x}"))) for x in sums)
+    return running.groupBy("at_us").agg(n.alias("events"), c.alias("created"), (s.cast("double") / n).alias("latency_avg_ms"))
 
 
 def _bucket(ts: str, seconds: int) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from orderflow.functions import scalars as X
 from orderflow.operators import ordered
-from orderflow.schemas import CANCELLED, DELIVERED, DELIVERING_STATUSES, NEXT_STATUS, PENDING, PREPARING, READY
+from orderflow.schemas import CANCELLED, DELIVERED, DELIVERING_STATUSES, EVENT_FORMATS, NEXT_STATUS, PENDING, PREPARING, READY
 
 STATUS_EVENTS = ["STATUS_CHANGE", "ORDER_EVENT"]
 BUCKETS = ["preparing", "waiting_courier", "delivering", "delivered", "cancelled"]
@@ -114,7 +114,11 @@ def courier_counts(events: DataFrame) -> DataFrame:
 
 
 def realtime_snapshot(events: DataFrame, as_of: Column | None = None, window_seconds: int = 60) -> DataFrame:
-    """All live numbers as of the last arrival (or ``as_of``) in one row."""
+    """All live numbers as of the last arrival (or ``as_of``) in one row.
+
+    ``event_formats`` counts the detected formats; names of unknown ones come from the payloads and have no bound, so they are
+    one entry here and one row each in ``normalize.format_counts``. Events without a format column give an empty map.
+    """
     now = as_of if as_of is not None else events.agg(F.max("arrival_ts").alias("now")).scalar()
     state, status = F.col("bucket"), F.col("status")
     zero = F.lit(0).cast("long")
@@ -132,7 +136,11 @@ def realtime_snapshot(events: DataFrame, as_of: Column | None = None, window_sec
     latency = X.latency_ms(F.col("event_ts"), F.col("arrival_ts"))
     known_ts = F.coalesce("event_ts", "arrival_ts")
     created = (F.col("event_type") == "ORDER_CREATED") & F.col("order_id").isNotNull()
+    formats = {f: F.col("format_name") == f for f in EVENT_FORMATS} | {"unknown": F.col("format_name").startswith("unknown")}
+    if "format_name" not in events.columns:
+        formats = dict.fromkeys(formats, F.lit(False))
     event_part = events.agg(
+        *[F.count_if(rows).alias(f"_{f}") for f, rows in formats.items()],
         F.count_if(recent & created).alias("orders_created_per_minute"),
         F.count_if(recent).alias("orders_processed_per_minute"),
         F.round(X.exact_avg(F.when(recent, latency)), 2).alias("latency_avg_1m_ms"),
@@ -153,7 +161,9 @@ def realtime_snapshot(events: DataFrame, as_of: Column | None = None, window_sec
     )
     # without recent events there is no average to show
     shown = F.when(F.col("orders_processed_per_minute") > 0, F.col("latency_avg_1m_ms"))
-    return row.withColumn("latency_avg_1m_ms", shown)
+    pairs = [x for f in formats for x in (F.lit(f), F.col(f"_{f}"))]
+    seen = F.map_filter(F.create_map(*pairs), lambda _, n: n > 0)
+    return row.withColumns({"latency_avg_1m_ms": shown, "event_formats": seen}).drop(*[f"_{f}" for f in formats])
 
 
 def status_funnel(snapshot: DataFrame) -> DataFrame:

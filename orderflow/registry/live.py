@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderflow.operators import rollup as R, state as S
+from orderflow.operators import normalize as N, rollup as R, state as S
 from orderflow.registry import views as V
 from orderflow.registry.history import normalized
 from orderflow.session import materialize
@@ -24,12 +24,13 @@ def _ring(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "realtime_snapshot": lambda s, d: S.realtime_snapshot(stored(s, d)),
+    "realtime_snapshot": lambda s, d: S.realtime_snapshot(stored(s, d)).withColumn("event_formats", F.to_json("event_formats")),
     "status_funnel": lambda s, d: S.status_funnel(S.realtime_snapshot(stored(s, d))),
     "courier_state": lambda s, d: S.courier_state(stored(s, d)),
     "courier_availability_counts": lambda s, d: S.courier_counts(stored(s, d)),
     "orders_waiting_courier": lambda s, d: S.orders_waiting_courier(normalized(s, d)),
     "transition_audit": lambda s, d: S.transition_audit(S.status_steps(stored(s, d))),
+    "status_validity": lambda s, d: N.status_validity(normalized(s, d)),
     "dedupe_unchanged_status": lambda s, d: S.without_repeats(S.status_steps(stored(s, d))).drop("arrival_ts"),
     "next_status": lambda s, d: S.next_status(S.latest_orders(normalized(s, d))),
     "window_summary_60s": lambda s, d: R.window_summary(normalized(s, d)),
@@ -82,6 +83,9 @@ _SNAP = f"""snap AS (SELECT
   (SELECT count(*) FROM cs WHERE available) AS couriers_available, (SELECT count(*) FROM cs WHERE NOT available) AS active_couriers,
   (SELECT count(*) FROM cs) AS tracked_couriers,
   (SELECT count(*) FROM nm WHERE event_type = 'UNKNOWN') AS unknown_events,
+  (SELECT '{{' || string_agg('"' || f || '":' || n, ',' ORDER BY list_position(['flat_order_event_v2', 'flat_order_event', 'status_update',
+       'nested_order', 'courier_availability', 'courier_location', 'unknown'], f)) || '}}'
+     FROM (SELECT split_part(format_name, ':', 1) AS f, count(*) AS n FROM nm GROUP BY ALL)) AS event_formats,
   (SELECT count(*) FROM nm WHERE arrival_ts >= (SELECT max(arrival_ts) FROM nm) - INTERVAL 60 SECONDS) AS orders_processed_per_minute,
   (SELECT count(*) FROM nm WHERE event_type = 'ORDER_CREATED' AND order_id IS NOT NULL
      AND arrival_ts >= (SELECT max(arrival_ts) FROM nm) - INTERVAL 60 SECONDS) AS orders_created_per_minute,
@@ -138,6 +142,9 @@ ORACLE = {
     "transition_audit": V.with_(*_BASE, _CH, _STEPS)
     + f"""SELECT old_status, new_status, count(*) AS total, coalesce({_FLOW.format(s='old_status')} = new_status, false) AS allowed
         FROM steps WHERE old_status <> new_status GROUP BY ALL""",
+    "status_validity": V.with_(*_BASE)
+    + """SELECT status, count(*) AS total, status IN ('CONFIRMED', 'PREPARING', 'READY_FOR_PICKUP', 'PICKED_UP', 'IN_TRANSIT', 'DELIVERED') AS valid
+        FROM nm WHERE status IS NOT NULL GROUP BY status""",
     "dedupe_unchanged_status": V.with_(*_BASE, _CH, _STEPS)
     + "SELECT order_id, seq, old_status, new_status FROM steps WHERE old_status IS DISTINCT FROM new_status",
     "next_status": V.with_(*_STATE) + f"SELECT order_id, status, {_FLOW.format(s='status')} AS next_status FROM lo",

@@ -33,6 +33,14 @@ def pipeline_latency_stats(spark: SparkSession, folder: str) -> DataFrame:
     return T.pipeline_latency_stats(shown, shown.agg(F.max("recorded_at")).scalar(), DAY)
 
 
+def snapshot_ages(spark: SparkSession, folder: str) -> DataFrame:
+    """A minute before the newest sample; every thirteenth order's snapshot has lost its produce time."""
+    shown, made = samples(spark, folder), "last_event_produced_at_ms"
+    as_of = shown.agg(F.max(made)).scalar() - 60_000
+    lost = F.when(F.col("total_orders_processed") % 13 == 0, F.lit(0).cast("long"))
+    return T.snapshot_ages(shown.withColumn(made, F.coalesce(lost, F.col(made))), as_of)
+
+
 def log(spark: SparkSession, folder: str) -> DataFrame:
     return fixtures.request_log(fixtures.events(spark, folder))
 
@@ -53,6 +61,7 @@ QUERIES = {
     "latency_samples": latency_samples,
     "latency_stats": lambda s, d: T.window_latency_stats(samples(s, d), WINDOW),
     "pipeline_latency_stats": pipeline_latency_stats,
+    "snapshot_ages": snapshot_ages,
     "latency_percentiles": lambda s, d: T.latency_percentiles(log(s, d), "endpoint", "latency_ms"),
     "recent_samples": lambda s, d: T.recent_samples(samples(s, d)).select("recorded_at", "pipeline", LATENCY_FIELDS[0]),
     "endpoint_metrics": lambda s, d: P.endpoint_metrics(log(s, d)).withColumn("avg_latency", F.round("avg_latency", 6)),
@@ -125,6 +134,10 @@ ORACLE = {
         SELECT pipeline, field, count(*) AS samples, {V.rnd(V.avg('value'), 2)} AS avg,
           {V.rnd('arg_max(value, (recorded_at, processed, total)) FILTER (value IS NOT NULL)', 2)} AS last
         FROM f GROUP BY ALL) LEFT JOIN pc USING (pipeline, field)""",
+    "snapshot_ages": V.with_(V.EV, _SAMPLES)
+    + """, ages AS (SELECT pipeline, CASE WHEN total_orders_processed % 13 <> 0 AND last_event_produced_at_ms > 0 THEN
+          greatest((SELECT max(last_event_produced_at_ms) FROM samples) - 60000 - last_event_produced_at_ms, 0) END AS age FROM samples)
+        SELECT pipeline, count(*) AS samples, count(age) AS aged, min(age) AS newest_ms, max(age) AS oldest_ms FROM ages GROUP BY pipeline""",
     "latency_percentiles": V.with_(*_REQ, _linear("req", "endpoint", "latency_ms"))
     + f"""SELECT endpoint, samples, avg, max, p50, p95 FROM (
         SELECT endpoint, count(*) AS samples, {V.rnd(V.avg('latency_ms'), 2)} AS avg, max(latency_ms) AS max FROM req GROUP BY endpoint)

@@ -23,6 +23,14 @@ V2_TYPES = {
 TRUE_WORDS = ["true", "1", "yes"]
 FALSE_WORDS = ["false", "0", "no"]
 GEOFENCE_LIMIT_DEG2 = 0.05
+EVENT_FORMATS = [
+    "flat_order_event_v2",
+    "flat_order_event",
+    "status_update",
+    "nested_order",
+    "courier_availability",
+    "courier_location",
+]
 # --- end of fixed values ---
 
 #: Allowed follow-up of each status: the flow is a chain.

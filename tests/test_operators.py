@@ -1,5 +1,6 @@
 """Operators on small made inputs, against plain Python or the unsplit form of the same operator."""
 
+import collections
 import datetime
 import math
 import random
@@ -7,12 +8,12 @@ import statistics
 
 import pytest
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from orderflow.functions import routes, scalars
 from orderflow.operators import geo, graph, latency, loadtest, normalize, ordered, quantiles, relational, rollup, state
 from orderflow.plans import dispatch, history
-from orderflow.session import cut_lineage
+from orderflow.session import cut_lineage, materialize
 from orderflow.sources import lake, stores
 
 EVENT = (
@@ -163,7 +164,9 @@ def test_window_summary_counts_both_bounds(spark):
     assert got == {60: 1, 120: 3, 180: 1}
 
 
-def test_percentiles(spark):
+@pytest.mark.parametrize("crowd", [quantiles.SLICE_VALUES, 3])
+def test_percentiles(spark, monkeypatch, crowd):
+    monkeypatch.setattr(quantiles, "SLICE_VALUES", crowd)
     r = random.Random(3)
     data = {None: [4.0, 8.0], "a": [round(r.expovariate(0.01), 2) for _ in range(257)], "b": [5.0], "c": [1.0, 1.0, 2.0]}
     df = spark.createDataFrame([(g, v) for g, vs in data.items() for v in vs], "g string, v double")
@@ -181,6 +184,31 @@ def test_percentiles(spark):
         assert math.isclose(row.x95, exclusive)
 
 
+def test_values_with_the_same_digits_are_many_slices(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "SLICE_VALUES", 10)
+    values = [1_700_000_000 + i * 0.25 for i in range(4000)] + [-3.0 - i / 1e6 for i in range(500)] + [i * 1e-12 for i in range(300)] + [7.0]
+    df = spark.createDataFrame([("g", v) for v in values] + [(None, v) for v in values[:2000]], "g string, v double")
+    rows = quantiles.sliced(df, ["g"], "v").collect()
+    assert len(rows) == len(values) + 2000
+    for group in ("g", None):
+        mine = sorted((x for x in rows if x.g == group), key=lambda x: x.v)
+        assert [x[ordered.SLICE] for x in mine] == sorted(x[ordered.SLICE] for x in mine)
+        sizes = collections.Counter(x[ordered.SLICE] for x in mine)
+        assert max(sizes.values()) <= 12 and len(sizes) >= len(mine) / 12
+
+
+def test_sliding_rate_equals_a_scan(spark):
+    r = random.Random(12)
+    times = [r.choice([r.randint(0, 4000), r.randint(900, 960), 3600 * r.randint(0, 2)]) for _ in range(300)]
+    events = _events(spark, [(r.choice(["ORDER_CREATED", "UNKNOWN"]), i if i % 3 else None, None, None, None, t) for i, t in enumerate(times)])
+    rows = [(x.arrival_ts.timestamp(), x.event_type == "ORDER_CREATED" and x.order_id is not None) for x in events.collect()]
+    zero = min(t for t, _ in rows)
+    for width in (1, 60, 61, 3600):
+        got = {x.at_us / 1e6: (x.events, x.created) for x in rollup.sliding_rate(events, width).collect()}
+        first = min(got) - zero
+        assert got == {t + first: (sum(t - width <= u <= t for u, _ in rows), sum(t - width <= u <= t and c for u, c in rows)) for t, _ in rows}
+
+
 def test_nearest_equals_brute_force(spark):
     r = random.Random(7)
     crowd = [(i, 5 + r.random() * 1e-5, 5 + r.random() * 1e-5) for i in range(400)]
@@ -452,6 +480,31 @@ def test_assignment_is_judged_request_by_request(spark):
     assert want[:3] == ["assigned", "order_taken_earlier", "assigned"]
 
 
+@pytest.mark.parametrize("prefix", [1, 7, 10_000])
+def test_greedy_replays_prefixes(spark, prefix):
+    r = random.Random(prefix)
+    requests = list({(r.randint(0, 25), r.randint(0, 25)) for _ in range(120)})
+    r.shuffle(requests)
+    requests = [(o, c, 3 * i) for i, (o, c) in enumerate(requests)]
+    got = relational._greedy(spark.createDataFrame(requests, "order_id long, courier_id long, seq long"), prefix)
+    orders, couriers, want = set(), set(), set()
+    for o, c, i in requests:
+        if o not in orders and c not in couriers:
+            orders.add(o)
+            couriers.add(c)
+            want.add((o, c, i))
+    assert sorted(tuple(x) for x in got.collect()) == sorted(want)
+
+
+def test_a_long_chain_of_requests_ends_in_one_round(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(relational, "materialize", lambda df, name: seen.append(name) or materialize(df, name))
+    chain = [((i + 1) // 2, i // 2, i) for i in range(10_000)]
+    got = relational._greedy(spark.createDataFrame(chain, "order_id long, courier_id long, seq long"))
+    assert sorted(x.seq for x in got.collect()) == list(range(0, 10_000, 2))
+    assert seen.count("requests-taken") == 1
+
+
 def test_roads_of_no_length_end_and_negative_ones_fail(spark):
     roads = graph.collapse_edges(spark.createDataFrame([(9, 2, 5.0), (2, 3, 0.0), (3, 4, 0.0), (4, 2, 0.0)], "u long, v long, length double"))
     labels = graph.shortest_distances(roads, spark.createDataFrame([(9, 9)], "src long, node long"))
@@ -514,3 +567,37 @@ def test_ranges_of_days(spark, tmp_path):
     assert len(days) <= 7 and all("year=2024/month=0" in f for f in days)
     plan = lake.read_lake(spark, str(tmp_path / "lake")).where(lake.days("2024-02-25", "2024-05-02"))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: []" not in plan
+
+
+def test_detail_of_one_order(spark, tmp_path):
+    """The document of one order is that order's part of all documents, and the filter reaches every scan."""
+    stamp = "timestamp '2024-01-01 00:00:00'"
+    made = {
+        "orders": spark.range(50).selectExpr("id as order_id", "id % 7 as client_id", "1L as restaurant_id", "2L as courier_id", "'PREPARING' as order_status", f"{stamp} as created_at"),
+        "items": spark.range(90).selectExpr("id % 45 as order_id", "id as line", "concat('part ', id) as item_name", "3L as quantity"),
+        "events": spark.range(120).selectExpr("id % 60 as order_id", "id as event_id", "'STATUS_CHANGE' as event_type", "'a' as from_status", "'b' as to_status",
+            "'b' as event_status", "'m' as event_message", "1.0D as latitude", "1.0D as longitude", "'2024-01-01' as created_at"),
+    }
+    for name, df in made.items():
+        df.write.parquet(str(tmp_path / name))
+    tables = [spark.read.parquet(str(tmp_path / name)) for name in made]
+    every = relational.order_detail(*tables)
+    for order in (7, 47, 55, 99):
+        one = relational.order_detail(*tables, order_id=order)
+        assert _bag(one) == _bag(every.where(F.col("order_id") == order))
+    plan = relational.order_detail(*tables, order_id=7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EqualTo(order_id,7)") >= 3
+
+
+def test_snapshot_counts_formats(spark):
+    rows = [("flat_order_event",), ("flat_order_event",), ("unknown:a,b",), ("unknown:raw_text",), ("nested_order",)]
+    events, formats = _events(spark, [("UNKNOWN", None, None, None, None, t) for t in range(5)]), spark.createDataFrame(rows, "format_name string")
+    named = events.join(formats.select("format_name", (F.row_number().over(Window.orderBy("format_name")) - 1).alias("seq")), "seq")
+    assert state.realtime_snapshot(named).first().event_formats == {"flat_order_event": 2, "nested_order": 1, "unknown": 2}
+    assert state.realtime_snapshot(events).first().event_formats == {}
+
+
+def test_snapshot_ages(spark):
+    shown = spark.createDataFrame([("a", 5_000), ("a", 9_000), ("a", 0), ("b", None), ("b", -4)], "pipeline string, last_event_produced_at_ms long")
+    got = {r.pipeline: tuple(r)[1:] for r in latency.snapshot_ages(shown, F.lit(8_000)).collect()}
+    assert got == {"a": (3, 2, 0, 3_000), "b": (2, 0, None, None)}
