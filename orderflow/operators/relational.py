@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from orderflow.functions import scalars as X
 from orderflow.session import materialize
@@ -185,7 +185,7 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _replay(requests: DataFrame) -> DataFrame:
-    """The accepted ones of a bounded number of requests, judged one after another in one task."""
+    """A bounded number of requests, judged one after another in one task, with ``taken``."""
 
     def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         orders, couriers = set(), set()
@@ -196,9 +196,10 @@ def _replay(requests: DataFrame) -> DataFrame:
                 if keep[-1]:
                     orders.add(order)
                     couriers.add(courier)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keep, pa.bool_())], [*batch.schema.names, "taken"])
 
-    return requests.coalesce(1).sortWithinPartitions("seq").mapInArrow(replay, requests.schema)
+    judged = T.StructType([*requests.schema.fields, T.StructField("taken", T.BooleanType())])
+    return requests.coalesce(1).sortWithinPartitions("seq").mapInArrow(replay, judged)
 
 
 def _greedy(edges: DataFrame, prefix: int = REPLAYED) -> DataFrame:
@@ -223,10 +224,11 @@ def _greedy(edges: DataFrame, prefix: int = REPLAYED) -> DataFrame:
         taken = materialize(first.select(*columns), "requests-taken")
         left = materialize(without(left, taken).select(*columns), "requests-open")
         replayed = materialize(_replay(left.orderBy("seq").limit(prefix)), "requests-replayed")
+        judged, last = replayed.agg(F.count(F.lit(1)), F.max("seq")).first()
+        replayed = replayed.where("taken").drop("taken")
         accepted = accepted.unionByName(taken).unionByName(replayed)
-        last = left.orderBy("seq").limit(prefix).agg(F.max("seq")).first()[0]
-        if last is None:
-            break
+        if judged < prefix:
+            return accepted
         left = materialize(without(left.where(F.col("seq") > F.lit(last)), replayed).select(*columns), "requests-open")
     return accepted
 

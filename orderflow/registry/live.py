@@ -23,12 +23,18 @@ def _ring(spark: SparkSession, folder: str) -> DataFrame:
     return R.ring(R.bucket_changes(events, BUCKET), R.newest_bucket(events, BUCKET), BUCKET)
 
 
+def orders_waiting_courier(spark: SparkSession, folder: str) -> DataFrame:
+    """An order is what a user did on one day, so that many orders are still waiting."""
+    events = normalized(spark, folder)
+    return S.orders_waiting_courier(events.withColumn("order_id", F.col("order_id") * 1000 + F.dayofyear("arrival_ts")))
+
+
 QUERIES = {
     "realtime_snapshot": lambda s, d: S.realtime_snapshot(stored(s, d)).withColumn("event_formats", F.to_json("event_formats")),
     "status_funnel": lambda s, d: S.status_funnel(S.realtime_snapshot(stored(s, d))),
     "courier_state": lambda s, d: S.courier_state(stored(s, d)),
     "courier_availability_counts": lambda s, d: S.courier_counts(stored(s, d)),
-    "orders_waiting_courier": lambda s, d: S.orders_waiting_courier(normalized(s, d)),
+    "orders_waiting_courier": orders_waiting_courier,
     "transition_audit": lambda s, d: S.transition_audit(S.status_steps(stored(s, d))),
     "status_validity": lambda s, d: N.status_validity(normalized(s, d)),
     "dedupe_unchanged_status": lambda s, d: S.without_repeats(S.status_steps(stored(s, d))).drop("arrival_ts"),
@@ -136,7 +142,9 @@ ORACLE = {
     "courier_availability_counts": V.with_(*_STATE)
     + """SELECT count(*) FILTER (available) AS couriers_available, count(*) FILTER (NOT available) AS active_couriers,
         count(*) AS tracked_couriers FROM cs""",
-    "orders_waiting_courier": V.with_(*_STATE)
+    "orders_waiting_courier": V.with_(
+        *_BASE, "nd AS (SELECT * REPLACE (order_id * 1000 + dayofyear(arrival_ts) AS order_id) FROM nm)", _CH.replace("FROM nm", "FROM nd"), _LO
+    )
     + """SELECT order_id FROM lo WHERE status = 'READY_FOR_PICKUP' AND NOT EXISTS (
         SELECT 1 FROM ch WHERE ch.order_id = lo.order_id AND assigned)""",
     "transition_audit": V.with_(*_BASE, _CH, _STEPS)

@@ -17,6 +17,9 @@ SETTINGS = {
     # of a repeated key in a JSON document the last value counts
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # the generated code of the event classification is large; let the JVM compile it
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
