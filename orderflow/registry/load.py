@@ -34,7 +34,7 @@ def pipeline_latency_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def snapshot_ages(spark: SparkSession, folder: str) -> DataFrame:
-    """A minute before the newest sample; every thirteenth order's snapshot has lost its produce time."""
+    """As of a minute before the newest produce time; every thirteenth order's snapshot has lost its produce time."""
     shown, made = samples(spark, folder), "last_event_produced_at_ms"
     as_of = shown.agg(F.max(made)).scalar() - 60_000
     lost = F.when(F.col("total_orders_processed") % 13 == 0, F.lit(0).cast("long"))
