@@ -96,8 +96,9 @@ def op3_nnpu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_warc_index(spark: SparkSession, folder: str) -> DataFrame:
-    archives = warc.write_archives(table(spark, folder, "pages").select("page_id", "url", "html"))
-    found = warc.read_all(archives, warc.build_index(archives))
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    archives = warc.write_archives(pages)
+    found = warc.read_records(warc.lookup(archives, warc.build_index(archives), pages))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

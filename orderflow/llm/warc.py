@@ -1,10 +1,12 @@
 """WARC archives with a two-level capture index.
 
-``write_archives`` makes one gzip member per page, a ``response`` or, for a repeated payload, a ``revisit``, and puts
-them with archive, offset and length into a stored table, one archive per task; ``export_files`` writes the same bytes
-as ``.warc.gz`` files. ``build_index`` sorts the captures by reversed-host URL key into compressed blocks of lines and
-keeps, as a sparse directory, the first key of each block. ``lookup`` binary-searches the directory for a URL's
-blocks, binary-searches their lines, and reads the byte ranges they name. ``read_all`` follows every index line.
+``write_archives`` makes one gzip member per page, a ``response`` or, for a repeated payload, a ``revisit``, and strings
+them together to archives of about ARCHIVE_BYTES, each stored as one row of bytes with the list of its captures (offset
+and length); ``export_files`` writes the same bytes as ``.warc.gz`` files. ``build_index`` sorts the captures by
+reversed-host URL key into compressed blocks of lines and keeps, as a sparse directory, a key that parts each block from
+the one before. ``lookup`` binary-searches the directory for the blocks of the URLs, binary-searches their lines, and
+cuts the byte ranges they name out of the archives. ``read_all`` cuts out those of every index line; ``read_records``
+says what records hold.
 
 Of records with equal payloads of at least MIN_REVISIT bytes the one with the smallest page id is the response.
 
@@ -20,6 +22,7 @@ import re
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from os.path import commonprefix
 from urllib.parse import quote, unquote
 from uuid import NAMESPACE_URL, uuid5
 
@@ -34,12 +37,17 @@ MIN_REVISIT = 100
 BLOCK_LINES = 3000
 #: The directory holds at most this many blocks and one more per partition: beyond, blocks have more lines.
 MAX_BLOCKS = 1 << 20
-KEY_LENGTH = 64  # characters of a first key in the directory
+KEY_LENGTH = 256  # characters of a key in the directory
 READ_BYTES = 4 << 20
+ARCHIVE_BYTES = 1 << 20
 #: An empty gzip member, which a reader of concatenated members passes over.
 EMPTY_MEMBER = "\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"
+EMPTY = EMPTY_MEMBER.encode("latin-1")
 
-ARCHIVE = "page_id bigint, url_key string, offset bigint, length bigint, record binary, archive string"
+ARCHIVE = "archive string, data binary, captures array<struct<page_id:bigint,url_key:string,offset:bigint,length:bigint>>"
+RANGE = "url_key string, archive string, offset bigint, length bigint"
+#: Few archives to a row group, so that a reader holds few of them.
+FEW_ROWS = {"compression": "uncompressed", "parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 1}
 
 
 def url_key(url: str | None) -> str:
@@ -97,48 +105,61 @@ def write_archives(
     rows = rows.select("_page", "_url", "_html", "_digest", "_first", revisit.alias("_revisit"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        archive, offset = f"{TaskContext.get().partitionId():05d}", 0
+        part, number, members, captures, offset = TaskContext.get().partitionId(), 0, [], [], 0
+        capture = pa.struct([("page_id", pa.int64()), ("url_key", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+
+        def archive() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({
+                "archive": [f"{part:05d}-{number:06d}"], "data": pa.array([EMPTY.join(members)], pa.binary()),
+                "captures": pa.array([captures], pa.list_(capture)),
+            })
+
         for batch in blocks(batches, "_html", READ_BYTES):
-            out = {k: [] for k in ("page_id", "url_key", "offset", "length", "record")}
             for page, link, text, digest, first, again in zip(*(c.to_pylist() for c in batch.columns)):
                 data = _gzip(record(page, link, text.encode(), digest, first, again, date))
-                for k, v in zip(out, (page, url_key(link), offset, len(data), data)):
-                    out[k].append(v)
-                offset += len(data) + len(EMPTY_MEMBER)
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary())
-            columns = [pa.array(v, k) for v, k in zip(out.values(), kinds)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([archive] * len(columns[0]))], [*out, "archive"])
+                members.append(data)
+                captures.append({"page_id": page, "url_key": url_key(link), "offset": offset, "length": len(data)})
+                offset += len(data) + len(EMPTY)
+                if offset >= ARCHIVE_BYTES:
+                    yield archive()
+                    number, members, captures, offset = number + 1, [], [], 0
+        if members:
+            yield archive()
 
     path = scratch_path(spark, "archives")
-    records = rows.mapInArrow(write, ARCHIVE)
-    records.write.option("compression", "uncompressed").partitionBy("archive").parquet(path)
+    rows.mapInArrow(write, ARCHIVE).write.options(**FEW_ROWS).parquet(path)
     return spark.read.schema(ARCHIVE).parquet(path)
 
 
 def export_files(archives: DataFrame, path: str) -> None:
-    """The archives as ``.warc.gz`` files: all members in order, each followed by an empty member."""
-    parts = archives.select("archive").distinct().count()
-    rows = archives.repartitionByRange(max(1, parts), "archive").sortWithinPartitions("archive", "offset")
-    rows = rows.select(F.col("record").cast("string").alias("value"))
+    """The archives as ``.warc.gz`` files, about one per task that wrote them: all members in order, an empty one after each."""
+    parts = archives.select(F.substring_index("archive", "-", 1)).distinct().count()
+    rows = archives.repartitionByRange(max(1, parts), "archive").sortWithinPartitions("archive")
+    rows = rows.select(F.col("data").cast("string").alias("value"))
     rows.write.option("lineSep", EMPTY_MEMBER).option("encoding", "ISO-8859-1").text(path)
 
 
 def build_index(archives: DataFrame, lines: int = BLOCK_LINES) -> DataFrame:
-    """The stored index: (part, block, first_key, n, data); without ``data`` it is the directory."""
-    captures = archives.select(F.coalesce("url_key", F.lit("")).alias("url_key"), "page_id", "archive", "offset", "length")
+    """The stored index: (part, block, first_key, n, data); without ``data`` it is the directory.
+
+    ``first_key`` is the beginning of a block's first key that tells it from the last key of the block before.
+    """
+    captures = archives.select("archive", F.inline("captures"))
     lines = max(lines, -(-captures.count() // MAX_BLOCKS))
     parts = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["url_key", "page_id", "archive", "offset"]
     dealt = captures.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, waiting = TaskContext.get().partitionId(), 0, []
+        part, number, waiting, last = TaskContext.get().partitionId(), 0, [], None
 
         def block(rows: list[dict]) -> pa.RecordBatch:
+            first = rows[0]["url_key"]
+            first = first if last is None else first[: len(commonprefix([last, first])) + 1]
             text = "\n".join("\t".join((quote(r["url_key"], safe=",():/?&=+"), r["archive"], str(r["offset"]), str(r["length"]))) for r in rows)
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "block": pa.array([number], pa.int32()),
-                "first_key": [rows[0]["url_key"][:KEY_LENGTH]], "n": pa.array([len(rows)], pa.int64()),
+                "first_key": [first[:KEY_LENGTH]], "n": pa.array([len(rows)], pa.int64()),
                 "data": pa.array([_gzip(text.encode())], pa.binary()),
             })
 
@@ -146,7 +167,7 @@ def build_index(archives: DataFrame, lines: int = BLOCK_LINES) -> DataFrame:
             waiting += batch.to_pylist()
             while len(waiting) >= lines:
                 yield block(waiting[:lines])
-                waiting, number = waiting[lines:], number + 1
+                last, waiting, number = waiting[lines - 1]["url_key"], waiting[lines:], number + 1
         if waiting:
             yield block(waiting)
 
@@ -158,28 +179,47 @@ def _lines(data: bytes) -> list[list[str]]:
 
 
 def index_lines(index: DataFrame) -> DataFrame:
-    """(archive, offset, length) of every capture, in key order within a block."""
+    """(url_key, archive, offset, length) of every capture, in key order within a block."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data in batch.column("data").to_pylist():
-                _, archive, offset, length = zip(*_lines(data))
-                yield pa.RecordBatch.from_pydict({
-                    "archive": pa.array(archive), "offset": pa.array(map(int, offset), pa.int64()),
-                    "length": pa.array(map(int, length), pa.int64()),
-                })
+            for data in batch.column("data"):
+                yield _ranges([(unquote(key), *place) for key, *place in _lines(data.as_py())])
+
+    return index.select("data").mapInArrow(read, RANGE)
+
 
-    return index.select("data").mapInArrow(read, "archive string, offset bigint, length bigint")
+def _ranges(rows: list[tuple]) -> pa.RecordBatch:
+    keys, archives, offsets, lengths = zip(*rows) if rows else [()] * 4
+    columns = [pa.array(keys, pa.string()), pa.array(archives, pa.string())]
+    columns += [pa.array(map(int, x), pa.int64()) for x in (offsets, lengths)]
+    return pa.RecordBatch.from_arrays(columns, ["url_key", "archive", "offset", "length"])
 
 
-def read_records(archives: DataFrame) -> DataFrame:
+def read_ranges(archives: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(url_key, archive, offset, length, record): the bytes of the given ranges of the archives."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for archive, data, asked in zip(*map(batch.column, ("archive", "data", "ranges"))):
+                archive, data, asked = archive.as_py(), memoryview(data.as_buffer()), asked.as_py()
+                found = _ranges([(r["url_key"], archive, r["offset"], r["length"]) for r in asked])
+                records = pa.array([bytes(data[r["offset"] : r["offset"] + r["length"]]) for r in asked], pa.binary())
+                yield pa.RecordBatch.from_arrays([*found.columns, records], [*found.schema.names, "record"])
+
+    # an archive's ranges are no more than its captures
+    asked = ranges.groupBy("archive").agg(F.collect_list(F.struct("url_key", "offset", "length")).alias("ranges"))
+    return asked.join(archives.select("archive", "data"), "archive").mapInArrow(cut, f"{RANGE}, record binary")
+
+
+def read_records(records: DataFrame) -> DataFrame:
     """What each record says: (archive, offset, page_id, payload_bytes, payload_digest, record_type, refers_to)."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {k: [] for k in ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")}
-            for data in batch.column("record").to_pylist():
-                fields, http, payload = parse(zlib.decompress(data, 31))
+            for data in batch.column("record"):
+                fields, http, payload = parse(zlib.decompress(data.as_py(), 31))
                 size, digest = len(payload), hashlib.sha256(payload).hexdigest()
                 if fields["WARC-Type"] == "revisit":
                     size = int(re.search(rb"Content-Length: (\d+)", http)[1])
@@ -191,7 +231,7 @@ def read_records(archives: DataFrame) -> DataFrame:
             columns = [pa.array(v, k) for v, k in zip(out.values(), kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("archive"), batch.column("offset"), *columns], ["archive", "offset", *out])
 
-    return archives.select("archive", "offset", "record").mapInArrow(
+    return records.select("archive", "offset", "record").mapInArrow(
         read,
         "archive string, offset bigint, page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
     )
@@ -199,7 +239,7 @@ def read_records(archives: DataFrame) -> DataFrame:
 
 def read_all(archives: DataFrame, index: DataFrame) -> DataFrame:
     """Every capture of the index with what its record says."""
-    return index_lines(index).join(read_records(archives), ["archive", "offset"])
+    return read_records(read_ranges(archives, index_lines(index)))
 
 
 def lookup(archives: DataFrame, index: DataFrame, urls: DataFrame, url: str = "url") -> DataFrame:
@@ -209,33 +249,34 @@ def lookup(archives: DataFrame, index: DataFrame, urls: DataFrame, url: str = "u
     firsts, places = [r["first_key"] for r in rows], [(r["part"], r["block"]) for r in rows]
     directory = spark.sparkContext.broadcast((firsts, places))
 
+    def to_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array({url_key(link) for link in batch.column(0).to_pylist()}, pa.string())], ["key"])
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The blocks that may hold the keys of a batch, each with these keys."""
         firsts, places = directory.value
         for batch in batches:
-            out = []
-            for link in batch.column(0).to_pylist():
-                key = url_key(link)
+            out = {}
+            for key in batch.column("key").to_pylist():
                 low = max(0, bisect_left(firsts, key[:KEY_LENGTH]) - 1)
-                out += [(key, *places[i]) for i in range(low, bisect_right(firsts, key[:KEY_LENGTH]))]
-            kinds = (pa.string(), pa.int32(), pa.int32())
-            columns = list(zip(*out)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "part", "block"])
+                for i in range(low, bisect_right(firsts, key[:KEY_LENGTH])):
+                    out.setdefault(i, []).append(key)
+            part, block = zip(*(places[i] for i in out)) if out else ((), ())
+            columns = [pa.array(part, pa.int32()), pa.array(block, pa.int32()), pa.array(out.values(), pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "block", "keys"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for key, data in zip(batch.column("key").to_pylist(), batch.column("data").to_pylist()):
-                lines = _lines(data)
+            for asked, data in zip(batch.column("keys"), batch.column("data")):
+                lines = _lines(data.as_py())
                 keys = [unquote(x[0]) for x in lines]
-                for x in lines[bisect_left(keys, key) : bisect_right(keys, key)]:
-                    out.append((key, x[1], int(x[2]), int(x[3])))
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
-            columns = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["url_key", "archive", "offset", "length"])
-
-    wanted = urls.select(url).distinct().mapInArrow(find, "key string, part int, block int").distinct()
-    found = wanted.join(index, ["part", "block"]).mapInArrow(search, "url_key string, archive string, offset bigint, length bigint")
-    found = materialize(found, "ranges")
-    return found.join(archives.select("archive", "offset", "record"), ["archive", "offset"]).select(
-        "url_key", "archive", "offset", "length", "record"
-    )
+                found = []
+                for key in asked.as_py():
+                    found += [(key, *x[1:]) for x in lines[bisect_left(keys, key) : bisect_right(keys, key)]]
+                yield _ranges(found)
+
+    # in key order, so that a block meets its keys in few rows
+    wanted = urls.select(url).mapInArrow(to_keys, "key string").distinct().repartitionByRange("key").sortWithinPartitions("key")
+    wanted = wanted.mapInArrow(find, "part int, block int, keys array<string>")
+    return read_ranges(archives, materialize(wanted.join(index, ["part", "block"]).mapInArrow(search, RANGE), "ranges"))

@@ -183,6 +183,36 @@ def test_archives(spark, tmp_path):
     assert warc.read_all(none, warc.build_index(none)).count() == 0 == warc.lookup(none, warc.build_index(none), ask).count()
 
 
+def test_archives_by_range(spark, monkeypatch):
+    """Records are cut out of the archives' bytes, where the lines say, and the query finds them by their URLs."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 3000)
+    rows = [(i, f"http://h{i % 7}.example.org/{'long/' * 60}{i // 3}" if i % 5 else None, f"{i % 40} text " * 30) for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    archives = warc.write_archives(pages)
+    stored = {r.archive: bytes(r.data) for r in archives.select("archive", "data").collect()}
+    assert len(stored) > 3 and all(gzip.decompress(x).count(b"WARC/1.1\r\n") > 1 for x in stored.values())
+    index = warc.build_index(archives, lines=4)
+    found = warc.lookup(archives, index, pages).collect()
+    assert all(stored[r.archive][r.offset : r.offset + r.length] == bytes(r.record) for r in found)
+    assert sorted(int(warc.parse(gzip.decompress(bytes(r.record)))[0]["Page-ID"]) for r in found) == list(range(400))
+    some = warc.lookup(archives, index, pages.where("page_id in (1, 2, 399)")).collect()
+    assert {r.url_key for r in some} == {warc.url_key(u) for i, u, _ in rows if i in (1, 2, 399)}
+    # a line that names other bytes is followed there: nothing else joins records to rows
+    one = found[0]
+    moved = spark.createDataFrame([("k", one.archive, one.offset + 1, 5)], warc.RANGE)
+    assert bytes(warc.read_ranges(archives, moved).first().record) == bytes(one.record)[1:6]
+
+
+def test_query_reads_through_the_index(spark, monkeypatch):
+    from orderflow.llm import queries
+
+    asked = []
+    lookup = warc.lookup
+    monkeypatch.setattr(warc, "lookup", lambda *a, **k: asked.append(1) or lookup(*a, **k))
+    queries.QUERIES["op4_warc_index"](spark, "/root/testdata/sf0.001")
+    assert asked
+
+
 # 5 sharding
 
 
