@@ -106,17 +106,22 @@ def place(docs: DataFrame, text: str = "text", source: str = "source", doc_id: s
     })
 
 
-def pieces(placed: DataFrame, passes: int = PASSES) -> DataFrame:
-    """The mix itself: for every slot its words, as (slot, _pass, from_word, to_word) of a document's row."""
-    turns = placed.where("size > 0 and _take > 0").select(
-        "_source", "_bucket", "_row", "_start", "size", "_take", "_block_words", "source_size",
+def turns(placed: DataFrame, passes: int = PASSES) -> DataFrame:
+    """The rows of each pass that have words in the mix, the source's words from _at to _end; _doc is carried on."""
+    carried = [c for c in ("_doc",) if c in placed.columns]
+    each = placed.where("size > 0 and _take > 0").select(
+        *carried, "_source", "_bucket", "_row", "_start", "size", "_take", "_block_words", "source_size",
         "_bits", "_first", "_slots",
         F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("_pass"),
     )
     at = F.col("_start") + F.col("_pass") * F.col("source_size")
-    turns = turns.withColumns({"_at": at, "_end": F.least(at + F.col("size"), F.col("_take"))}).where("_at < _end")
+    return each.withColumns({"_at": at, "_end": F.least(at + F.col("size"), F.col("_take"))}).where("_at < _end")
+
+
+def pieces(placed: DataFrame, passes: int = PASSES) -> DataFrame:
+    """The mix itself: for every slot its words, as (slot, _pass, from_word, to_word) of a document's row."""
     block = F.sequence(F.expr("_at div _block_words"), F.expr("(_end - 1) div _block_words"))
-    cut = turns.withColumn("_block", F.explode(block))
+    cut = turns(placed, passes).withColumn("_block", F.explode(block))
     begin = F.greatest(F.col("_at"), F.col("_block") * F.col("_block_words")) - F.col("_at")
     end = F.least(F.col("_end"), (F.col("_block") + 1) * F.col("_block_words")) - F.col("_at")
     return cut.select(
@@ -125,12 +130,15 @@ def pieces(placed: DataFrame, passes: int = PASSES) -> DataFrame:
 
 
 def repeat_mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
-    """The documents of the mix, with the columns of ``docs``: each once per pass in which any of its words is taken."""
-    starts = F.sequence(F.col("_start"), F.col("_start") + (PASSES - 1) * F.col("source_size"), F.greatest("source_size", F.lit(1)))
-    taken = F.filter(starts, lambda at: at < F.col("_take"))
+    """The documents of the mix along its slots, with the columns of ``docs``.
+
+    Each stands, whole, once per pass in which any of its words is taken, in the slot of its first word. Partitions, and
+    rows within them, are in the order of the mix.
+    """
     whole = docs.select(*dict.fromkeys((text, source, doc_id)), F.struct(*(f"`{c}`" for c in docs.columns)).alias("_doc"))
-    placed = place(whole, text, source, doc_id).where("size > 0")
-    return placed.withColumn("_turn", F.explode(taken)).select("_doc.*")
+    placed = turns(place(whole, text, source, doc_id)).withColumn("_block", F.expr("_at div _block_words"))
+    slotted = placed.select("_doc", slot_of_block().alias("_slot"), "_at")
+    return slotted.repartitionByRange("_slot", "_at").sortWithinPartitions("_slot", "_at").select("_doc.*")
 
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:

@@ -304,6 +304,25 @@ def test_mix_rare_sources(spark, monkeypatch, slot_bits, slot_words):
         seen |= set(found)
 
 
+@pytest.mark.parametrize("slot_words", [7, 1024])
+def test_mixed_documents_follow_the_schedule(spark, monkeypatch, slot_words):
+    monkeypatch.setattr(mixing, "SLOT_BITS", 4)
+    monkeypatch.setattr(mixing, "SLOT_WORDS", slot_words)
+    rows = [(i, "w " * (i % 23), "abcde"[i % 5]) for i in range(1500)] + [(None, "null w", None), (3, "w " * 700, "b")]
+    table = spark.createDataFrame(rows, DOCS).repartition(5)
+    placed = mixing.place(table)
+    first = mixing.pieces(placed).where("from_word = 0").join(placed, ["_source", "_bucket", "_row"])
+    want = [r.size for r in first.orderBy("slot", F.col("_start") + F.col("_pass") * F.col("source_size")).collect()]
+    mixed = mixing.repeat_mixed(table).collect()
+    assert [len(r.text.split()) for r in mixed] == want
+    if slot_words == 7:  # every stretch of the mix has the proportions of the whole
+        shares = lambda part: {s: sum(len(r.text.split()) for r in part if r.source == s) / sum(len(r.text.split()) for r in part) for s in "abcde"}
+        whole = shares(mixed)
+        for k in range(4):
+            part = shares(mixed[k * len(mixed) // 4 : (k + 1) * len(mixed) // 4])
+            assert all(abs(part[s] - whole[s]) < 0.1 for s in "abcde")
+
+
 # 7 Jaccard
 
 

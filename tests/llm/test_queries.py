@@ -5,6 +5,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from orderflow.llm import queries
@@ -149,3 +150,29 @@ def test_near_copies_with_other_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", before)
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_pipeline_mixes_along_the_schedule(spark, tmp_path):
+    """The files of the mix stage, by name, hold its documents in the order of the slots."""
+    import corpus_pipeline as P
+    from orderflow.llm import mixing
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    path = str(tmp_path / "mixed")
+    P.mix_sources(spark, docs, FOLDER).write.parquet(path)
+    placed = mixing.place(docs)
+    first = mixing.pieces(placed).where("from_word = 0").join(placed, ["_source", "_bucket", "_row"])
+    want = [r.doc_id for r in first.orderBy("slot", F.col("_start") + F.col("_pass") * F.col("source_size")).collect()]
+    files = sorted((tmp_path / "mixed").glob("part-*.parquet"))
+    assert [x for f in files for x in spark.read.parquet(str(f)).toPandas().doc_id] == want
+
+
+def test_passing_scratch(spark):
+    from orderflow.session import materialize, passing_scratch
+
+    before = materialize(spark.range(3), "before")
+    with passing_scratch(spark):
+        inside = materialize(spark.range(4), "inside")
+        path = inside.inputFiles()[0].rsplit("/", 1)[0]
+        assert inside.count() == 4
+    assert spark.read.parquet(path).count() == 0 and before.count() == 3
