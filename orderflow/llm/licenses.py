@@ -2,14 +2,16 @@
 
 A multinomial logistic regression with an elastic net on word one- and two-grams tells the licence families from
 class 0, unknown. It learns from the notices below, alone and set into paragraphs of the corpus, and from corpus
-paragraphs as unknown. Each family's threshold is calibrated on further corpus paragraphs: the score that all but
-CALIBRATION of those without a notice stay under, and one half at least. A prediction over its threshold is confirmed
-if one of the family's notices has at least CONFIRM of its two-grams in the paragraph; else it counts as unconfirmed.
+paragraphs as unknown. Each family's threshold is calibrated on all paragraphs of the corpus: the score that all but
+CALIBRATION of those without a notice do not exceed (to SCORE_STEPS-th parts), and one half at least. A prediction over its
+threshold is confirmed if one of the family's notices has at least CONFIRM of its two-grams in the paragraph; else it
+counts as unconfirmed.
 
 All documents are scanned whole. As the model is linear, a paragraph cannot beat unknown with n-grams that together add
 less than unknown is ahead; paragraphs with no stronger n-gram are left out by a pattern made from the model, exactly.
+They score under one half, so the calibration counts them without their scores.
 
-The corpus paragraphs to train and calibrate on are bounded: the first SAMPLE paragraphs by hash of the SAMPLE_DOCS
+The corpus paragraphs to train on are bounded: every second of the first SAMPLE paragraphs by hash of the SAMPLE_DOCS
 documents of smallest id hash, less those that hold a notice or are mostly (PIECE of their two-grams) a piece of one, as
 a line of a wrapped notice is.
 
@@ -31,7 +33,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from orderflow.session import materialize
 
@@ -70,6 +72,7 @@ FAMILIES = ["unknown", *dict.fromkeys(f for f, _ in NOTICES)]
 
 SAMPLE_DOCS, SAMPLE, EMBEDDED = 400, 4000, 24
 VOCABULARY, MIN_THRESHOLD, CALIBRATION, CONFIRM, PIECE = 4096, 0.5, 0.001, 0.7, 0.5
+SCORE_STEPS = 1_000_000
 PARAGRAPH, SENTENCE = r"\r?\n", r"(?<=[.!?])\s+"
 # comment marks and white space at both ends of a line
 MARK = r"""[ \t\r\f\x0B/*#;%<>|"'!-]"""
@@ -129,8 +132,8 @@ def sample_paragraphs(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 class Classifier:
-    def __init__(self, model: PipelineModel, thresholds: list[float]):
-        self.model, self.thresholds = model, thresholds
+    def __init__(self, model: PipelineModel):
+        self.model = model
         counts, regression = model.stages
         weights, bias = regression.coefficientMatrix.toArray(), regression.interceptVector.toArray()
         # what each n-gram adds to a family against unknown, and what unknown is ahead without any n-gram
@@ -150,31 +153,52 @@ class Classifier:
         return F.lit(True) if self.always else F.lower(column).rlike(self.pattern)
 
     def predict(self, rows: DataFrame) -> DataFrame:
-        """Rows of ``paragraph`` with family and probability; unknown where no family reaches its threshold."""
+        """Rows of ``paragraph`` with family and probability; unknown where no family reaches MIN_THRESHOLD."""
         scored = self.model.transform(rows.withColumn("_grams", grams(F.col("paragraph"))))
         p = vector_to_array("probability")
         best = F.array_max(F.transform(F.slice(p, 2, len(FAMILIES) - 1), lambda x, i: F.struct(x.alias("p"), (i + 1).alias("label"))))
-        limits = F.array(*map(F.lit, self.thresholds))
         scored = scored.withColumn("_best", best)
-        family = F.when(F.col("_best.p") >= F.get(limits, F.col("_best.label")), F.get(F.array(*map(F.lit, FAMILIES)), F.col("_best.label")))
+        family = F.when(F.col("_best.p") >= MIN_THRESHOLD, F.get(F.array(*map(F.lit, FAMILIES)), F.col("_best.label")))
         return scored.select(*rows.columns, F.coalesce(family, F.lit("unknown")).alias("family"), F.col("_best.p").alias("probability"))
 
 
-def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Classifier:
-    spark = docs.sparkSession
-    known = notices(spark)
-    sample = sample_paragraphs(docs, text, doc_id)
-    numbered = sample.withColumn("_n", F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long"))
-    # lines that hold a notice, or are mostly a piece of one, teach nothing about unknown
-    numbered = numbered.withColumn("_pairs", F.array_distinct(two_grams(words(F.col("paragraph")))))
+def without_notice(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of ``paragraph`` that neither hold a notice nor are mostly a piece of one."""
     listed = F.array(*(F.array(*map(F.lit, row["_two"])) for row in known.select("_two").collect()))
 
     def part_of(two: Column) -> Column:
         common = F.size(F.array_intersect(two, F.col("_pairs")))
         return (common >= CONFIRM * F.size(two)) | ((common >= 3) & (common >= PIECE * F.size("_pairs")))
 
-    numbered = numbered.where(~F.exists(listed, part_of))
-    learn, check = numbered.where("_n % 2 = 0"), numbered.where("_n % 2 = 1")
+    paired = rows.withColumn("_pairs", F.array_distinct(two_grams(words(F.col("paragraph")))))
+    return paired.where(~F.exists(listed, part_of)).drop("_pairs")
+
+
+def over_thresholds(found: DataFrame, total: int, known: DataFrame) -> DataFrame:
+    """``found`` (predictions; ``_whole``: a paragraph as it is) less those that do not exceed their family's threshold.
+
+    ``total``: number of paragraphs of the corpus.
+    """
+    lines = found.where("_whole")
+    clean = materialize(without_notice(lines, known).select("family", F.ceil(F.col("probability") * SCORE_STEPS).alias("_step")), "licence-scores")
+    allowed = CALIBRATION * (total - lines.count() + clean.count())
+    steps = clean.groupBy("family", "_step").agg(F.count("*").alias("_n"))
+    # SCORE_STEPS rows a family at most
+    higher = F.coalesce(F.sum("_n").over(W.partitionBy("family").orderBy(F.desc("_step")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    limits = steps.withColumn("_higher", higher).groupBy("family").agg(
+        F.when(F.sum("_n") > allowed, F.min(F.when(F.col("_higher") <= allowed, F.col("_step"))) / SCORE_STEPS).alias("_limit")
+    )
+    kept = found.join(F.broadcast(limits), "family", "left").where("_limit is null or probability > _limit")
+    return kept.drop("_limit")
+
+
+def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Classifier:
+    spark = docs.sparkSession
+    known = notices(spark)
+    sample = sample_paragraphs(docs, text, doc_id)
+    numbered = sample.withColumn("_n", F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long"))
+    # lines that hold a notice, or are mostly a piece of one, teach nothing about unknown
+    learn = without_notice(numbered.where("_n % 2 = 0"), known)
     # every notice also stands in up to EMBEDDED paragraphs, before, amid or after some of their words
     places = learn.select("paragraph", (F.col("_n") / 2 % (EMBEDDED * 8)).cast("int").alias("_slot")).dropDuplicates(["_slot"])
     slots = known.select("label", "text", F.explode(F.sequence(F.lit(0), F.lit(EMBEDDED - 1))).alias("_i"), "notice")
@@ -191,12 +215,7 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Classi
     regression = LogisticRegression(
         featuresCol="_features", labelCol="label", family="multinomial", regParam=5e-4, elasticNetParam=0.9, maxIter=60
     )
-    model = Pipeline(stages=[counts, regression]).fit(rows)
-    # calibration: what paragraphs without a notice score, family by family
-    check = check.select("paragraph", grams(F.col("paragraph")).alias("_grams"))
-    clean = model.transform(materialize(check, "licence-check")).select(vector_to_array("probability").alias("p"))
-    limits = clean.agg(*(F.percentile(F.col("p")[i], 1 - CALIBRATION).alias(f"q{i}") for i in range(len(FAMILIES)))).first()
-    return Classifier(model, [max(MIN_THRESHOLD, q or 0.0) for q in limits])
+    return Classifier(Pipeline(stages=[counts, regression]).fit(rows))
 
 
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -218,9 +237,12 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     lines = rows.select("_row", F.inline(F.concat(above, below)))
     sentences = F.split("_line", SENTENCE)
     parts = F.array_union(F.array("_line"), F.when(F.col("_at") < 0, F.filter(sentences, classifier.candidate)).otherwise(sentences))
-    units = lines.select("_row", "_at", F.explode(parts).alias("paragraph"))
+    units = lines.select("_row", "_at", F.posexplode(parts).alias("_part", "paragraph"))
+    units = units.withColumn("_whole", F.expr("_at >= 0 and _part = 0")).drop("_part")
     found = materialize(classifier.predict(units).where("family <> 'unknown'"), "licence-found")
-    judged = confirmed(found, notices(docs.sparkSession)).withColumn("_sure", F.col("likeness") >= CONFIRM)
+    listed = notices(docs.sparkSession)
+    found = over_thresholds(found, rows.agg(F.sum("n_paragraphs")).first()[0] or 0, listed)
+    judged = confirmed(found, listed).withColumn("_sure", F.col("likeness") >= CONFIRM)
     per_line = judged.groupBy("_row", "_at").agg(
         F.array_sort(F.collect_set(F.when(F.col("_sure"), F.col("family")))).alias("families"), F.max("_sure").alias("_sure")
     )

@@ -514,6 +514,16 @@ def test_licence_cases(spark):
     assert licenses.scan(table.limit(0)).count() == 0
 
 
+def test_licence_thresholds_count_every_paragraph(spark):
+    """All scores count, not those of a sample; notices, sentences and blocks do not."""
+    known = licenses.notices(spark)
+    rows = [(i, 0, "MIT", f"the mit of {i}", 0.5 + i / 1000, True) for i in range(400)]
+    rows += [(400 + i, 0, "MIT", "Released under the MIT License.", 0.999, True) for i in range(50)]
+    rows += [(500, 0, "MIT", "a sentence", 0.9, False), (501, 0, "BSD", "plain bsd", 0.51, True)]
+    found = spark.createDataFrame(rows, "_row long, _at int, family string, paragraph string, probability double, _whole boolean")
+    kept = {r._row for r in licenses.over_thresholds(found, 10_000 + 50, known).collect()}
+    assert kept == {*range(390, 400), *range(400, 450), 500, 501}  # 10 of 10,000 exceed the threshold
+    assert licenses.over_thresholds(found, 1_000_000, known).count() == len(rows)
 
 
 def test_wrapped_licences(spark):
