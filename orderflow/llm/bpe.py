@@ -39,12 +39,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 #: Characters of a stretch that is split at once; tokens whose bytes are joined at once.
-LEAF = 1024
+LEAF = 4096
 #: No match of the pattern depends on more than so many characters after its end (the longest contraction, and the
 #: character after a run).
 REACH = 3
-#: Pieces, and pairs of tokens, that a Python worker remembers of each at most; the longest such piece.
-REMEMBERED, LONGEST = 1 << 18, 48
+#: Pieces, and pairs of tokens, that a Python worker remembers at most; the longest such piece.
+PIECES, PAIRS, LONGEST = 1 << 19, 1 << 18, 48
 #: Bytes of a piece, or of a window, that are merged by looking for the lowest rank along a row.
 SHORT = 24
 
@@ -52,12 +52,12 @@ SHORT = 24
 class Recent(dict):
     """Remembers what was used lately: once half full, what was not used since the time before is forgotten."""
 
-    def __init__(self):
+    def __init__(self, most: int):
         super().__init__()
-        self.older: dict = {}
+        self.half, self.older = most // 2, {}
 
     def keep(self, key, value):
-        if len(self) >= REMEMBERED // 2:
+        if len(self) >= self.half:
             self.older = dict(self)
             self.clear()
         self[key] = value
@@ -107,7 +107,7 @@ class Codec:
         self.bytes = {rank: token for token, rank in self.rank.items()}
         self.patterns = [re.compile(p) for p in patterns]
         self.beyond = re.compile("[\U00010000-\U0010ffff]")
-        self.pieces, self.seams = Recent(), Recent()
+        self.pieces, self.seams = Recent(PIECES), Recent(PAIRS)
         #: Tokens that merges alone do not make; the library gives a piece equal to one its rank all the same.
         self.unmade = self.find_unmade() if unmade is None else unmade
 

@@ -254,3 +254,12 @@ def test_manifest_query_finds_tampering(spark):
         assert (r.leaf, r.subroot, r.root) == (leaf, subroot, root)
         assert r.proof_sha256 == hashlib.sha256("".join(way).encode()).hexdigest()
         assert r.verified == (zlib.crc32(str(r.doc_id).encode()) % 7 != 0) == (r.folded_root == root)
+
+
+def test_remembered_pieces_are_bounded():
+    """What is used stays, what is not goes; never more than asked for."""
+    known = bpe.Recent(10)
+    for i in range(200):
+        known.keep(i, [i])
+        assert known[0] == [0] and len(known) + len(known.older) <= 10
+    assert known[1] is None and known[199] == [199]
