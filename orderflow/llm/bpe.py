@@ -15,6 +15,8 @@ start, and the tokens of every piece. A stretch of more than LEAF characters is
 
 Decoding concatenates the bytes of tokens up a tree of halves.
 
+A worker holds the rows of one step besides the batch that Spark sends it, and remembers pieces by the bytes they take.
+
 Letter, number and white-space classes are those of the tiktoken library, which is asked for them, since Unicode
 versions differ between libraries.
 
@@ -28,9 +30,10 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import sys
 from array import array
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Callable, Iterator
+from functools import cache, reduce
 from itertools import accumulate, chain
 
 import numpy as np
@@ -43,23 +46,33 @@ LEAF = 4096
 #: No match of the pattern depends on more than so many characters after its end (the longest contraction, and the
 #: character after a run).
 REACH = 3
-#: Pieces, and pairs of tokens, that a Python worker remembers at most; the longest such piece.
-PIECES, PAIRS, LONGEST = 1 << 19, 1 << 18, 48
+#: Bytes of the pieces, and of the pairs of tokens, that a Python worker remembers at most; the longest such piece.
+PIECES, PAIRS, LONGEST = 96 << 20, 32 << 20, 48
+#: Bytes that an entry takes in a dictionary's table and by the rounding of its key and value.
+ENTRY = 64
+#: Bytes of text, or ids, that a worker turns at once; a longer row is turned alone.
+STEP = 1 << 20
 #: Bytes of a piece, or of a window, that are merged by looking for the lowest rank along a row.
 SHORT = 24
 
 
 class Recent(dict):
-    """Remembers what was used lately: once half full, what was not used since the time before is forgotten."""
+    """Remembers what was used lately: once half full, what was not used since the time before is forgotten.
+
+    ``most``: entries, or the sum of what ``size`` gives for their keys and values.
+    """
 
-    def __init__(self, most: int):
+    def __init__(self, most: int, size: Callable[[object, object], int] = lambda key, value: 1):
         super().__init__()
-        self.half, self.older = most // 2, {}
+        self.half, self.size, self.held, self.older = most // 2, size, 0, {}
 
     def keep(self, key, value):
-        if len(self) >= self.half:
+        size = self.size(key, value)
+        if self.held + size > self.half:
             self.older = dict(self)
             self.clear()
+            self.held = 0
+        self.held += size
         self[key] = value
         return value
 
@@ -68,6 +81,18 @@ class Recent(dict):
         return None if found is None else self.keep(key, found)
 
 
+def bytes_taken(key: object, value: object) -> int:
+    return ENTRY + sys.getsizeof(key) + sys.getsizeof(value)
+
+
+def packed(tokens: list[int]) -> bytes:
+    return array("i", tokens).tobytes()
+
+
+def unpacked(tokens: bytes) -> list[int]:
+    return array("i", tokens).tolist()
+
+
 @cache
 def character_class(escape: str, last: int = 0x10FFFF) -> str:
     """The inside of a Python character class for what the tiktoken library takes as ``escape``, such as ``\\p{L}``."""
@@ -107,7 +132,7 @@ class Codec:
         self.bytes = {rank: token for token, rank in self.rank.items()}
         self.patterns = [re.compile(p) for p in patterns]
         self.beyond = re.compile("[\U00010000-\U0010ffff]")
-        self.pieces, self.seams = Recent(PIECES), Recent(PAIRS)
+        self.pieces, self.seams = Recent(PIECES, bytes_taken), Recent(PAIRS, bytes_taken)
         #: Tokens that merges alone do not make; the library gives a piece equal to one its rank all the same.
         self.unmade = self.find_unmade() if unmade is None else unmade
 
@@ -184,17 +209,17 @@ class Codec:
         half = len(data) // 2
         return self.joined(self._halves(data[:half]), self._halves(data[half:]))
 
-    def piece(self, text: str) -> list[int]:
-        """The tokens that merges make of one piece."""
+    def piece(self, text: str) -> bytes:
+        """The tokens that merges make of one piece, packed."""
         found = self.pieces[text]
         if found is None:
-            found = self._halves(text.encode())
+            found = packed(self._halves(text.encode()))
             if len(text) <= LONGEST:
                 self.pieces.keep(text, found)
         return found
 
-    def _stretch(self, pattern: re.Pattern, text: str, low: int, high: int) -> tuple[list[int], list[list[int]]]:
-        """(starts, tokens) of the pieces of text[low:high]."""
+    def _stretch(self, pattern: re.Pattern, text: str, low: int, high: int) -> tuple[list[int], list[bytes]]:
+        """(starts, packed tokens) of the pieces of text[low:high]."""
         if high - low <= LEAF:
             found = pattern.findall(text, low, high)
             ends = list(accumulate(map(len, found), initial=low))
@@ -226,10 +251,7 @@ class Codec:
             after = old_starts[i] if i < len(old_starts) else right[0][j] if j < len(right[0]) else high
             starts.append(at)
             if first == at and after == stop:
-                whole = parts[0]
-                for part in parts[1:]:
-                    whole = self.joined(whole, part)
-                tokens.append(whole)
+                tokens.append(packed(reduce(self.joined, map(unpacked, parts))) if len(parts) > 1 else parts[0])
             else:
                 tokens.append(self.piece(text[at:stop]))
             at = stop
@@ -240,14 +262,17 @@ class Codec:
         return starts, tokens
 
     def encode(self, text: str) -> list[int]:
+        return unpacked(self.encode_packed(text))
+
+    def encode_packed(self, text: str) -> bytes:
         if not text:
-            return []
+            return b""
         pattern = self.patterns[bool(self.beyond.search(text))]
         starts, tokens = self._stretch(pattern, text, 0, len(text))
         if self.unmade:
             words = (text[a:b].encode() for a, b in zip(starts, [*starts[1:], len(text)]))
-            tokens = [[self.rank[w]] if w in self.unmade else t for w, t in zip(words, tokens)]
-        return list(chain.from_iterable(tokens))
+            tokens = [packed([self.rank[w]]) if w in self.unmade else t for w, t in zip(words, tokens)]
+        return b"".join(tokens)
 
 
 def joined_bytes(tokens: pa.Array, starts: np.ndarray) -> pa.Array:
@@ -288,20 +313,33 @@ def _with_column(df: DataFrame, source: str, target: str, kind: str, run) -> Dat
     return df.withColumn(target, F.arrow_udf(run, kind).asNondeterministic()(F.col(f"`{source}`")))
 
 
+def _steps(rows: pa.Array, lengths: pa.Array) -> Iterator[pa.Array]:
+    """The rows in runs that are STEP and one row long at most."""
+    before = np.cumsum(np.append(0, np.asarray(pc.fill_null(lengths, 0), np.int64)))[:-1]
+    starts = np.flatnonzero(np.diff(before // STEP, prepend=-1))
+    for start, end in zip(starts, [*starts[1:], len(rows)]):
+        yield rows[start:end]
+
+
 def _encoded(codec: Codec, texts: pa.Array) -> pa.Array:
-    ids, ends = array("i"), [0]
-    for text in texts:
-        ids.extend(codec.encode(text.as_py() or ""))
-        ends.append(len(ids))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), len(ids), [None, pa.py_buffer(ids)]))
+    rows = [codec.encode_packed(text.as_py() or "") for text in texts]
+    ends = np.cumsum([0, *map(len, rows)]) // array("i").itemsize
+    ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(rows))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
+
+
+def _token_bytes(of: dict[int, bytes]) -> pa.Array:
+    """The bytes of every id, in order of ids."""
+    return pa.array([of.get(i) for i in range(max(of) + 1)], pa.large_binary())
 
 
 def _decoded(tokens: pa.Array, lists: pa.Array) -> pa.Array:
-    """``tokens``: the bytes of every id, in order of ids."""
+    """``tokens``: from ``_token_bytes``."""
     if not len(lists):
         return pa.array([], pa.binary())
     starts = np.asarray(lists.offsets).astype(np.int64)
-    ids = lists.values
+    ids = lists.values[starts[0] : starts[-1]]
+    starts -= starts[0]
     known = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(tokens)))
     found = pc.fill_null(tokens.take(pc.if_else(known, ids, None)), b"")
     lengths = np.asarray(pc.fill_null(pc.list_value_length(lists), 0))
@@ -310,15 +348,22 @@ def _decoded(tokens: pa.Array, lists: pa.Array) -> pa.Array:
     return joined_bytes(found, starts).cast(pa.binary())
 
 
+def _codec_of(df: DataFrame, tokenizer: Tokenizer) -> Callable[[], Codec]:
+    """Gives tasks the codec."""
+    sent = df.sparkSession.sparkContext.broadcast({"arguments": (tokenizer.vocabulary, tokenizer.patterns, tokenizer.unmade)})
+    # a worker that is used again finds the codec of its last task, with what that remembers, beside the broadcast value
+    return lambda: sent.value.get("codec") or sent.value.setdefault("codec", Codec(*sent.value["arguments"]))
+
+
 def encode(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "ids") -> DataFrame:
     """All rows with the token ids of the whole text, without special tokens."""
-    sent = df.sparkSession.sparkContext.broadcast({"arguments": (tokenizer.vocabulary, tokenizer.patterns, tokenizer.unmade)})
+    codec_of = _codec_of(df, tokenizer)
 
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        # a worker that is used again finds the codec of its last task, with what that remembers, beside the broadcast value
-        codec = sent.value.get("codec") or sent.value.setdefault("codec", Codec(*sent.value["arguments"]))
+        codec = codec_of()
         for part in parts:
-            yield _encoded(codec, part)
+            for rows in _steps(part, pc.binary_length(part)):
+                yield _encoded(codec, rows)
 
     return _with_column(df, text, ids, "array<int>", run)
 
@@ -328,9 +373,25 @@ def decode(df: DataFrame, tokenizer: Tokenizer, ids: str = "ids", data: str = "d
     sent = df.sparkSession.sparkContext.broadcast(tokenizer.vocabulary)
 
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        of = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, sent.value.splitlines())}
-        tokens = pa.array([of.get(i) for i in range(max(of) + 1)], pa.large_binary())
+        tokens = _token_bytes({int(rank): base64.b64decode(token) for token, rank in map(bytes.split, sent.value.splitlines())})
         for part in parts:
-            yield _decoded(tokens, part)
+            for rows in _steps(part, pc.list_value_length(part)):
+                yield _decoded(tokens, rows)
 
     return _with_column(df, ids, data, "binary", run)
+
+
+def encode_and_decode(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "ids", data: str = "decoded") -> DataFrame:
+    """``encode``, then ``decode`` of its ids, in one Python worker per task, where two would each hold their batch."""
+    codec_of = _codec_of(df, tokenizer)
+
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = codec_of()
+        tokens = _token_bytes(codec.bytes)
+        for part in parts:
+            for rows in _steps(part, pc.binary_length(part)):
+                found = _encoded(codec, rows)
+                yield pa.StructArray.from_arrays([found, _decoded(tokens, found)], ["ids", "data"])
+
+    both = _with_column(df, text, "_both", "struct<ids: array<int>, data: binary>", run)
+    return both.withColumns({ids: F.col("_both.ids"), data: F.col("_both.data")}).drop("_both")

@@ -217,9 +217,8 @@ def op11_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     tokenizer = bpe.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    encoded = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), tokenizer).drop("text")
-    decoded = bpe.decode(encoded, tokenizer)
-    return decoded.select(
+    found = bpe.encode_and_decode(table(spark, folder, "documents").select("doc_id", "text"), tokenizer)
+    return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -99,6 +100,50 @@ def test_bpe_query(spark, library):
         assert r.decoded_sha256 == hashlib.sha256((d.text or "").encode()).hexdigest()
 
 
+def test_encode_and_decode_at_once(spark, tokenizer, library):
+    """Null, empty and equal texts, steps of several rows, rows longer than a step; other columns stay."""
+    texts = [None, "", "plain words", "plain words", "😀漢" * 300, "one of many words " * 40000, None, "two\n" * 150000, "three " * 100000, ""]
+    rows = spark.createDataFrame([(i, t, "kept", "lost") for i, t in enumerate(texts)], "id int, text string, other string, ids string").coalesce(1)
+    both = bpe.encode_and_decode(rows, tokenizer, data="bytes")
+    assert sorted(both.columns) == ["bytes", "id", "ids", "other", "text"]
+    found = {r.id: r for r in both.collect()}
+    assert len(found) == len(texts) and all(r.other == "kept" for r in found.values())
+    for i, t in enumerate(texts):
+        assert found[i].text == t and found[i].ids == library.encode_ordinary(t or "") and bytes(found[i].bytes) == (t or "").encode()
+    assert bpe.encode_and_decode(rows.limit(0), tokenizer).count() == 0
+
+
+def test_bpe_query_has_one_python_worker_per_task(spark):
+    plan = queries.QUERIES["op11_tree_bpe"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_steps_are_bounded(library, monkeypatch):
+    """A step is at most STEP and one row long, and decodes like the whole."""
+    monkeypatch.setattr(bpe, "STEP", 100)
+    draw = random.Random(5)
+    lists = [draw.choice([None, [], [64] * draw.randint(1, 70), [70, None, 10**9], [65] * 500]) for _ in range(300)]
+    rows = pa.array(lists, pa.list_(pa.int32()))
+    steps = list(bpe._steps(rows, rows.value_lengths()))
+    assert [x for step in steps for x in step.to_pylist()] == lists and len(steps) > 50
+    assert all(sum(len(x or ()) for x in step.to_pylist()[:-1]) <= 100 for step in steps)
+    tokens = bytes_of_ids(library)
+    assert [x for step in steps for x in bpe._decoded(tokens, step).to_pylist()] == bpe._decoded(tokens, rows).to_pylist()
+    assert not list(bpe._steps(rows[:0], rows[:0].value_lengths()))
+
+
+def test_remembered_bytes_are_bounded(tokenizer, library, monkeypatch):
+    """Pieces of many wide characters count by what they take."""
+    monkeypatch.setattr(bpe, "PIECES", 1 << 16)
+    codec, draw = tokenizer.codec(), random.Random(7)
+    for _ in range(40):
+        text = " ".join("".join(chr(draw.randrange(0x20000, 0x2A000)) for _ in range(draw.randint(1, 40))) for _ in range(20))
+        assert codec.encode(text) == library.encode_ordinary(text)
+        kept = [*codec.pieces.items(), *codec.pieces.older.items()]
+        assert sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in kept) <= 1 << 16
+    assert len(codec.pieces) > 5
+
+
 # whitening
 
 
