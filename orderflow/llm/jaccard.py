@@ -214,12 +214,14 @@ class Counter:
 
 def frequencies(counted: DataFrame, plan: Plan) -> tuple[np.ndarray, Plan]:
     """The frequency table of all tasks, and the plan with neighbourhoods allocated."""
-    rows = counted.groupBy("_place").agg(*(F.sum(k).alias(k) for k in ("_c", "_e", "_x", "_y", "_z"))).toArrow()  # the table's size at most
-    place, c = rows.column("_place").to_numpy(), rows.column("_c").to_numpy()
+    bands = counted.where("_place < 0").groupBy("_place").agg(*(F.sum(k).alias(k) for k in ("_c", "_e", "_x", "_y", "_z")))
+    plan = plan.allocate([(-1 - r[0], *r[1:]) for r in bands.collect()])  # a row per band
+    places = counted.where("_place >= 0").groupBy("_place").agg(F.sum("_c").cast("float").alias("_c"))
     table = np.zeros(1 << TABLE_BITS, np.float32)
-    table[place[place >= 0]] = c[place >= 0]
-    stats = [(int(-1 - r["_place"]), *(r[k] for k in ("_c", "_e", "_x", "_y", "_z"))) for r in rows.to_pylist() if r["_place"] < 0]
-    return table, plan.allocate(stats)
+    # eight bytes a place, read batch by batch: a full table is 32 MB on its way through the driver
+    for batch in places.select(F.col("_place").cast("int"), "_c").toArrow().to_batches():
+        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return table, plan
 
 
 def index(texts: DataFrame, plan: Plan, table: np.ndarray, words: int) -> DataFrame:

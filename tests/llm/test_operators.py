@@ -543,3 +543,23 @@ def test_wrapped_licences(spark):
     want = {i: ([], 0) for i in range(200)} | {1000: (["MIT"], 1), 1001: (["BSD"], 1), 1002: (["GPL-3.0"], 1), 1003: (["MIT"], 1)}
     want |= {1004: (["GPL-3.0", "MIT"], 2), 1005: (["MIT"], 1), 1006: ([], 0)}
     assert got == want
+
+
+def test_frequency_table_on_the_driver(spark):
+    """Many places of the table cost the driver the table and no object each; counts of tasks add up, bands allocate."""
+    import tracemalloc
+
+    many, rest = 200_000, [F.lit(1.0).alias(k) for k in ("_e", "_x", "_y", "_z")]
+    places = spark.range(2 * many).select((F.col("id") % many * 20).alias("_place"), (F.col("id") % 7 + 0.0).alias("_c"), *rest)
+    band = spark.range(2).select(F.lit(-1 - 6).cast("long").alias("_place"), F.lit(50.0).alias("_c"), F.lit(400.0).alias("_e"), *rest[1:])
+    tracemalloc.start()
+    try:
+        table, plan = jaccard.frequencies(places.unionByName(band), jaccard.Plan(9, 10))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2 * table.nbytes
+    want = np.zeros(len(table))
+    np.add.at(want, np.arange(2 * many) % many * 20, np.arange(2 * many) % 7)
+    assert (table == want).all()
+    assert plan.near.tolist() == jaccard.Plan(9, 10).allocate([(6, 100.0, 800.0, 2.0, 2.0, 2.0)]).near.tolist()
