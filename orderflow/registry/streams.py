@@ -13,8 +13,10 @@ from orderflow.session import scratch_path
 from orderflow.sources.lake import PARTITIONS
 from orderflow.streaming import pipelines as P
 
-#: Days of events that arrive together, in one file and micro-batch; every fortieth event comes with the next ones.
+#: Days of events that arrive together, in one micro-batch; every fortieth event comes with the next ones.
 DAYS, LATE, LAST = 5, 40, 6
+#: Rows of a file, while a micro-batch has fewer files than FILES or than the cores can use.
+FILE_ROWS, FILES = 50_000, 32
 WINDOWS_KEPT = 300 * 3600
 LIFETIME = 3600 * 48
 
@@ -25,17 +27,26 @@ def source(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def arrivals(spark: SparkSession, folder: str, twice: bool = False, late: bool = True, **end) -> DataFrame:
-    """The events as a stream of several micro-batches, one file each, some of them late, or again in the next file."""
+    """The events as a stream of several micro-batches, some of them late, or again in the next one.
+
+    A micro-batch is a fixed number of files, so that its rows are written and read by many tasks; one file where they are few.
+    """
     events, path = X.table(spark, folder, "events"), scratch_path(spark, "arrivals")
     group = F.floor((F.dayofmonth("ts") - 1) / DAYS) + F.when(F.lit(late) & (F.col("event_id") % LATE == 7), 1).otherwise(0)
     dealt = events.withColumn("_file", F.least(group, F.lit(LAST)))
     if twice:
         dealt = dealt.unionByName(dealt.where("event_id % 3 = 0").withColumn("_file", F.least(F.col("_file") + 1, F.lit(LAST))))
+    most = dealt.groupBy("_file").count().agg(F.max("count")).first()[0] or 1
+    files = min(-(-most // FILE_ROWS), max(FILES, 4 * spark.sparkContext.defaultParallelism))
     for n in range(LAST + 1):  # in turn, as the files' times give their order
-        dealt.where(F.col("_file") == n).drop("_file").coalesce(1).write.mode("append").parquet(path)
+        rows = dealt.where(F.col("_file") == n).drop("_file")
+        (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(path)
+        if files > 1:  # tasks without rows write nothing; empty files take their places
+            for _ in range((n + 1) * files - len(spark.read.schema(events.schema).parquet(path).inputFiles())):
+                spark.createDataFrame([], events.schema).write.mode("append").parquet(path)
     if end:
         P.end_input(spark, path, events.schema, **end)
-    return X.from_events(P.read_stream(spark, path, events.schema, maxFilesPerTrigger="1"))
+    return X.from_events(P.read_stream(spark, path, events.schema, maxFilesPerTrigger=str(files)))
 
 
 def normalized(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,7 +55,9 @@ def normalized(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _merged(stream: DataFrame, path: str, add) -> None:
-    P.run_available(P.merge_into(stream, f"{path}/checkpoint", add))
+    with P.small_methods(stream.sparkSession):
+        query = P.merge_into(stream, f"{path}/checkpoint", add)
+    P.run_available(query)
 
 
 def _statuses(spark: SparkSession, folder: str, lifetime: int | None = None) -> DataFrame:

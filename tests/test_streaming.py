@@ -7,6 +7,7 @@ from pyspark.sql import functions as F, types as T
 
 from orderflow import fixtures as X
 from orderflow.operators import normalize as N, state as S
+from orderflow.registry import streams
 from orderflow.streaming import pipelines as P, store
 
 FOLDER = "/root/testdata/sf0.001"
@@ -202,3 +203,28 @@ def test_snapshots_per_micro_batch(spark, tmp_path):
     made = P.on_snapshot(stream, lambda b: b.groupBy("status").count(), str(tmp_path / "out"), str(tmp_path / "cp"), availableNow=True)
     P.run_available(made)
     assert spark.read.parquet(str(tmp_path / "out")).select("batch_id").distinct().count() >= 3
+
+
+def _events(spark, folder, days, per_day=12):
+    """An events table with so many events on each of the days of a month."""
+    rows = [
+        (n, datetime.datetime(2024, 1, day, i % 24, 0, 1), n % 9, ["signup", "view", "click", "purchase", "error"][n % 5], 1.0, '{"k": %d}' % (n % 90))
+        for n, (day, i) in enumerate((d, i) for d in days for i in range(per_day))
+    ]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/events.parquet")
+
+
+def test_a_micro_batch_of_many_files(spark, tmp_path, monkeypatch):
+    """Many rows are dealt to many files; a micro-batch has the same rows as with one file, also where there are few or none."""
+    monkeypatch.setattr(streams, "FILE_ROWS", 10)
+    _events(spark, str(tmp_path), [1, 2, 3, 4, 5, 11, 16, 17, 31])
+    got, files = {}, {}
+
+    def see(batch, batch_id):
+        rows = batch.select("event_id", F.input_file_name().alias("file")).collect()
+        got[batch_id], files[batch_id] = sorted(r.event_id for r in rows), len({r.file for r in rows})
+
+    _run(streams.arrivals(spark, str(tmp_path), late=False), tmp_path, see)
+    assert got == {0: list(range(60)), 1: [], 2: list(range(60, 72)), 3: list(range(72, 96)), 4: [], 5: [], 6: list(range(96, 108))}
+    assert files[0] == 6
