@@ -228,3 +228,17 @@ def test_a_micro_batch_of_many_files(spark, tmp_path, monkeypatch):
     _run(streams.arrivals(spark, str(tmp_path), late=False), tmp_path, see)
     assert got == {0: list(range(60)), 1: [], 2: list(range(60, 72)), 3: list(range(72, 96)), 4: [], 5: [], 6: list(range(96, 108))}
     assert files[0] == 6
+
+
+def test_pipelines_share_normalised_events(spark, tmp_path, monkeypatch):
+    """The payloads are parsed before the pipelines part, and the samples are those of all events."""
+    monkeypatch.setattr(streams, "FILE_ROWS", 10)
+    _events(spark, str(tmp_path), range(1, 31))
+    plans, fan_out = [], P.fan_out
+    monkeypatch.setattr(P, "fan_out", lambda stream, *rest: plans.append(stream._jdf.queryExecution().analyzed().toString()) or fan_out(stream, *rest))
+    got = streams.stream_pipeline_latency(spark, str(tmp_path)).collect()
+    assert len(plans) == 1 and "payload" not in plans[0]
+    batch = N.normalize(X.raw_events(X.events(spark, str(tmp_path))))
+    latencies = batch.select(X.X.latency_ms(F.col("event_ts"), F.col("arrival_ts")).alias("ms"))
+    most = latencies.agg(F.max("ms")).first()[0]
+    assert {(r.pipeline, r.samples, r.max) for r in got} == {(p, latencies.count(), most) for p in ("status", "windows", "orders")}
