@@ -601,3 +601,21 @@ def test_snapshot_ages(spark):
     shown = spark.createDataFrame([("a", 5_000), ("a", 9_000), ("a", 0), ("b", None), ("b", -4)], "pipeline string, last_event_produced_at_ms long")
     got = {r.pipeline: tuple(r)[1:] for r in latency.snapshot_ages(shown, F.lit(8_000)).collect()}
     assert got == {"a": (3, 2, 0, 3_000), "b": (2, 0, None, None)}
+
+
+def test_a_crowded_cell_is_dealt_to_tasks(spark, monkeypatch):
+    """All restaurants and couriers in one cell, in one partition each: blocks of pairs go to several tasks, pairs stay."""
+    monkeypatch.setattr(geo, "BLOCK_ROWS", 40, raising=False)
+    r = random.Random(5)
+    places = [(i, -23.5 + r.uniform(0, 0.2), -46.6 + r.uniform(0, 0.2)) for i in range(90)] + [(90, None, -46.6), (91, 40.0, 3.0)]
+    free = [(i % 190, -23.5 + r.uniform(0, 0.2), -46.6 + r.uniform(0, 0.2)) for i in range(200)] + [(None, -23.5, -46.6), (500, -23.5, None)]
+    limit = 0.2**2
+    found = geo.geofence(
+        spark.createDataFrame(places, "restaurant_id long, lat double, lon double").coalesce(1),
+        spark.createDataFrame(free, "courier_id long, lat double, lon double").coalesce(1), limit,
+    ).withColumn("task", F.spark_partition_id()).collect()
+    near = lambda a, b: None not in (*a[1:], *b[1:]) and (b[1] - a[1]) * (b[1] - a[1]) + (b[2] - a[2]) * (b[2] - a[2]) < limit
+    key = lambda p: (p[0], p[1] is None, p[1] or 0)
+    want = sorted(((a[0], b[0]) for a in places for b in free if near(a, b)), key=key)
+    assert sorted(((x.restaurant_id, x.courier_id) for x in found), key=key) == want and len(want) > 5000
+    assert len({x.task for x in found}) > 1
